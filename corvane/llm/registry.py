@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_repetition": quality.op10_repetition}
+    return {"op3_sharding": sharding.op3_sharding, "op6_mixing": mixing.op6_mixing, "op10_repetition": quality.op10_repetition}
 
 
 def oracles() -> dict[str, str]:
