@@ -114,9 +114,12 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole copy, and, for the two
     documents at most in which a source's last block ends, a row of just the words taken.
 
-    n_chars, where there is such a column, follows the text.  ``docs`` must have distinct ids.
+    n_chars, where there is such a column, follows the text.  Rows that repeat an id share the
+    plan of one of them.
     """
     plan = mix(docs, **how).select(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size"), "rounds", "extra", "extra_from", "extra_head")
+    if not plan.groupBy("mix_id").count().filter("count > 1").isEmpty():
+        plan = plan.groupBy("mix_id").agg(F.min_by(F.struct("mix_size", "rounds", "extra", "extra_from", "extra_head"), F.struct("mix_size", "extra")).alias("p")).select("mix_id", "p.*")
     rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["mix_id"]))
     full = F.col("extra") + F.col("extra_head") == F.col("mix_size")
     piece = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
