@@ -6,11 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_duplicates, neighbours, packing, quality, secrets, sharding
+import corpus_pipeline
+
+from . import licenses, mixing, near_duplicates, neighbours, order, packing, quality, scoring, secrets, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_secrets": secrets.op1_secrets, "op2_neighbours": neighbours.op2_neighbours, "op3_sharding": sharding.op3_sharding, "op6_mixing": mixing.op6_mixing, "op7_jaccard_join": near_duplicates.op7_jaccard_join, "op8_packing": packing.op8_packing, "op10_repetition": quality.op10_repetition}
+    return {
+        "op1_secrets": secrets.op1_secrets,
+        "op2_neighbours": neighbours.op2_neighbours,
+        "op3_sharding": sharding.op3_sharding,
+        "op4_licenses": licenses.op4_licenses,
+        "op5_scoring": scoring.op5_scoring,
+        "op6_mixing": mixing.op6_mixing,
+        "op7_jaccard_join": near_duplicates.op7_jaccard_join,
+        "op8_packing": packing.op8_packing,
+        "op9_training_order": order.op9_training_order,
+        "op10_repetition": quality.op10_repetition,
+        "pipeline": corpus_pipeline.run,
+    }
 
 
 def oracles() -> dict[str, str]:
