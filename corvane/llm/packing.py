@@ -19,6 +19,7 @@ are read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,55 +34,66 @@ from ._tokens import default_path, encoder
 CAPACITY = 2048
 CLOSING = 0
 #: Nodes of the search, fillings tried at each, and steps to find them.
-NODES, FILLINGS, STEPS = 5_000, 4, 2_000
+NODES, FILLINGS, STEPS = 5_000, 4, 500
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, ((length, pieces), ...)
 
 
-def _undominated(filling: list[int], room: int, counts: np.ndarray) -> bool:
-    """Whether no spare piece could take the place of one, two or all pieces of the filling."""
-    spare = counts.copy()
-    for x in filling:
-        spare[x] -= 1
-    sums = {*filling, sum(filling)} | {x + y for i, x in enumerate(filling) for y in filling[:i]}
-    return not any(spare[s + 1 : s + room + 1].any() for s in sums) and not spare[1 : room + 1].any()
+def _swappable(sizes: list[int], have: list[int], filling: list[int], room: int) -> bool:
+    """Whether a spare piece could take the place of none, one, two or all pieces of the filling."""
+    for gone in {0, *filling, sum(filling)} | {x + y for i, x in enumerate(filling) for y in filling[:i]}:
+        i = bisect_right(sizes, gone + room) - 1
+        while i >= 0 and sizes[i] > gone:
+            if have[sizes[i]] > filling.count(sizes[i]):
+                return True
+            i -= 1
+    return False
 
 
 def fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room`` with pieces, least waste and then fewest pieces first."""
-    found: dict[tuple[int, ...], int] = {}
-    left = [STEPS]
-    sizes = np.flatnonzero(counts[: room + 1] > 0)
+    """Undominated ways to fill ``room`` with pieces, least waste and then fewest pieces first.
 
-    def fill(chosen: list[int], room: int, most: int) -> None:
-        if left[0] <= 0 or sum(not w for w in found.values()) >= FILLINGS:
-            return
-        left[0] -= 1
-        fit = sizes[: np.searchsorted(sizes, min(room, most), "right")][::-1]
-        if room <= most and room < len(counts) and counts[room] > chosen.count(room):  # closes exactly; one piece dominates several
-            found[tuple(chosen + [room])] = 0
-            fit = fit[fit < room]
+    One piece that closes a sequence exactly dominates several that do.
+    """
+    sizes, have = np.flatnonzero(counts[: room + 1] > 0).tolist(), counts[: room + 1].tolist()
+    found: dict[tuple[int, ...], int] = {}
+    steps, exact = STEPS, 0
+    chosen: list[int] = []
+
+    def fill(room: int, most: int) -> None:
+        nonlocal steps, exact
+        steps -= 1
+        if 0 < room <= most and have[room] > chosen.count(room):
+            found[(*chosen, room)] = 0
+            exact += 1
+            most = room - 1
             if not chosen:
                 return
-        ended = True
-        for x in fit.tolist():
-            if counts[x] > chosen.count(x):
+        elif not room:
+            found[tuple(chosen)] = 0
+            return
+        i, ended = bisect_right(sizes, min(room, most)) - 1, True
+        while i >= 0 and steps > 0 and exact < FILLINGS:
+            x = sizes[i]
+            if have[x] > chosen.count(x):
                 ended = False
-                fill(chosen + [x], room - x, x)
-                if left[0] <= 0:
-                    break
-        if ended and tuple(chosen) not in found and _undominated(chosen, room, counts):
+                chosen.append(x)
+                fill(room - x, x)
+                chosen.pop()
+            i -= 1
+        if ended and i < 0 and tuple(chosen) not in found and not _swappable(sizes, have, chosen, room):
             found[tuple(chosen)] = room
 
-    fill([], room, room)
+    fill(room, room)
     if not found:  # the steps ran out: fill greedily
-        chosen: list[int] = []
-        rest = counts.copy()
-        while room and (fit := np.flatnonzero(rest[: room + 1] > 0)).size:
-            chosen.append(int(fit[-1]))
-            rest[fit[-1]] -= 1
-            room -= int(fit[-1])
-        found[tuple(chosen)] = room
+        i, left = len(sizes) - 1, room
+        while i >= 0:
+            x = sizes[i]
+            take = min(left // x, have[x])
+            chosen += [x] * take
+            left -= take * x
+            i = min(i, bisect_right(sizes, left)) - 1
+        found[tuple(chosen)] = left
     return sorted(found, key=lambda x: (found[x], len(x), [-y for y in x]))[:FILLINGS]
 
 
