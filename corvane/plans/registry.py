@@ -2,5 +2,477 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import urls
+from ..functions.text import clauses, norm_ascii, phrases
+from ..operators import acquire, articles, candidates, ingest, matching, results, rules, validation
+from .standins import COUNTRIES, PLAN, frame, sql
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+# ---- the candidate chain
+
+_IN = ", ".join(f"'{x}'" for x in COUNTRIES)
+_LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+_PLAN = "(" + " UNION ALL ".join(f"SELECT '{c.batch_id}' AS batch_id, '{c.conflict_id}' AS candidate_conflict_id, {_LIST(c.side_a)} AS side_a, {_LIST(c.side_b)} AS side_b" for c in PLAN) + ")"
+_MENTIONS = f"""SELECT {", ".join(candidates.MENTION_COLUMNS)} FROM {sql("feed_mentions")} WHERE partition_day >= date '1990-01-01' AND partition_day < date '2030-01-01'
+    AND MentionTimeDate >= 19900101000000 AND MentionTimeDate < 20300101000000 AND MentionType = 1 AND regexp_matches(MentionIdentifier, '^https?://')"""
+_EVENTS = f"""SELECT {", ".join(candidates.EVENT_COLUMNS)} FROM {sql("feed_events")} WHERE partition_day >= date '1990-01-01' AND partition_day < date '2030-01-01'
+    AND EventRootCode IN ('15', '17', '18', '19', '20') AND QuadClass = 4 AND Actor1CountryCode IN ({_IN}) AND Actor2CountryCode IN ({_IN})"""
+_TAGGED = f"""SELECT p.batch_id, p.candidate_conflict_id, e.* FROM ({_EVENTS}) e JOIN {_PLAN} p
+    ON (list_contains(side_a, Actor1CountryCode) AND list_contains(side_b, Actor2CountryCode)) OR (list_contains(side_b, Actor1CountryCode) AND list_contains(side_a, Actor2CountryCode))"""
+_RAW = f"""SELECT DISTINCT t.*, MentionIdentifier AS source_url, MentionSourceName AS source_name, MentionTimeDate AS gdelt_mention_time, Confidence AS extraction_confidence, InRawText, SentenceID, MentionDocTranslationInfo AS translation_info
+    FROM ({_TAGGED}) t JOIN ({_MENTIONS}) m USING (GLOBALEVENTID)"""
+_SUMMARY = f"""SELECT candidate_conflict_id, source_url, min(source_name) AS source_name, min(gdelt_mention_time) AS first_mention_time, min(SQLDATE) AS first_event_date, max(SQLDATE) AS last_event_date,
+    count(DISTINCT GLOBALEVENTID) AS event_count, string_agg(DISTINCT EventRootCode, ',' ORDER BY EventRootCode) AS root_codes, max(extraction_confidence) AS max_confidence, bool_or(coalesce(translation_info, '') <> '') AS translated
+    FROM ({_RAW}) GROUP BY ALL"""
+_GEO = ", ".join(f"{a} AS {b}" for a, b in candidates.GEO.items())
+_LOCATIONS = f"SELECT candidate_conflict_id, source_url, {_GEO}, count(DISTINCT GLOBALEVENTID) AS n, min(SQLDATE) AS first_day FROM ({_RAW}) GROUP BY ALL"
+_TOP = f"""SELECT candidate_conflict_id, source_url, {", ".join(candidates.GEO.values())}, location_count FROM (SELECT *, count(*) OVER (PARTITION BY candidate_conflict_id, source_url) AS location_count,
+    row_number() OVER (PARTITION BY candidate_conflict_id, source_url ORDER BY geo_lat IS NULL, n DESC, first_day, {", ".join(f"{x} NULLS FIRST" for x in candidates.GEO.values())}) AS nth FROM ({_LOCATIONS})) WHERE nth = 1"""
+_URLS = f"SELECT * FROM ({_SUMMARY}) JOIN ({_TOP}) USING (candidate_conflict_id, source_url)"
+_EXPORT = f"""SELECT candidate_conflict_id AS conflict_id, cast(strptime(substr(cast(first_mention_time AS varchar), 1, 8), '%Y%m%d') AS date) AS published_date, source_url AS article_url, cast(NULL AS varchar) AS title FROM ({_URLS})"""
+_ALL_DAYS = candidates.date(1990, 1, 1), candidates.date(2030, 1, 1)
+
+
+@query(_MENTIONS)
+def mention_filter(spark, sf_dir):
+    return candidates.mentions(frame(spark, sf_dir, "feed_mentions"), _ALL_DAYS)
+
+
+@query(_EVENTS)
+def event_filter(spark, sf_dir):
+    return candidates.events(frame(spark, sf_dir, "feed_events"), COUNTRIES, _ALL_DAYS)
+
+
+@query(_TAGGED)
+def dyad_tag_equi(spark, sf_dir):
+    return candidates.tag(event_filter(spark, sf_dir), candidates.plan_table(spark, PLAN))
+
+
+@query(_TAGGED)
+def dyad_tag_theta(spark, sf_dir):
+    return candidates.tag_by_sides(event_filter(spark, sf_dir), candidates.plan_table(spark, PLAN))
+
+
+@query(_RAW)
+def candidates_raw(spark, sf_dir):
+    return candidates.candidates_raw(dyad_tag_equi(spark, sf_dir), mention_filter(spark, sf_dir))
+
+
+@query(_SUMMARY)
+def url_base_summary(spark, sf_dir):
+    return candidates.url_summary(candidates_raw(spark, sf_dir))
+
+
+@query(_LOCATIONS)
+def location_rollup(spark, sf_dir):
+    return candidates.location_counts(candidates_raw(spark, sf_dir))
+
+
+@query(_TOP)
+def top_location(spark, sf_dir):
+    return candidates.top_locations(location_rollup(spark, sf_dir))
+
+
+@query(_URLS)
+def candidate_urls(spark, sf_dir):
+    return candidates.candidate_urls(candidates_raw(spark, sf_dir))
+
+
+@query(_EXPORT)
+def article_export_sorted(spark, sf_dir):
+    return candidates.in_export_order(candidates.article_export(candidate_urls(spark, sf_dir))).drop("article_id")
+
+
+@query()
+def article_fingerprint(spark, sf_dir):
+    return candidates.article_export(candidate_urls(spark, sf_dir)).select("article_id", "conflict_id", "article_url")
+
+
+@query(f"SELECT DISTINCT published_date FROM ({_EXPORT})")
+def published_date(spark, sf_dir):
+    return candidates.article_export(candidate_urls(spark, sf_dir)).select("published_date").distinct()
+
+
+# ---- ingest and page queue
+
+_INPUTS = sql("feed_inputs")
+_HOST = r"regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)"
+_PAGES = f"""SELECT url, lower({_HOST}) AS domain, CASE WHEN regexp_matches(url, '^https?://[^/?#]') THEN 'pending' ELSE 'invalid_url' END AS status, row_no, expected_date
+    FROM (SELECT url, row_no, published_date AS expected_date, row_number() OVER (PARTITION BY url ORDER BY row_no) AS nth FROM {_INPUTS}) WHERE nth = 1"""
+_LADDER = f"""SELECT page_id, CASE WHEN http_status IS NULL THEN 'fetch_error' WHEN http_status <> 200 THEN 'http_' || http_status WHEN NOT contains(content_type, 'html') THEN 'not_html'
+    WHEN len(string_split(trim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), '/')) > 1 AND trim(regexp_extract(final_url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') = '' THEN 'redirect_to_home'
+    WHEN NOT found THEN 'no_body' WHEN abs(date_diff('day', try_cast(substr(extracted_date, 1, 10) AS date), try_cast(substr(expected_date, 1, 10) AS date))) > 30 THEN 'article_date_mismatch'
+    WHEN regexp_matches(title, '{acquire.CHALLENGE}') THEN 'access_challenge' WHEN length(body) < 400 THEN 'short_or_partial' ELSE 'extracted' END AS status FROM {sql("feed_fetched")}"""
+
+
+@query(f"SELECT row_no, article_id, conflict_id, published_date, url, title FROM {_INPUTS}")
+def ingest_rows(spark, sf_dir):
+    return frame(spark, sf_dir, "feed_inputs").select(*ingest.INPUT)
+
+
+@query(_PAGES)
+def pages_first_wins(spark, sf_dir):
+    return ingest.pages(frame(spark, sf_dir, "feed_inputs"))
+
+
+@query(f"SELECT status, count(*) AS n FROM ({_PAGES}) GROUP BY 1")
+def status_counts(spark, sf_dir):
+    return ingest.status_counts(pages_first_wins(spark, sf_dir))
+
+
+@query(f"SELECT domain, min(row_no) AS first_row, count(*) AS pending FROM ({_PAGES}) WHERE status = 'pending' GROUP BY 1")
+def domain_queue(spark, sf_dir):
+    return ingest.domain_queue(pages_first_wins(spark, sf_dir))
+
+
+@query(f"SELECT url, arg_min(published_date, row_no) AS expected_date FROM {_INPUTS} GROUP BY 1")
+def first_expected_date(spark, sf_dir):
+    return pages_first_wins(spark, sf_dir).select("url", "expected_date")
+
+
+def _cached(inputs: DataFrame) -> DataFrame:
+    """An older input in which every ninth title differs and the last rows are missing."""
+    return inputs.filter("row_no % 101 <> 0").withColumn("title", F.when(F.col("row_no") % 9 == 0, "old").otherwise(F.col("title")))
+
+
+@query(f"SELECT row_no FROM {_INPUTS} WHERE row_no % 101 = 0 OR (row_no % 9 = 0 AND title <> 'old')")
+def cache_reconcile(spark, sf_dir):
+    inputs = frame(spark, sf_dir, "feed_inputs")
+    return ingest.differences(inputs, _cached(inputs))
+
+
+@query(_LADDER)
+def fetch_status_ladder(spark, sf_dir):
+    return frame(spark, sf_dir, "feed_fetched").select("page_id", acquire.status().alias("status"))
+
+
+@query(f"SELECT * FROM ({_LADDER}) WHERE status = 'article_date_mismatch'")
+def date_mismatch(spark, sf_dir):
+    return fetch_status_ladder(spark, sf_dir).filter("status = 'article_date_mismatch'")
+
+
+@query(f"SELECT page_id FROM {sql('feed_fetched')} WHERE regexp_matches(title, '{acquire.CHALLENGE}')")
+def challenge_title(spark, sf_dir):
+    return frame(spark, sf_dir, "feed_fetched").filter(F.col("title").rlike(acquire.CHALLENGE)).select("page_id")
+
+
+@query("SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS title FROM pages")
+def html_title_extract(spark, sf_dir):
+    return frame(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>([^<]*)</title>", 1)).alias("title"))
+
+
+@query()
+def html_text_extract(spark, sf_dir):
+    @F.pandas_udf("title string, date string, text string")
+    def read(html):
+        import pandas as pd
+
+        got = [acquire.extract(x or "") or {} for x in html]
+        return pd.DataFrame({k: [g.get(k) for g in got] for k in ("title", "date", "text")})
+
+    return frame(spark, sf_dir, "pages").select("page_id", read("html").alias("r")).select("page_id", "r.title", F.char_length("r.text").alias("n_chars"))
+
+
+# ---- text
+
+_ASCII = r"regexp_replace(text, '[^\x00-\x7F]', '', 'g')"
+
+
+@query(rf"SELECT doc_id, lower(trim(regexp_replace({_ASCII}, '[ \t\n\x0b\f\r\x1c-\x1f]+', ' ', 'g'))) AS plain FROM documents")
+def text_norm(spark, sf_dir):
+    return frame(spark, sf_dir, "documents").select("doc_id", norm_ascii(F.regexp_replace("text", r"[^\x00-\x7F]", "")).alias("plain"))
+
+
+@query(r"SELECT doc_id, min(sentence_no) AS sentence_no, sentence FROM (SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) - 1 AS sentence_no FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE trim(sentence) <> '' GROUP BY 1, 3")
+def sentence_split(spark, sf_dir):
+    lines = frame(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("sentence_no", "sentence")).filter(F.trim("sentence") != "")
+    return lines.groupBy("doc_id", "sentence").agg(F.min("sentence_no").alias("sentence_no"))
+
+
+_SENTENCES, _TERMS = sql("feed_sentences"), sql("feed_terms")
+_FREE = r"(?:^|[^a-z0-9_''-])"
+_MATCHES = f"""SELECT sentence_id, url, sentence_no, sentence, name AS matched_name, category_id, place AS start_pos, place + len(term) AS end_pos
+    FROM (SELECT s.*, t.*, instr(lower(sentence), term) - 1 AS place FROM {_SENTENCES} s JOIN {_TERMS} t ON contains(lower(sentence), term))
+    WHERE NOT regexp_matches(coalesce(nullif(substr(lower(sentence), place, CASE WHEN place > 0 THEN 1 ELSE 0 END), ''), ' '), '[a-z0-9_''-]') AND NOT regexp_matches(substr(lower(sentence), place + len(term) + 1, 1), '[a-z0-9_''-]')"""
+
+
+def _found(spark, sf_dir):
+    texts = frame(spark, sf_dir, "feed_sentences").withColumn("text", norm_ascii(F.col("sentence")))
+    found = matching.locate(texts, frame(spark, sf_dir, "feed_terms"))
+    return found.select("sentence_id", "url", "sentence_no", "sentence", F.col("name").alias("matched_name"), "category_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"))
+
+
+def _numbered(spark, sf_dir):
+    return _found(spark, sf_dir).withColumn("match_id", F.col("sentence_id"))
+
+
+@query(_MATCHES)
+def term_match(spark, sf_dir):
+    return _found(spark, sf_dir)
+
+
+@query(f"SELECT count(DISTINCT url) AS pages, count(*) AS matches FROM ({_MATCHES})")
+def pages_with_matches(spark, sf_dir):
+    return _found(spark, sf_dir).agg(F.count_distinct("url").alias("pages"), F.count("*").alias("matches"))
+
+
+@query(f"SELECT DISTINCT url FROM {_SENTENCES} s WHERE NOT EXISTS (SELECT 1 FROM ({_MATCHES}) m WHERE m.url = s.url AND m.category_id = 'W03')")
+def resume_anti(spark, sf_dir):
+    done = _found(spark, sf_dir).filter("category_id = 'W03'").select("url").distinct()
+    return frame(spark, sf_dir, "feed_sentences").select("url").distinct().join(done, "url", "left_anti")
+
+
+@query(f"SELECT DISTINCT url FROM {_SENTENCES} s WHERE EXISTS (SELECT 1 FROM ({_MATCHES}) m WHERE m.url = s.url AND m.category_id = 'W03')")
+def matched_semi(spark, sf_dir):
+    done = _found(spark, sf_dir).filter("category_id = 'W03'").select("url").distinct()
+    return frame(spark, sf_dir, "feed_sentences").select("url").distinct().join(done, "url", "left_semi")
+
+
+@query(f"SELECT DISTINCT url FROM {_SENTENCES} WHERE url NOT IN (SELECT url FROM ({_MATCHES}) WHERE category_id = 'T01')")
+def not_in_anti(spark, sf_dir):
+    done = _found(spark, sf_dir).filter("category_id = 'T01'").select("url").distinct()
+    return frame(spark, sf_dir, "feed_sentences").select("url").distinct().join(done, "url", "left_anti")
+
+
+# ---- articles
+
+_PAGE = f"(SELECT url, title AS page_title FROM {sql('feed_fetched')} WHERE found)"
+_TITLED = f"SELECT row_no, article_id, conflict_id, published_date, url, CASE WHEN trim(coalesce(page_title, '')) <> '' THEN page_title ELSE title END AS title FROM {_INPUTS} JOIN {_PAGE} USING (url)"
+_NORMAL = r"""concat(lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*:)?', 1)), lower(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?', 1)), regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), CASE WHEN regexp_extract(u, '\?([^#]*)', 1) <> '' THEN '?' || regexp_extract(u, '\?([^#]*)', 1) ELSE '' END)"""
+_KEYED = f"""SELECT *, row_number() OVER w AS nth, first(article_id) OVER w AS kept FROM (SELECT *, trim(published_date) <> '' AS whole, {_NORMAL} AS key_url FROM (SELECT *, replace(url, chr(92), '/') AS u FROM ({_TITLED})))
+    WINDOW w AS (PARTITION BY whole, conflict_id, key_url, title, url_class ORDER BY row_no)""".replace("AS key_url FROM", "AS key_url, url AS url_class FROM")
+_JUDGED = f"""SELECT row_no, article_id, CASE WHEN NOT whole THEN 'missing_required_article_field' WHEN nth > 1 THEN 'same_normalized_url_conflict_title_matching_content' END AS reason, CASE WHEN whole AND nth > 1 THEN kept END AS retained_article_id FROM ({_KEYED})"""
+
+
+def _page_table(spark, sf_dir):
+    return frame(spark, sf_dir, "feed_fetched").filter("found").select("url", "title", F.lit("extracted").alias("status"))
+
+
+def _page_matches(spark, sf_dir):
+    """Every page with one match of its own, so that the signature follows the address."""
+    return _page_table(spark, sf_dir).select("url", F.lit("W01").alias("category_id"), F.lit("x").alias("matched_name"), F.col("url").alias("sentence"))
+
+
+def _judged(spark, sf_dir):
+    return articles.judged(frame(spark, sf_dir, "feed_inputs"), _page_table(spark, sf_dir), _page_matches(spark, sf_dir))
+
+
+@query(_TITLED)
+def title_fallback(spark, sf_dir):
+    return articles.titled(frame(spark, sf_dir, "feed_inputs"), _page_table(spark, sf_dir))
+
+
+@query(f"SELECT row_no, article_id FROM ({_JUDGED}) WHERE reason = 'missing_required_article_field'")
+def missing_exclusions(spark, sf_dir):
+    return articles.exclusions(_judged(spark, sf_dir)).filter("reason = 'missing_required_article_field'").select("row_no", "article_id")
+
+
+@query(f"SELECT n_pages, count(*) AS signatures FROM (SELECT s, count(*) AS n_pages FROM (SELECT url, string_agg(DISTINCT concat(category_id, '|', matched_name, '|', sentence), chr(10) ORDER BY concat(category_id, '|', matched_name, '|', sentence)) AS s FROM ({_MATCHES}) GROUP BY url) GROUP BY s) GROUP BY 1")
+def match_signature(spark, sf_dir):
+    return articles.signatures(_found(spark, sf_dir)).groupBy("signature").agg(F.count("*").alias("n_pages")).groupBy("n_pages").agg(F.count("*").alias("signatures"))
+
+
+@query(f"SELECT row_no, article_id FROM ({_JUDGED}) WHERE reason IS NULL")
+def article_dedup(spark, sf_dir):
+    return articles.selected(_judged(spark, sf_dir)).select("row_no", "article_id")
+
+
+@query(f"SELECT * FROM ({_JUDGED}) WHERE reason IS NOT NULL")
+def exclusions(spark, sf_dir):
+    return articles.exclusions(_judged(spark, sf_dir))
+
+
+@query(f"SELECT page_id, {_NORMAL} AS normal FROM (SELECT page_id, replace(concat(upper(substr(url, 1, 5)), substr(url, 6, 1000)), chr(92), '/') AS u FROM pages)")
+def url_normalize(spark, sf_dir):
+    return frame(spark, sf_dir, "pages").select("page_id", urls.normalized(F.expr("concat(upper(substr(url, 1, 5)), substr(url, 6, 1000))")).alias("normal"))
+
+
+# ---- rules
+
+_USAGE = sql("feed_usage")
+_FORMS = f"SELECT pattern_id, base_form, raw FROM (SELECT pattern_id, base_form, base_form AS raw FROM {_USAGE} UNION ALL SELECT pattern_id, base_form, trans_form FROM {_USAGE}) WHERE coalesce(raw, '') <> ''"
+_PHRASES = rf"""SELECT DISTINCT pattern_id, base_form, lower(trim(phrase)) AS phrase FROM (SELECT pattern_id, base_form, raw AS phrase FROM ({_FORMS}) UNION ALL
+    SELECT pattern_id, base_form, unnest(string_split_regex(trim(regexp_replace(raw, '\([^)]*\)', '', 'g')), '\s+/\s+')) FROM ({_FORMS})) WHERE trim(phrase) <> ''"""
+_QUOTED = lambda xs: ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
+_ANY = lambda xs, tail="": r"\b(?:" + "|".join(x.replace("'", "''") for x in xs) + ")" + tail + r"\b"
+_LABELS = rf"""SELECT pattern_id, phrase, CASE WHEN regexp_matches(phrase, '{_ANY(rules.DOUBTFUL_WORDS)}') THEN 2 WHEN base_form IN ({_QUOTED(rules.NOT_USED_FORMS)}) THEN 1 WHEN base_form IN ({_QUOTED(rules.UNCERTAIN_FORMS)}) THEN 2 ELSE 0 END AS code FROM ({_PHRASES})"""
+_CLAUSES = rf"""SELECT sentence_id, clause_no - 1 AS clause_no, clause FROM (SELECT sentence_id, unnest(parts) AS clause, generate_subscripts(parts, 1) AS clause_no FROM (SELECT sentence_id, string_split_regex(lower(sentence), ';|\bbut\b|\bwhereas\b|\bwhile\b') AS parts FROM {_SENTENCES}))"""
+_HITS = rf"""SELECT sentence_id, clause_no, clause, bare, pattern_id, phrase, code, place AS first, place + len(phrase) AS stop FROM (SELECT *, instr(bare, phrase) - 1 AS place FROM (SELECT *, trim(clause) AS bare FROM ({_CLAUSES})) JOIN ({_LABELS}) ON contains(trim(clause), phrase))
+    WHERE NOT regexp_matches(CASE WHEN place > 0 THEN substr(bare, place, 1) ELSE ' ' END, '[a-z0-9_''-]') AND NOT regexp_matches(substr(bare, place + len(phrase) + 1, 1), '[a-z0-9_''-]')"""
+_LONGEST = f"SELECT * FROM ({_HITS}) h WHERE NOT EXISTS (SELECT 1 FROM ({_HITS}) g WHERE g.sentence_id = h.sentence_id AND g.clause_no = h.clause_no AND g.first <= h.first AND g.stop >= h.stop AND g.stop - g.first > h.stop - h.first)"
+_PREFIX = "substr(clause, greatest(first - 85, 0) + 1, first - greatest(first - 85, 0))"
+_ADJUSTED = rf"""SELECT sentence_id, clause_no, bare, CASE WHEN code <> 0 THEN code WHEN regexp_matches({_PREFIX}, '{_ANY(rules.NEGATION)}') THEN 1 WHEN regexp_matches({_PREFIX}, '{_ANY(rules.DOUBT)}') THEN 2
+    WHEN regexp_matches({_PREFIX}, '{_ANY(rules.FUTURE)}') OR regexp_matches(clause, '{_ANY(rules.NOT_IN_ACTION)}') THEN 1 WHEN NOT regexp_matches(clause, '{_ANY(rules.ACTION)}') THEN 2 ELSE 0 END AS code FROM ({_LONGEST})"""
+_LOW, _TERM = "lower(sentence)", "lower(matched_name)"
+_WINDOW = f"substr({_LOW}, greatest(start_pos - 90, 0) + 1, end_pos + 90 - greatest(start_pos - 90, 0))"
+_KIND = " ".join(f"WHEN substr(category_id, 1, 3) = '{k}' THEN regexp_matches({_WINDOW}, '{_ANY(v, 's?')}')" for k, v in rules.TYPE_CONTEXT.items())
+_PLAUSIBLE = rf"""CASE WHEN starts_with(category_id, 'T') THEN true WHEN regexp_matches({_TERM}, '^[0-9]+$') OR len({_TERM}) = 1 THEN false WHEN regexp_matches({_TERM}, '[a-z]') AND regexp_matches({_TERM}, '[0-9]') THEN true
+    WHEN contains({_TERM}, ' ') AND regexp_matches({_TERM}, '{_ANY(rules.CONTEXT)}') THEN true WHEN NOT (CASE {_KIND} ELSE regexp_matches({_WINDOW}, '\bweapons?\b') END) THEN false
+    WHEN regexp_matches({_LOW}, '{_ANY(rules.RANKS)}') AND {_TERM} IN ({_QUOTED(rules.RANK_TERMS)}) THEN false
+    ELSE regexp_matches(sentence, concat('(?:^|[^A-Za-z0-9_])', matched_name, '(?:$|[^A-Za-z0-9_])')) END"""
+_GATE = rf"""CASE WHEN len({_TERM}) <= 3 OR regexp_matches({_TERM}, '^[0-9]+$') THEN 'ambiguous_short_or_numeric_designation'
+    WHEN starts_with(category_id, 'W') AND NOT regexp_matches({_TERM}, '[0-9]') AND NOT contains({_TERM}, ' ') AND NOT (matched_name = upper(matched_name) AND len(matched_name) >= 3) THEN 'single_word_weapon_name_requires_review'
+    WHEN starts_with(category_id, 'W') AND NOT regexp_matches({_LOW}, '{_ANY(rules.CONTEXT)}') THEN 'weapon_context_unresolved'
+    WHEN starts_with(category_id, 'W') AND (regexp_matches({_LOW}, '\b(?:was|were|been|is|are)\s+(?:{"|".join(rules.TARGET_WORDS)})\b') OR regexp_matches({_LOW}, concat('\bshot down\s+(?:a |an |the )?', {_TERM}))) THEN 'weapon_as_target_does_not_establish_its_use'
+    WHEN regexp_matches({_LOW}, '\b(?:armament|equipment|weapon)\s+used\s+by\b') AND regexp_matches({_LOW}, '\bis\b') THEN 'equipment_description_not_specific_use_event' END"""
+_SENTENCE_HITS = rf"""SELECT sentence, string_agg(DISTINCT pattern_id, ',' ORDER BY pattern_id) AS ids FROM (SELECT *, instr(lower(sentence), phrase) - 1 AS place FROM (SELECT DISTINCT sentence FROM ({_MATCHES})) JOIN ({_LABELS}) ON contains(lower(sentence), phrase))
+    WHERE NOT regexp_matches(CASE WHEN place > 0 THEN substr(lower(sentence), place, 1) ELSE ' ' END, '[a-z0-9_''-]') AND NOT regexp_matches(substr(lower(sentence), place + len(phrase) + 1, 1), '[a-z0-9_''-]') GROUP BY 1"""
+_BEST = f"SELECT m.sentence_id, min(a.code) AS best FROM ({_MATCHES}) m JOIN ({_ADJUSTED}) a ON a.sentence_id = m.sentence_id AND regexp_matches(a.bare, concat('(?:^|[^a-z0-9_''-])', {_TERM}, '(?:$|[^a-z0-9_''-])')) GROUP BY 1"
+_DECIDED = f"""SELECT sentence_id AS match_id, cast(CASE WHEN NOT sound OR ids IS NULL THEN NULL WHEN gate IS NOT NULL THEN 2 ELSE coalesce(best, 2) END AS int) AS usage_code,
+    CASE WHEN NOT sound THEN 'literal_match_without_supported_weapon_reference' WHEN ids IS NULL THEN 'no_usage_pattern' WHEN gate IS NOT NULL THEN gate WHEN best IS NULL THEN 'usage_expression_in_other_clause_or_relation_unclear' ELSE 'rule_classification' END AS reason, coalesce(ids, '') AS pattern_ids
+    FROM (SELECT *, {_PLAUSIBLE} AS sound, {_GATE} AS gate FROM ({_MATCHES})) LEFT JOIN ({_SENTENCE_HITS}) USING (sentence) LEFT JOIN ({_BEST}) USING (sentence_id)"""
+
+
+def _usage(spark, sf_dir):
+    return rules.patterns(frame(spark, sf_dir, "feed_usage"))
+
+
+def _decided(spark, sf_dir):
+    return rules.decide(_numbered(spark, sf_dir), _usage(spark, sf_dir))
+
+
+@query(f"SELECT pattern_id, phrase FROM ({_PHRASES})")
+def pattern_expand(spark, sf_dir):
+    usage = frame(spark, sf_dir, "feed_usage").select("pattern_id", F.explode(F.array("base_form", "trans_form")).alias("raw")).filter("coalesce(raw, '') <> ''")
+    return usage.select("pattern_id", norm_ascii(F.explode(phrases(F.col("raw")))).alias("phrase")).distinct()
+
+
+@query(f"SELECT pattern_id, phrase, max(code) AS code FROM ({_LABELS}) GROUP BY 1, 2")
+def pattern_label(spark, sf_dir):
+    return _usage(spark, sf_dir).groupBy("pattern_id", "phrase").agg(F.max("code").alias("code"))
+
+
+@query(_CLAUSES)
+def clause_split(spark, sf_dir):
+    return frame(spark, sf_dir, "feed_sentences").select("sentence_id", F.posexplode(clauses(norm_ascii(F.col("sentence")))).alias("clause_no", "clause"))
+
+
+@query(f"SELECT sentence_id, clause_no, count(*) AS hits, min(first) AS first, max(stop) AS stop FROM ({_LONGEST}) GROUP BY 1, 2")
+def pattern_hits_longest(spark, sf_dir):
+    split = clause_split(spark, sf_dir).withColumn("bare", F.trim("clause"))
+    found = matching.locate(split, _usage(spark, sf_dir).select("phrase", "pattern_id", "code").distinct(), text="bare", term="phrase")
+    kept = found.groupBy("sentence_id", "clause_no").agg(rules.longest(F.collect_list(F.struct("start", "end", "pattern_id"))).alias("h"))
+    return kept.select("sentence_id", "clause_no", F.size("h").cast("long").alias("hits"), F.array_min(F.col("h.start")).alias("first"), F.array_max(F.col("h.end")).alias("stop"))
+
+
+@query(f"SELECT sentence_id, {_PLAUSIBLE} AS sound FROM ({_MATCHES})")
+def plausible_reference(spark, sf_dir):
+    rows = _found(spark, sf_dir).withColumn("text", norm_ascii(F.col("sentence"))).withColumn("term", norm_ascii(F.col("matched_name")))
+    return rows.select("sentence_id", rules.plausible(*(F.col(c) for c in ("text", "term", "matched_name", "category_id", "sentence", "start_pos", "end_pos"))).alias("sound"))
+
+
+@query(_DECIDED)
+def classify_sentence(spark, sf_dir):
+    return _decided(spark, sf_dir).withColumn("pattern_ids", F.array_join("pattern_ids", ","))
+
+
+@query(f"SELECT coalesce(cast(usage_code AS varchar), 'unclassified') AS code, count(*) AS n FROM ({_DECIDED}) GROUP BY 1")
+def decision_counts(spark, sf_dir):
+    return rules.decision_counts(_decided(spark, sf_dir))
+
+
+_LABELLED = f"SELECT m.*, d.usage_code, d.match_id FROM ({_MATCHES}) m JOIN ({_DECIDED}) d ON m.sentence_id = d.match_id WHERE d.usage_code IS NOT NULL"
+_GROUPED = f"""SELECT url, category_id, usage_code, string_agg(sentence, chr(10) ORDER BY sentence_no, match_id) AS evidence_sentence FROM (SELECT url, category_id, usage_code, sentence, sentence_no, match_id FROM (SELECT *, min(usage_code) OVER (PARTITION BY url, category_id) AS best,
+    row_number() OVER (PARTITION BY url, category_id, usage_code, sentence ORDER BY sentence_no, match_id) AS nth FROM ({_LABELLED})) WHERE usage_code = best AND nth = 1) GROUP BY 1, 2, 3"""
+
+
+@query(f"SELECT url, category_id, usage_code FROM ({_GROUPED})")
+def priority_result(spark, sf_dir):
+    return evidence_concat(spark, sf_dir).drop("evidence_sentence")
+
+
+@query(_GROUPED)
+def evidence_concat(spark, sf_dir):
+    return results.grouped(_numbered(spark, sf_dir), _decided(spark, sf_dir))
+
+
+_SELECTED = f"SELECT DISTINCT cast(substr(url, 13, position('.' IN url) - 13) AS bigint) AS row_no, concat('A', substr(url, 13, position('.' IN url) - 13)) AS article_id, url FROM {_SENTENCES}"
+
+
+def _selected(spark, sf_dir):
+    number = F.expr("substr(url, 13, position('.' IN url) - 13)")
+    return frame(spark, sf_dir, "feed_sentences").select(number.cast("long").alias("row_no"), F.concat(F.lit("A"), number).alias("article_id"), "url").distinct()
+
+
+@query(f"SELECT article_id, category_id, usage_code, evidence_sentence FROM ({_SELECTED}) JOIN ({_GROUPED}) USING (url)")
+def result_export(spark, sf_dir):
+    return results.in_result_order(results.results(_selected(spark, sf_dir), evidence_concat(spark, sf_dir)))
+
+
+# ---- validation: each on data in which something was broken on purpose
+
+_BROKEN = f"SELECT article_id, CASE WHEN row_no % 7 = 0 THEN 'W99' ELSE category_id END AS category_id, CASE WHEN row_no % 5 = 0 THEN 3 ELSE usage_code END AS usage_code, evidence_sentence FROM ({_SELECTED}) JOIN ({_GROUPED}) USING (url)"
+
+
+def _broken(spark, sf_dir):
+    rows = results.results(_selected(spark, sf_dir), evidence_concat(spark, sf_dir))
+    return rows.select("article_id", F.when(F.col("row_no") % 7 == 0, "W99").otherwise(F.col("category_id")).alias("category_id"), F.when(F.col("row_no") % 5 == 0, 3).otherwise(F.col("usage_code")).alias("usage_code"), "evidence_sentence")
+
+
+@query(f"SELECT row_no AS n FROM {_INPUTS} WHERE row_no % 101 = 0 OR (row_no % 9 = 0 AND title <> 'old')")
+def v_same_rows(spark, sf_dir):
+    rows = frame(spark, sf_dir, "feed_inputs").select(F.col("row_no").alias("n"), "article_id", "title")
+    return validation.not_equal(rows, _cached(rows.withColumnRenamed("n", "row_no")).withColumnRenamed("row_no", "n"))
+
+
+@query(f"SELECT article_id FROM {_INPUTS} WHERE trim(published_date) = ''")
+def v_complete(spark, sf_dir):
+    return validation.incomplete(frame(spark, sf_dir, "feed_inputs"))
+
+
+@query(f"SELECT article_id, category_id FROM ({_BROKEN}) WHERE article_id NOT IN (SELECT article_id FROM ({_SELECTED}) WHERE row_no % 3 > 0)")
+def v_known_articles(spark, sf_dir):
+    return validation.unknown_articles(_broken(spark, sf_dir), _selected(spark, sf_dir).filter("row_no % 3 > 0"))
+
+
+@query(f"SELECT article_id, category_id FROM ({_BROKEN}) WHERE usage_code NOT IN (0, 1, 2)")
+def v_codes(spark, sf_dir):
+    return validation.bad_codes(_broken(spark, sf_dir))
+
+
+@query(f"SELECT article_id, category_id FROM ({_BROKEN}) GROUP BY 1, 2 HAVING count(*) > 1")
+def v_unique(spark, sf_dir):
+    return validation.repeated_keys(_broken(spark, sf_dir))
+
+
+@query(f"SELECT DISTINCT category_id FROM ({_BROKEN}) WHERE category_id NOT IN (SELECT category_id FROM {_TERMS})")
+def v_categories(spark, sf_dir):
+    return validation.unknown_categories(_broken(spark, sf_dir), frame(spark, sf_dir, "feed_terms"))
+
+
+_TRUE = f"SELECT article_id, category_id, usage_code, evidence_sentence FROM ({_SELECTED}) JOIN ({_GROUPED}) USING (url)"
+
+
+@query(f"SELECT article_id, category_id FROM (({_BROKEN}) EXCEPT ALL ({_TRUE})) UNION ALL SELECT article_id, category_id FROM (({_TRUE}) EXCEPT ALL ({_BROKEN}))")
+def v_labels(spark, sf_dir):
+    return validation.wrong_labels(_broken(spark, sf_dir), _selected(spark, sf_dir), _numbered(spark, sf_dir), _decided(spark, sf_dir))
+
+
+@query(f"SELECT sentence_id AS match_id FROM ({_MATCHES}) WHERE sentence_id % 10 = 0")
+def v_decided(spark, sf_dir):
+    return validation.undecided(_numbered(spark, sf_dir), _selected(spark, sf_dir), _decided(spark, sf_dir).filter("match_id % 10 <> 0"))
+
+
+@query(f"SELECT row_no FROM {_INPUTS} WHERE row_no % 8 = 0 AND published_date <> 'later'")
+def v_only_titles(spark, sf_dir):
+    rows = frame(spark, sf_dir, "feed_inputs")
+    return validation.changed(rows.withColumn("published_date", F.when(F.col("row_no") % 8 == 0, "later").otherwise(F.col("published_date"))), rows)
