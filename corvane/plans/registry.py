@@ -353,7 +353,7 @@ def _decided(spark, sf_dir):
 @query(f"SELECT pattern_id, phrase FROM ({_PHRASES})")
 def pattern_expand(spark, sf_dir):
     usage = frame(spark, sf_dir, "feed_usage").select("pattern_id", F.explode(F.array("base_form", "trans_form")).alias("raw")).filter("coalesce(raw, '') <> ''")
-    return usage.select("pattern_id", norm_ascii(F.explode(phrases(F.col("raw")))).alias("phrase")).distinct()
+    return usage.select("pattern_id", F.explode(phrases(F.col("raw"))).alias("phrase")).select("pattern_id", norm_ascii(F.col("phrase")).alias("phrase")).distinct()
 
 
 @query(f"SELECT pattern_id, phrase, max(code) AS code FROM ({_LABELS}) GROUP BY 1, 2")
