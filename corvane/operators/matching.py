@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,9 +47,8 @@ def locate(texts: DataFrame, terms: DataFrame, text: str = "text", term: str = "
 
 def locate_by_automaton(texts: DataFrame, terms: list[tuple[str, str, str]], text: str = "text") -> DataFrame:
     """``locate`` for (term, name, category_id) of any kind, by one automaton in each worker."""
-    keep = texts.schema
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
         words: dict[str, list] = {}
@@ -62,20 +62,19 @@ def locate_by_automaton(texts: DataFrame, terms: list[tuple[str, str, str]], tex
         token = lambda c: c.isalnum() or c in "_'-"
         for batch in batches:
             at, found = [], []
-            for i, own in enumerate(batch[text]):
+            for i, own in enumerate(batch.column(text).to_pylist()):
                 for last, term in machine.iter(own) if own and len(machine) else ():
                     a, b = last - len(term) + 1, last + 1
                     if not (a and token(own[a - 1])) and not (b < len(own) and token(own[b])):
                         for name, category in words[term]:
                             at.append(i)
                             found.append((term, name, category, a, b))
-            out = batch.iloc[at].reset_index(drop=True)
-            for k, column in enumerate(("term", "name", "category_id", "start", "end")):
-                out[column] = [x[k] for x in found]
-            yield out
+            kept = batch.take(pa.array(at, pa.int64()))
+            new = [pa.array([x[k] for x in found], pa.string() if k < 3 else pa.int32()) for k in range(5)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*kept.schema.names, "term", "name", "category_id", "start", "end"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return texts.mapInPandas(rows, fields + ", term string, name string, category_id string, start int, end int")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
+    return texts.mapInArrow(rows, fields + ", term string, name string, category_id string, start int, end int")
 
 
 def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = None) -> DataFrame:
