@@ -13,18 +13,23 @@ word has none and links with nothing).  Two documents link when their sets' Jacc
 
 The boundary is where enumerating starts to cost more than scanning, by the sizes found.
 
+Pairs that meet are compared by parity first: each set keeps the parity of the number of its
+hashes in each of some buckets, and where two sets' parities differ, so do the sets.  Pairs with
+too many differences are out for certain; only the rest are compared shingle by shingle.
+
 A list does not emit all its pairs.  Its members are compared with one of them, links found are
 contracted to components, and lists that fall into one component are done.  Such rounds go on
 while the pairs left across components are many; then each of those is compared.  So no link
 between different components is missed, and a large group of near copies costs about one
 comparison a member.  Lists with very many members are split, and their parts joined by pivots.
 
-Sets are kept as 64-bit hashes.  Null texts are empty, repeated rows and copies get the same
+Sets are kept as 64-bit hashes (the lower 48 bits when two are compared).  Null texts are empty, repeated rows and copies get the same
 component, an empty table gives an empty result, and only doc_id and text are read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -43,7 +48,7 @@ SHINGLE = 5
 #: Similarity 0.8 as a ratio.  Overlap o links sizes a, b when 9 o >= 4 (a + b).
 NUM, DEN = 4, 5
 #: Counters of the shingle sketch (4 bytes each: its size doesn't depend on the input).
-SKETCH_BITS, SKETCH_CHUNKS = 18, 16
+SKETCH_BITS, SKETCH_CHUNKS = 20, 16
 #: Largest size for which enumerating is considered, and the cost of a list entry in subsets.
 LIGHT_MOST, LIST_COST = 24, 4
 #: Members of a list from which it is split, beyond what the sketch counts by chance.
@@ -51,7 +56,11 @@ PART = 4096
 #: Bits of the filter that tells which documents' sets are compared.
 FILTER_BITS = 1 << 23
 #: Comparing all pairs across components waits until they are so many for each list entry.
-PAIRS_PER_ENTRY, ROUNDS = 4, 8
+PAIRS_PER_ENTRY, ROUNDS = 4, 2
+#: Members of lists that one set is compared with in a round: those it meets most often.
+PIVOTS = 3
+#: Parity bits of a set: a power of two, at least twice its size within these bounds.
+PARITY_BITS = 256, 1 << 16
 
 
 def sets(block: t.Block) -> list[np.ndarray]:
@@ -80,9 +89,35 @@ def class_id(own: np.ndarray) -> int:
     return int(t.mix(total).view(np.int64)[0])
 
 
+def parity(own: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of the hashes have i as their last bits."""
+    bits = PARITY_BITS[0]
+    while bits < min(2 * len(own), PARITY_BITS[1]):
+        bits *= 2
+    return np.packbits(np.bincount((own & t.U64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """Shingles that are in one of two sets only, at least."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = np.array(batch.column("n_a"), np.int64) + np.array(batch.column("n_b"), np.int64)
+        far = [_differ(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("parity_a"), batch.column("parity_b"), strict=True)]
+        keep = 9 * np.array(far, np.int64) <= sizes  # at 0.8 a ninth of both sizes may differ
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, then the task's part of the sketch."""
-    names = ["doc_id", "class", "n", "chunk", "counts"]
+    names = ["doc_id", "class", "n", "parity", "chunk", "counts"]
     count = np.zeros(1 << SKETCH_BITS, np.int64)
     for batch in batches:
         for block in t.blocks(batch.column("text")):
@@ -90,15 +125,15 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = np.concatenate(found)
             count += np.bincount((hashes >> t.U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count))
             n = len(found)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array([class_id(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array([class_id(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array(map(parity, found), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     parts = count.astype("<u4").reshape(SKETCH_CHUNKS, -1)
     n = len(parts)
-    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(range(n), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())], names)
 
 
 def _sum_counts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in rows["counts"])
-    return pd.DataFrame({"chunk": [key[0]], "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+    total = sum(np.frombuffer(zlib.decompress(x), "<u4").astype(np.int64) for x in rows["counts"])
+    return pd.DataFrame({"chunk": [key[0]], "counts": [zlib.compress(np.minimum(total, 2**32 - 1).astype("<u4").tobytes(), 1)]})
 
 
 def _sketch(signed: DataFrame) -> np.ndarray:
@@ -106,7 +141,7 @@ def _sketch(signed: DataFrame) -> np.ndarray:
     schema = "chunk int, counts binary"
     parts = signed.filter("chunk is not null").select("chunk", "counts", (F.spark_partition_id() % 64).alias("lane"))
     parts = parts.groupBy("chunk", "lane").applyInPandas(_sum_counts, schema).groupBy("chunk").applyInPandas(_sum_counts, schema)
-    return np.concatenate([np.frombuffer(x["counts"], "<u4") for x in sorted(parts.collect(), key=lambda x: x["chunk"])] or [np.zeros(1 << SKETCH_BITS, "<u4")])
+    return np.concatenate([np.frombuffer(zlib.decompress(x["counts"]), "<u4") for x in sorted(parts.collect(), key=lambda x: x["chunk"])] or [np.zeros(1 << SKETCH_BITS, "<u4")])
 
 
 def _needed(n: int) -> int:
@@ -190,29 +225,45 @@ def _own_sets(bits):
             batch = batch.filter(pa.array((wanted[ids >> 3] >> (ids & 7)) & 1 == 1))
             for block in t.blocks(batch.column("text")):
                 found = sets(block)
-                yield pa.RecordBatch.from_arrays([pa.array([class_id(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["class", "own"])
+                yield pa.RecordBatch.from_arrays([pa.array([class_id(x) for x in found], pa.int64()), pa.array([x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in found], pa.binary())], ["class", "own"])
 
     return rows
 
 
+def _unpacked(own: pa.Scalar) -> np.ndarray:
+    short = np.frombuffer(own.as_buffer(), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(short), 8), np.uint8)
+    wide[:, :6] = short
+    return wide.view(np.uint64).ravel()
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("own_a"), batch.column("own_b"), strict=True):
-            a, b = np.frombuffer(x.as_buffer(), t.U64), np.frombuffer(y.as_buffer(), t.U64)
+            a, b = _unpacked(x), _unpacked(y)
             both = np.sort(np.concatenate([a, b]), kind="stable")
             shared = int(np.count_nonzero(both[1:] == both[:-1]))
             keep.append(100 * shared >= 80 * (len(a) + len(b) - shared))
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+_PIVOT = {"pivot": "class", "pivot_n": "n", "pivot_pos": "pos"}
+
+
+def _fits(a: str, b: str, at: str, bt: str):
+    """Whether sets of sizes a and b that share the shingle at these places may be similar, no earlier one being shared."""
+    return F.expr(f"{DEN} * least({a}, {b}) >= {NUM} * greatest({a}, {b}) and 9 * least({a} - {at}, {b} - {bt}) >= 4 * ({a} + {b})")
+
+
 class _Join:
     def __init__(self, docs: DataFrame):
         self.spark = docs.sparkSession
         self.docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-        signed = cut(self.docs.mapInArrow(_signatures, "doc_id long, class long, n long, chunk int, counts binary"))
+        signed = cut(self.docs.mapInArrow(_signatures, "doc_id long, class long, n long, parity binary, chunk int, counts binary"))
         self.signed = signed.filter("chunk is null").select("doc_id", "class", "n")
         self.classes = self.signed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
+        self.parity = signed.filter("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
         self.sketch = self.spark.sparkContext.broadcast(_sketch(signed))
         small = self.signed.filter(F.col("n").between(1, 2 * LIGHT_MOST)).groupBy("n").count().collect()
         self.light = boundary({x["n"]: x["count"] for x in small})
@@ -222,12 +273,15 @@ class _Join:
         rows = self.docs.mapInArrow(_list_rows(self.sketch, self.light), "key long, part int, class long, n int, pos int, sub int")
         own = Window.partitionBy("key", "part", "sub")
         first = own.orderBy(F.when(F.col("sub") > 0, F.col("n")).otherwise(0), F.xxhash64("class"))
-        rows = rows.withColumn("pivot", F.first("class").over(first)).withColumn("pivot_n", F.first("n").over(first))
+        for name, of in _PIVOT.items():
+            rows = rows.withColumn(name, F.first(of).over(first))
         return cut(rows.withColumn("other", F.max("class").over(own)).withColumn("least", F.min("class").over(own)).filter("other <> least or part >= 0").drop("other", "least"))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Which of the pairs of classes (a, b) are similar; each document compared is hashed anew."""
-        pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        a, b = (self.parity.select(F.col("class").alias(x), F.col("n").alias("n_" + x), F.col("parity").alias("parity_" + x)) for x in "ab")
+        pairs = cut(pairs.join(a, "a").join(b, "b").mapInArrow(_may_link, "a long, b long"))
         named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(self.classes, "class").select("first_id")
         slot = F.pmod(F.xxhash64(F.col("first_id")), F.lit(FILTER_BITS))
         used = named.select(slot.alias("slot")).groupBy((F.col("slot") / 32).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).collect()
@@ -241,7 +295,6 @@ class _Join:
 
     def edges(self) -> DataFrame:
         lists = self.lists()
-        fits = lambda a, b: (DEN * F.least(a, b) >= NUM * F.greatest(a, b)) & (a + b > 2 * self.light)
         met = lists.filter("class <> pivot")
         sure = met.filter("sub > 0 and 9 * sub >= 4 * (n + pivot_n)").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
         lists = lists.filter("sub = 0")
@@ -249,11 +302,14 @@ class _Join:
         for turn in range(ROUNDS + 1):
             tops = lists.filter("part >= 0 and class = pivot")
             over = Window.partitionBy("key").orderBy(F.xxhash64("class"))
-            tops = tops.withColumn("pivot", F.first("class").over(over)).withColumn("pivot_n", F.first("n").over(over))
+            for name, of in _PIVOT.items():
+                tops = tops.withColumn(name, F.first(of).over(over))
             pairs = lists.unionByName(tops).filter("class <> pivot")
             if roots is not None:
                 pairs = pairs.filter("root <> pivot_root")
-            pairs = pairs.filter(fits(F.col("n"), F.col("pivot_n"))).select(F.col("class").alias("a"), F.col("pivot").alias("b"))
+            pairs = pairs.filter(_fits("n", "pivot_n", "pos", "pivot_pos")).groupBy(F.col("class").alias("a"), F.col("pivot").alias("b")).count()
+            most = Window.partitionBy("a").orderBy(F.desc("count"), "b")
+            pairs = pairs.withColumn("nth", F.row_number().over(most)).filter(f"nth <= {PIVOTS}")
             edges = edges.union(cut(self.links(pairs)))
             roots = components(edges)
             lists, left, entries = self._rest(lists, roots, turn)
@@ -263,20 +319,20 @@ class _Join:
                 break
         a = lists.select("key", *(F.col(x).alias(x + "_a") for x in ("class", "n", "pos", "root")))
         b = lists.select("key", *(F.col(x).alias(x + "_b") for x in ("class", "n", "pos", "root")))
-        room = 9 * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= 4 * (F.col("n_a") + F.col("n_b"))
-        pairs = a.join(b, "key").filter((F.col("root_a") < F.col("root_b")) & fits(F.col("n_a"), F.col("n_b")) & room)
+        pairs = a.join(b, "key").filter((F.col("root_a") < F.col("root_b")) & _fits("n_a", "n_b", "pos_a", "pos_b"))
         return edges.union(cut(self.links(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))))
 
     def _rest(self, lists: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
         """The lists that reach over components, with new pivots; their pairs left, and entries."""
         plain = lists.select("key", "part", "class", "n", "pos", "sub")
         rooted = plain.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        spread = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-        rooted = cut(rooted.join(spread, "key", "left_semi"))
+        spread = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("n_min")).filter("low <> high").select("key", "n_min")
+        # from its place on, an entry must have room for the overlap with the smallest partner at least
+        rooted = cut(rooted.join(spread, "key").filter("9 * (n - pos) >= 4 * (n + n_min)").drop("n_min"))
         by_root = rooted.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("within"))
         left, entries = by_root.agg(F.sum(F.expr("(m * m - within) div 2")), F.sum("m")).first()
         first = Window.partitionBy("key", "part").orderBy(F.xxhash64("class", F.lit(turn)))
-        for name, of in (("pivot", "class"), ("pivot_n", "n"), ("pivot_root", "root")):
+        for name, of in (_PIVOT | {"pivot_root": "root"}).items():
             rooted = rooted.withColumn(name, F.first(of).over(first))
         return rooted, left or 0, entries or 0
 
@@ -295,9 +351,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (distinct doc_id) that are the first of their component."""
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    """The rows of ``docs`` that are the first of their component, one for each doc_id.
+
+    A row without an id stays if its text has no word or equals no text of a row with an id.
+    """
+    found = near_duplicates(docs)
+    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    return rows.dropDuplicates(["doc_id"]) if repeats(found.select("doc_id")) else rows
+
+
+def repeats(ids: DataFrame) -> bool:
+    """Whether a value of the only column occurs in several rows."""
+    return not ids.groupBy(*ids.columns).count().filter("count > 1").isEmpty()
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
