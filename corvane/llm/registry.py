@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import licenses, mixing, near_duplicates, neighbours, order, packing, quality, scoring, secrets, sharding
+from . import licenses, mixing, near_duplicates, neighbours, oracles as sql, order, packing, quality, scoring, secrets, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return sql.oracles()
