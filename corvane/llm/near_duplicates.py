@@ -107,6 +107,16 @@ def _differ(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each class's parity folded to the fewest bits, as four numbers."""
+    for batch in batches:
+        rows = np.zeros((batch.num_rows, PARITY_BITS[0] // 8), np.uint8)
+        for row, x in zip(rows, batch.column("parity"), strict=True):
+            row[:] = np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, rows.shape[1]))
+        words = rows.view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("class"), *(pa.array(words[:, k].copy()) for k in range(4))], ["class", "f0", "f1", "f2", "f3"])
+
+
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = np.array(batch.column("n_a"), np.int64) + np.array(batch.column("n_b"), np.int64)
@@ -317,9 +327,12 @@ class _Join:
                 return edges
             if left <= PAIRS_PER_ENTRY * entries or turn == ROUNDS - 1:
                 break
-        a = lists.select("key", *(F.col(x).alias(x + "_a") for x in ("class", "n", "pos", "root")))
-        b = lists.select("key", *(F.col(x).alias(x + "_b") for x in ("class", "n", "pos", "root")))
-        pairs = a.join(b, "key").filter((F.col("root_a") < F.col("root_b")) & _fits("n_a", "n_b", "pos_a", "pos_b"))
+        folded = self.parity.select("class", "parity").mapInArrow(_folded, "class long, f0 long, f1 long, f2 long, f3 long")
+        lists = cut(lists.select("key", "class", "n", "pos", "root").join(folded, "class"))
+        a, b = (lists.select(*(F.col(x).alias(f"{x}_{side}") for x in lists.columns)) for side in "ab")
+        near = F.expr(f"9 * ({' + '.join(f'bit_count(f{k}_a ^ f{k}_b)' for k in range(4))}) <= n_a + n_b")
+        across = (F.col("key_a") == F.col("key_b")) & (F.col("root_a") < F.col("root_b")) & _fits("n_a", "n_b", "pos_a", "pos_b") & near
+        pairs = a.join(b, across)
         return edges.union(cut(self.links(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))))
 
     def _rest(self, lists: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
