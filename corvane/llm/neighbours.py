@@ -10,7 +10,9 @@ How many leaves it visits is calibrated: ``CALIBRATION`` queries are compared wi
 and visits are widened until the leaves visited hold ``RECALL`` of the true neighbours.
 
 Leaves with many vectors or queries are split into blocks, which are compared by matrix product;
-each block sends on the k best of each query.  Scores are sums of products in double precision in
+each block sends on the k best of each query that reach the query's floor, which is its k-th best
+score among the sample's vectors in the leaves it visits: what lies below can't be among the k
+best it finds.  Scores are sums of products in double precision in
 one fixed order, so equal vectors tie, and ties go to the smaller id.
 
 Vectors that are null, zero, of another length than most or hold null or non-finite components
@@ -122,19 +124,26 @@ def _matrix(column: pa.Array, d: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def _best(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of x for one query, scores summed in a fixed order."""
-    rough = x @ q
-    ok = ids != own
-    rough = np.where(ok, rough, -np.inf)
-    if len(rough) > k:
-        floor = np.partition(rough, len(rough) - k)[len(rough) - k]
-        near = np.flatnonzero((rough >= floor - 1e-9 * (1 + abs(floor))) & ok) if np.isfinite(floor) else np.flatnonzero(ok)
-    else:
-        near = np.flatnonzero(ok)
-    exact = (x[near] * q).sum(axis=1)
-    order = np.lexsort((ids[near], -exact))[:k]
-    return ids[near][order], exact[order]
+def _floors(q: np.ndarray, own: np.ndarray, visited: np.ndarray, x: np.ndarray, ids: np.ndarray, leaf: np.ndarray, k: int) -> np.ndarray:
+    """A score that the k best of each query reach: the k-th best of a sample's vectors in the
+    leaves it visits, less rounding."""
+    if len(x) <= k:
+        return np.full(len(q), -np.inf)
+    scores = q @ x.T
+    scores[(own[:, None] == ids[None]) | ~visited[:, leaf]] = -np.inf
+    kth = np.partition(scores, len(x) - k, axis=1)[:, len(x) - k]
+    return np.where(np.isfinite(kth), kth - 1e-9 * (1 + np.abs(kth)), -np.inf)
+
+
+def _best(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, vectors and scores of the k best of x for each query that reach its floor; scores
+    are summed in a fixed order."""
+    row, column = np.nonzero((q @ x.T >= floor[:, None]) & (own[:, None] != ids[None]))
+    exact = (q[row] * x[column]).sum(axis=1)
+    order = np.lexsort((ids[column], -exact, row))
+    row, column, exact = row[order], column[order], exact[order]
+    nth = np.arange(len(row)) - np.searchsorted(row, row)
+    return own[row[nth < k]], ids[column[nth < k]], exact[nth < k]
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
@@ -156,13 +165,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF,
     n, top = rows.agg(F.count("*"), F.max(length)).first()
     top = top or 0.0
     pick = lambda seed, m: rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(m).collect()
-    sample = np.array([x["embedding"] for x in pick(SEED, SAMPLE)], np.float64).reshape(-1, d)
+    picked = pick(SEED, SAMPLE)
+    sample, sample_ids = np.array([x["embedding"] for x in picked], np.float64).reshape(-1, d), np.array([x["vec_id"] for x in picked], np.int64)
 
     def lifted(x: np.ndarray) -> np.ndarray:
         return np.column_stack([x, np.sqrt(np.maximum(top * top - (x * x).sum(axis=1), 0))])
 
     wanted = max(1, min(LEAVES, n // leaf))
-    shared = spark.sparkContext.broadcast(fit(lifted(sample), len(sample) / wanted))
+    tree = fit(lifted(sample), len(sample) / wanted)
+    shared = spark.sparkContext.broadcast(tree)
+    known = spark.sparkContext.broadcast((sample, sample_ids, tree.place(lifted(sample))))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,34 +187,37 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF,
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, to = [], []
-            for i, q in enumerate(_matrix(b.column("embedding"), d)):
+            asking, own = _matrix(b.column("embedding"), d), np.array(b.column("vec_id"), np.int64)
+            visited = np.zeros((len(own), shared.value.leaves), bool)
+            for i, q in enumerate(asking):
                 seen = 0
                 for nth, number in enumerate(shared.value.visits(np.append(q, 0.0))):
                     if nth >= visits and seen > k:
                         break
                     seen += held.get(number, 0)
+                    visited[i, number] = True
                     if number in held:
                         row.append(i)
                         to.append(number)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(pa.array(row, pa.int64())), b.column("embedding").take(pa.array(row, pa.int64())), pa.array(to, pa.int64())], ["query_id", "query", "leaf"])
+            floors = np.concatenate([_floors(asking[a : a + 256], own[a : a + 256], visited[a : a + 256], *known.value, k) for a in range(0, len(own), 256)] or [np.zeros(0)])
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(row), b.column("embedding").take(row), pa.array(floors).take(row), pa.array(to, pa.int64())], ["query_id", "query", "floor", "leaf"])
 
     ask, _ = usable(queries) if queries is not vectors else (rows, d)
     ask = ask.filter(F.size("embedding") == d).dropDuplicates(["vec_id"])
-    ask = cut(ask.mapInArrow(asked, "query_id long, query array<double>, leaf long"))
+    ask = cut(ask.mapInArrow(asked, "query_id long, query array<double>, floor double, leaf long"))
     loads = ask.groupBy("leaf").agg(F.count("*").alias("asked")).join(placed.groupBy("leaf").agg(F.count("*").alias("held")), "leaf")
     loads = F.broadcast(loads.select("leaf", F.ceil(F.col("held") / BLOCK).alias("blocks"), F.ceil(F.col("asked") / BLOCK).alias("parts")))  # LEAVES rows at most
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1))
     left = placed.join(loads, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), every("parts").alias("part"), "vec_id", "embedding")
-    right = ask.join(loads, "leaf").select("leaf", every("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).alias("part"), "query_id", "query")
+    right = ask.join(loads, "leaf").select("leaf", every("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).alias("part"), "query_id", "query", "floor")
 
     def compared(key, a: pa.Table, b: pa.Table) -> pa.Table:
         ids, x = a.column("vec_id").to_numpy(), _matrix(a.column("embedding"), d)
-        out = []
-        for own, q in zip(b.column("query_id").to_pylist(), _matrix(b.column("query"), d), strict=True) if len(ids) else ():
-            found, scores = _best(ids, x, q, own, k)
-            out.append((np.full(len(found), own), found, scores))
-        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
+        own, q, floor = b.column("query_id").to_numpy(), _matrix(b.column("query"), d), b.column("floor").to_numpy()
+        found = [_best(ids, x, own[i : i + 256], q[i : i + 256], floor[i : i + 256], k) for i in range(0, len(own), 256)] if len(ids) else []
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
     keys = ["leaf", "block", "part"]
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compared, "query_id long, vec_id long, score double")
