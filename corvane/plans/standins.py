@@ -64,7 +64,7 @@ STAND_INS = {
                       CASE event_id % 5 WHEN 0 THEN 'used the ' WHEN 1 THEN 'launched an ' WHEN 2 THEN 'can be used with ' WHEN 3 THEN 'crashed a ' ELSE 'fired ' END,
                       CASE event_id % 8 {" ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(_NAMES))} END,
                       CASE event_id % 4 WHEN 0 THEN ' missile system.' WHEN 1 THEN '; but the helicopter used it' WHEN 2 THEN ' aircraft while ships waited' ELSE ' yesterday.' END) AS sentence
-        FROM events WHERE event_id < 4000""",
+        FROM events""",
     "feed_terms": " UNION ALL ".join(f"SELECT '{x.lower()}' AS term, '{x}' AS name, '{'T01' if i == 5 else f'W0{2 + i % 6}'}' AS category_id" for i, x in enumerate(_NAMES)),
     "feed_usage": " UNION ALL ".join(f"SELECT '{p}' AS pattern_id, '{b}' AS base_form, {t} AS trans_form" for p, b, t in (("P1", "used", "'use / employs'"), ("P2", "launched", "''"), ("P3", "can be used", "NULL"), ("P4", "crashed", "'crash (into)'"), ("P5", "fired", "'may fire'"), ("P6", "(military) exercise / drill", "'training exercise'"))),
 }

@@ -167,6 +167,14 @@ def test_queue_stream(spark, tmp_path):
     assert sorted((r["url"], r["batch"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()) == [("a", 0), ("b", 0), ("c", 1)]
 
 
+def test_sentences_come_from_every_event(spark, tmp_path):
+    from corvane.plans.standins import frame
+
+    spark.createDataFrame([(x,) for x in (0, 3999, 4000, 99_999)], "event_id long").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert sorted(r["sentence_id"] for r in frame(spark, str(tmp_path), "feed_sentences").collect()) == [0, 3999, 4000, 99_999]
+    assert {r["sentence_id"] for r in registry.QUERIES["term_match"](spark, str(tmp_path)).collect()} == {0, 3999, 4000, 99_999}
+
+
 @pytest.mark.parametrize("name", ["candidate_urls", "pages_first_wins", "fetch_status_ladder", "result_export", "exclusions"])
 def test_queries_equal_their_oracles(spark, name):
     duckdb = pytest.importorskip("duckdb")
