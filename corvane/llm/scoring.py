@@ -5,9 +5,9 @@ itself being masked), the network gives a distribution over word classes; a word
 its class's times its share of that class's words.  Classes cut the buckets, in order of their
 counts over all documents, into parts of equal mass.
 
-Every task trains the network on all its documents (each ``EVERY``-th word is predicted, from a
-start that depends on the text), from the same first parameters, and the tasks' parameters are
-averaged by the words they trained on: one round of parameter mixing.  A document's score is the
+Every task trains the network on all its documents (each word is predicted once), from the same
+first parameters, and the tasks' parameters are averaged by the words they trained on: one round of
+parameter mixing.  A document's score is the
 sum over all its words of the logarithm of the probability from both sides.
 
 Null and empty texts have no words, score 0 and no mean.  Repeated rows score the same.  An empty
@@ -29,7 +29,7 @@ from . import _text as t
 from ._session import cut, table
 
 BUCKETS, CLASSES, SIDE, WIDTH = 4096, 64, 2, 24
-EVERY, BATCH, RATE, SEED = 4, 2048, 0.1, 3
+BATCH, RATE, SEED = 2048, 0.1, 3
 #: Bytes of parameters in one row, and lanes of the first step of averaging.
 CHUNK, LANES = 1 << 17, 32
 _OFFSETS = [k for k in range(-SIDE, SIDE + 1) if k]
@@ -98,9 +98,9 @@ class Trainer:
         self._step("bias", d.sum(axis=0))
         self._step("shift", back.sum(axis=0))
         for k, row in enumerate(context):
-            used, which = np.unique(row, return_inverse=True)
-            g = np.zeros((len(used), WIDTH), np.float32)
-            np.add.at(g, which, back)
+            order = np.argsort(row, kind="stable")
+            used, first = np.unique(row[order], return_index=True)
+            g = np.add.reduceat(back[order], first, axis=0)
             seen = self.seen.embed[k][used] + g * g
             self.seen.embed[k][used] = seen
             net.embed[k][used] -= RATE * g / np.sqrt(seen)
@@ -134,10 +134,8 @@ def _trained(of: np.ndarray):
                 words, ids = _bucketed(block)
                 if not len(ids):
                     continue
-                first = ids[words.at[:-1][words.doc]] % EVERY  # by the text's first word
-                at = np.flatnonzero((np.arange(len(ids)) - words.at[words.doc] - first) % EVERY == 0)
-                kept.append((_context(words, ids, at), of[ids[at]]))
-                held += len(at)
+                kept.append((_context(words, ids, np.arange(len(ids))), of[ids]))
+                held += len(ids)
                 if held >= BATCH:
                     context, goal = np.concatenate([c for c, _ in kept], axis=1), np.concatenate([g for _, g in kept])
                     whole = len(goal) // BATCH * BATCH

@@ -358,6 +358,14 @@ def test_scoring_prefers_the_corpus_order(spark, empty):
     assert scoring.score(empty).count() == 0
 
 
+def test_scoring_trains_on_every_word(spark, texts):
+    rows = [x or "" for x in texts] + ["one", "one two", "one two three"]
+    frame = spark.createDataFrame([(x,) for x in rows], "text string").repartition(3)
+    of, _ = scoring.classes(np.zeros(scoring.BUCKETS, np.int64))
+    parts = frame.mapInArrow(scoring._trained(of), "chunk int, task int, places long, part binary").filter("chunk = 0").collect()
+    assert sum(r["places"] for r in parts) == sum(len(WORD.findall(x)) for x in rows)
+
+
 def test_training_order(docs, texts, empty, tmp_path):
     for n in (1, 2, 3, 17, 1000):
         slots = order.feistel(np.arange(n), n)
