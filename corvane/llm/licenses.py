@@ -13,6 +13,7 @@ Rows are independent: repeated rows are reported each.  Only doc_id and text are
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -161,8 +162,14 @@ def find(block: t.Block, coverage: float = COVERAGE) -> list[tuple]:
             found.append((doc, number, matched, int(words.start[a + first]), int(words.end[a + stop])))
     found.sort(key=lambda x: (x[0], -x[2], len(templates[x[1]]), x[3], x[1]))
     kept: list[tuple] = []
+    starts, stops = [], []  # of the spans kept in the current document, which are disjoint, in order
     for x in found:
-        if not any(x[0] == y[0] and x[3] < y[4] and y[3] < x[4] for y in kept[-64:]):
+        if not kept or kept[-1][0] != x[0]:
+            starts, stops = [], []
+        k = bisect_right(stops, x[3])
+        if k == len(starts) or starts[k] >= x[4]:
+            starts.insert(k, x[3])
+            stops.insert(k, x[4])
             kept.append(x)
     return [(doc, names[k], len(templates[k]), matched, a, b) for doc, k, matched, a, b in sorted(kept, key=lambda x: (x[0], x[3]))]
 

@@ -327,6 +327,15 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_overlapping_licenses_in_a_long_text():
+    gpl = licenses.TEMPLATES["GPL-2.0"][0]
+    for n in (3, 200):
+        block = next(t.blocks(pa.array([" and then some words between. ".join([gpl] * n), gpl])))
+        found = licenses.find(block)
+        assert [x[:2] for x in found] == [(0, "GPL-2.0")] * n + [(1, "GPL-2.0")]
+        assert all(a[5] <= b[4] for a, b in zip(found[:-1], found[1:], strict=True) if a[0] == b[0])
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(0)
     for _ in range(50):
