@@ -30,9 +30,12 @@ SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _size() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def _measured(docs: DataFrame, seed: str) -> DataFrame:
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words.alias("size"))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), _size().alias("size"))
     return slim.withColumn("key", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("size").cast("string")).cast("binary")))
 
 
@@ -114,13 +117,20 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole copy, and, for the two
     documents at most in which a source's last block ends, a row of just the words taken.
 
-    n_chars, where there is such a column, follows the text.  Rows that repeat an id share the
-    plan of one of them.
+    n_chars, where there is such a column, follows the text.  Where ids repeat, a row takes a plan
+    of its own id, source and size, and rows equal in these take theirs one by one.
     """
-    plan = mix(docs, **how).select(F.col("doc_id").alias("mix_id"), F.col("size").alias("mix_size"), "rounds", "extra", "extra_from", "extra_head")
-    if not plan.groupBy("mix_id").count().filter("count > 1").isEmpty():
-        plan = plan.groupBy("mix_id").agg(F.min_by(F.struct("mix_size", "rounds", "extra", "extra_from", "extra_head"), F.struct("mix_size", "extra")).alias("p")).select("mix_id", "p.*")
-    rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["mix_id"]))
+    plan = mix(docs, **how).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "rounds", "extra", "extra_from", "extra_head")
+    if plan.groupBy("mix_id").count().filter("count > 1").isEmpty():
+        rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["mix_id"]))
+    else:
+        equal = Window.partitionBy("mix_id", "mix_source", "mix_size")
+        plan = plan.withColumn("mix_nth", F.row_number().over(equal.orderBy("rounds", "extra", "extra_from", "extra_head")))
+        own = Window.partitionBy("doc_id", "source", "own_size")
+        sized = docs.withColumn("own_size", _size())
+        sized = sized.withColumn("own_nth", F.row_number().over(own.orderBy(F.xxhash64("text"))))
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & F.col("source").cast("string").eqNullSafe(F.col("mix_source"))
+        rows = sized.join(plan, same & (F.col("own_size") == F.col("mix_size")) & (F.col("own_nth") == F.col("mix_nth")))
     full = F.col("extra") + F.col("extra_head") == F.col("mix_size")
     piece = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
     none = piece(F.lit(0), F.lit(0))
@@ -130,7 +140,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     shorter = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.col("mix_piece.start") + 1, F.col("mix_piece.n")), "")
     text = F.when(F.col("mix_piece.n") == 0, F.col("text")).otherwise(shorter)
     changed = {"text": text} | ({"n_chars": F.when(F.col("mix_piece.n") == 0, F.col("n_chars")).otherwise(F.char_length(shorter)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return rows.select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
+    return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

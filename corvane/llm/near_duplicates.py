@@ -364,14 +364,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, one for each doc_id.
+    """The first row of each component of ``docs``, and all rows whose texts have no word.
 
-    A row without an id stays if its text has no word or equals no text of a row with an id.
+    Rows without an id come after those with one.  Where ids repeat, rows are told apart by a
+    64-bit hash of id and text; of rows that are equal in both, one stays.
     """
-    found = near_duplicates(docs)
-    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"))
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]) if repeats(found.select("doc_id")) else rows
+    if not repeats(docs.select("doc_id")):
+        kept = near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"))
+        return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    row_key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text"))
+    rows = docs.withColumn("row_key", row_key)
+    found = near_duplicates(rows.select(F.col("row_key").alias("doc_id"), "text")).distinct().withColumnRenamed("doc_id", "row_key")
+    ids = found.join(rows.select("row_key", "doc_id").distinct(), "row_key")
+    first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
+    kept = cut(ids.groupBy("component_id").agg(first.alias("row_key"), F.max("n_shingles").alias("kept_n")).drop("component_id"))
+    rows = rows.join(kept, "row_key")
+    one = rows.filter("kept_n > 0").dropDuplicates(["row_key"])
+    return one.unionByName(rows.filter("kept_n = 0")).select(*docs.columns)
 
 
 def repeats(ids: DataFrame) -> bool:

@@ -134,6 +134,13 @@ def test_jaccard_components(docs, texts, empty):
     assert kept == [i for i, (_, c) in enumerate(want) if i == c]
 
 
+def test_jaccard_keeps_unlinked_rows_of_one_id(spark):
+    rows = [(None, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"), (1, "m n o p q r"), (1, "s t u v w x"), (0, "s t u v w x"), (2, "a b c d e f"), (None, ""), (None, ""), (5, None), (5, "y z")]
+    kept = near_duplicates.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(2, "a b c d e f"), (None, "g h i j k l"), (1, "m n o p q r"), (0, "s t u v w x"), (None, ""), (None, ""), (5, None), (5, "y z")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("light", [0, 9, 24])
 def test_jaccard_any_boundary(spark, monkeypatch, light):
     rng = random.Random(light)
@@ -198,6 +205,15 @@ def test_mixing(docs, texts, empty):
     assert words == sum(r["taken"] for r in rows)
 
 
+def test_mix_of_rows_that_share_an_id(spark):
+    # one source gets its own words once: every row whole or in pieces, none by another row's size
+    rows = [(None, "", "s"), (None, "a b c", "s"), (None, "d e f g h", "s"), (1, "i", "s"), (1, "j k l m", "s"), (1, "n o p q", "s"), (2, "r s", "s")]
+    frame = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, source string, n_chars long")
+    out = mixing.mixed_documents(frame).collect()
+    assert Counter(w for r in out for w in r["text"].split()) == Counter(w for _, x, _ in rows for w in x.split())
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+
+
 def test_quotas_are_the_highest_quotients(spark):
     sizes = [("a", 900), ("b", 410), ("c", 77), ("d", 5)]
     goals = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long"))
