@@ -8,7 +8,8 @@ gain anything over outside, whatever the transitions, the best path passes throu
 the text is cut there without changing the result.
 
 Spans are kind:start:end in code points, end exclusive, sorted by start and then by kind.  The
-spans of the patterns always stay; one of the field is added where it overlaps none of them.
+spans of the patterns always stay; one of the field is added unless it lies wholly inside one of
+them, so spans may overlap, and ``redact`` masks what any of them covers.
 Null and empty texts have no spans.  Rows are independent: repeated rows give repeated results, an
 empty table an empty one.  Only doc_id and text are read; ``redact`` keeps all columns.
 """
@@ -317,7 +318,7 @@ def all_spans(block: t.Block, w: np.ndarray, tr: np.ndarray) -> Iterator[tuple[s
                 a, b = at + low, at + high
             else:
                 a, b = at, at + len(piece)
-            if all(b <= x or y <= a for x, _, y in base):
+            if not any(x <= a and b <= y for x, _, y in base):
                 spans.append((a, 3, b))
         yield text, base, sorted(spans)
 
