@@ -6,8 +6,8 @@ the source with the highest quotient target / (2 * blocks so far + 1), which giv
 an integer number of blocks, and, house by house, an integer quota for every output shard: the
 method is house-monotone, so a shard's quota is the difference between two houses.
 
-A source's documents are laid in the order of a seeded hash, as a ring of words.  Its blocks lie
-side by side from a seeded start, so a source that gives more words than it has repeats its ring.
+A source's documents are laid in the order of a seeded hash, as a ring of words.  The mix takes the
+number of blocks over all shards: they lie side by side from a seeded start, so a source that gives more words than it has repeats its ring.
 
 Null and empty texts have no words and give none.  A null source is a source, ordered last.
 Repeated rows are rows of their own; rows that are equal in doc_id, source and size may swap.  An
@@ -23,8 +23,10 @@ from ._session import cut, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
-#: Most blocks of a mix; a block has as many words as that takes, one at least.
+#: Blocks of a mix; a block has as many words as that takes, one at least.  Where it would have more
+#: than one part in ``PARTS`` of the smallest target, it has that many words and there are more blocks.
 BLOCKS = 1 << 16
+PARTS = 64
 SHARDS = 16
 SEED = "mix-1"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,14 +56,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return rows.withColumn("target", F.least(F.col("most").cast("double"), level * F.col("weight"))).select("source", "source_size", "rank", "weight", "total", "target")
 
 
-def quotas(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, cap: int = CAP) -> DataFrame:
+def quotas(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, cap: int = CAP, parts: int | None = None) -> DataFrame:
     """For each source of ``targets`` and each shard: block_words, blocks of the shards so far
     (``upto``) and of this shard (``quota``).
 
     Rounding each exact share gives the apportionment of some house; the few blocks that are
-    over or missing are then taken or given one by one by quotient.
+    over or missing are then taken or given one by one by quotient.  With ``parts``, a block is no
+    more than that part of the smallest target above 0.
     """
-    rows = goals.withColumn("block_words", F.greatest(F.lit(1), F.ceil(F.col("total") / blocks)).cast("long"))
+    words = F.ceil(F.col("total") / blocks)
+    if parts:
+        words = F.least(words, F.floor(F.min(F.when(F.col("target") > 0, F.col("target"))).over(Window.partitionBy()) / parts))
+    rows = goals.withColumn("block_words", F.greatest(F.lit(1), words).cast("long"))
     rows = rows.withColumn("house_all", F.expr("total div block_words")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     rows = rows.withColumn("house", F.expr(f"house_all * (shard + 1) div {shards}"))
     start = F.floor(F.col("house") * F.col("target") / F.greatest(F.col("total"), F.lit(1)) + 0.5)
@@ -90,7 +96,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     measured = cut(_measured(docs, seed).withColumn("bucket", F.substring("key", 1, 3)))
     totals = measured.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_words"))
     sizes = totals.groupBy("source").agg(F.sum("bucket_words").alias("source_size"))
-    sources = quotas(targets(sizes, weights, cap), blocks, shards, cap).groupBy("source", "source_size", "target", "block_words").agg(F.max("upto").alias("n_blocks"))
+    sources = quotas(targets(sizes, weights, cap), blocks, shards, cap, PARTS).groupBy("source", "source_size", "target", "block_words").agg(F.max("upto").alias("n_blocks"))
     given = F.least(F.col("n_blocks") * F.col("block_words"), F.col("source_size") * cap)
     size = F.col("source_size")
     sources = sources.withColumn("given", given).withColumn("rounds", F.when(size > 0, F.expr("given div source_size")).otherwise(0)).withColumn("rest", F.when(size > 0, F.col("given") % size).otherwise(0))

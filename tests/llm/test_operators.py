@@ -228,6 +228,15 @@ def test_mix_of_rows_that_share_an_id(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out)
 
 
+def test_small_sources_stay_in_a_large_mix(spark):
+    sizes = [("a", 4_000_000_000), ("b", 1_000_000_000), ("c", 0), ("d", 9_000), ("e", 40)]
+    goals = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long"))
+    rows = mixing.quotas(goals, parts=mixing.PARTS).filter(f"shard = {mixing.SHARDS - 1}").collect()
+    given = {r["source"]: (r["upto"] * r["block_words"], r["target"]) for r in rows}
+    assert given["c"] == (0, 0) and given["d"][1] == 27_000 and given["e"][1] == 120
+    assert all(abs(words - target) <= target / 50 for words, target in given.values())
+
+
 def test_quotas_are_the_highest_quotients(spark):
     sizes = [("a", 900), ("b", 410), ("c", 77), ("d", 5)]
     goals = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long"))
