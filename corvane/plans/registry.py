@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.text import clauses, norm_ascii, phrases
+from ..functions.text import clauses, norm, norm_ascii, phrases
 from ..operators import acquire, articles, candidates, ingest, matching, results, rules, validation
 from .standins import COUNTRIES, PLAN, frame, sql
 
@@ -202,6 +202,12 @@ def text_norm(spark, sf_dir):
     return frame(spark, sf_dir, "documents").select("doc_id", norm_ascii(F.regexp_replace("text", r"[^\x00-\x7F]", "")).alias("plain"))
 
 
+@query()
+def text_norm_whole(spark, sf_dir):
+    """The normal form of whole texts, which SQL can't express; ``text_norm`` is its ASCII part."""
+    return frame(spark, sf_dir, "documents").select("doc_id", norm(F.col("text")).alias("plain"))
+
+
 @query(r"SELECT doc_id, min(sentence_no) AS sentence_no, sentence FROM (SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) - 1 AS sentence_no FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE trim(sentence) <> '' GROUP BY 1, 3")
 def sentence_split(spark, sf_dir):
     lines = frame(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("sentence_no", "sentence")).filter(F.trim("sentence") != "")

@@ -34,6 +34,13 @@ def test_normal_form_and_sentences():
     assert split_sentences("Gen. Smith came. He left! Why?") == ["Gen. Smith came.", "He left!", "Why?"]
 
 
+def test_whole_texts_are_normalised(spark, tmp_path):
+    texts = ["Ｆ‑16’s  STRAẞE – é漢", " a\u2003B\n\tc ", "ﬁn ²", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["plain"] for r in registry.QUERIES["text_norm_whole"](spark, str(tmp_path)).collect()}
+    assert got == {i: normal_form(x) for i, x in enumerate(texts)} and got[0] == "f-16's strasse - é漢"
+
+
 def test_boundaries(spark):
     rows = [(0, "f-16"), (1, "the f-16's wing"), (2, "'f-16'"), (3, "f-16, f-16"), (4, "ak-47 ak"), (5, "no"), (6, "(x) y")]
     terms = [("f-16", "F-16", "W05"), ("ak", "AK", "W06"), ("ak-47", "AK-47", "W06"), ("(x) y", "(X) Y", "W01")]
