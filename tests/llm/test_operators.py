@@ -288,6 +288,13 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert placed == Counter(items) and sum(m for m, _ in solution) == _fewest(items, capacity)
 
 
+def test_fillings_that_take_many_steps():
+    sizes = [173, 187, 250, 309, 338, 367, 431, 461, 580, 682, 750, 751, 770, 894]
+    counts = np.zeros(2049, np.int64)
+    counts[sizes] = 3
+    assert sum(packing.fillings(counts, 2047)[0]) == 2047
+
+
 def _ids(texts):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
