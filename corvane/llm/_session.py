@@ -1,11 +1,16 @@
-"""Where operators of this subpackage read tables and cut lineage."""
+"""Where operators of this subpackage read tables, cut lineage and tidy up."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+_open: list[list[str]] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,15 +27,54 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corvane-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(found)
     return found
 
 
+def folder(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared one; the operator that runs removes it when it is done."""
+    name = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(name)
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder, whence later stages reread it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once and written to the shared folder, whence later stages read it.
+
+    A table, unlike a checkpoint, is read by the columns that are asked for, and what was known of
+    the plan that made it doesn't pile up in loops.
+    """
+    name = folder(df.sparkSession, "cut")
+    df.write.parquet(name)
+    return df.sparkSession.read.schema(df.schema).parquet(name)
+
+
+def remove(spark: SparkSession, *folders: str) -> None:
+    for name in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Lets an operator write its result and remove all that it wrote on the way."""
+
+    @wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        _open.append([])
+        try:
+            done = operator(*args, **kwargs)
+            written = _open.pop()
+            _open.append([])
+            out = cut(done)
+        finally:
+            kept = _open.pop()
+        remove(done.sparkSession, *written)
+        if _open:
+            _open[-1] += kept
+        return out
+
+    return run
 
 
 def shuffle_width(spark: SparkSession) -> int:

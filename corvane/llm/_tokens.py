@@ -2,8 +2,9 @@
 
 A byte-level BPE splits a text by a fixed pattern and encodes the parts one by one, so a part's
 ids can be kept and used again.  Parts are found and looked up on whole blocks of code points;
-only parts that are new to a worker reach the tokenizer.  Texts with characters on whose class
-engines could differ by Unicode version are encoded whole.
+only parts that are new to a worker reach the tokenizer.  A part is looked up by hash and then
+compared with the stored one byte by byte; texts with a part that differs, or with characters on
+whose class engines could differ by Unicode version, are encoded whole.
 """
 
 from __future__ import annotations
@@ -43,6 +44,19 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return kind, odd
 
 
+class _Grown:
+    """An array that grows in place: it has twice the room whenever that runs out, and 8 spare values."""
+
+    def __init__(self, kind):
+        self.data, self.n = np.zeros(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) + 8 > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(self.n + 2 * len(values) + 1024, self.data.dtype)])
+        self.data[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,12 +65,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind, self.odd = _tables()
-        self.value = np.random.default_rng(7).integers(1, 2**63, 1 << 16, dtype=np.uint64) | np.uint64(1)
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted, and where the others have them
+        self.at, self.size, self.first, self.long = (_Grown(np.int64) for _ in range(4))
+        self.pool, self.bytes = _Grown(np.uint32), _Grown(np.uint8)
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -95,26 +109,23 @@ class Encoder:
             return [np.zeros(0, np.uint32)] * block.rows
         text = block.data.tobytes().decode()
         code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        points = np.zeros(len(block.data) + 1, np.int64)
-        np.cumsum((block.data & 0xC0) != 0x80, out=points[1:])
-        at = points[block.at]
+        head = np.flatnonzero((block.data & 0xC0) != 0x80)
+        at = np.searchsorted(head, block.at)
         odd = code > 0xFFFF
         code16 = np.where(odd, 0xFFFF, code)
         odd |= self.odd[code16]
         start = self._starts(code16, at)
         end = np.append(start[1:], len(code))
-        up, down = t.powers(len(code) + 1)
-        total = np.zeros(len(code) + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum(self.value[code16] * up[: len(code)], out=total[1:])
-            keys = (total[end] - total[start]) * down[start]
-        unique, sample, which = np.unique(keys, return_index=True, return_inverse=True)
+        head = np.append(head, len(block.data))
+        first, long = head[start], head[end] - head[start]
+        unique, sample, which = np.unique(t.span_hash(block.data, first, first + long), return_index=True, return_inverse=True)
+        place = self._place(unique, block.data, first[sample], long[sample], text, start[sample], end[sample])
+        odd[start] |= ~t.equal_spans(block.data, first, long, self.bytes.data, self.first.data[place][which], self.long.data[place][which], padded=True)
         strange = t.per_row(odd, at) > 0
-        place = self._place(unique, sample, start, end, text)
-        size = self.size[place][which]
+        size = self.size.data[place][which]
         upto = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=upto[1:])
-        ids = self.pool[np.repeat(self.at[place][which] - upto[:-1], size) + np.arange(upto[-1])]
+        ids = self.pool.data[np.repeat(self.at.data[place][which] - upto[:-1], size) + np.arange(upto[-1])]
         cut = upto[np.searchsorted(start, at)].tolist()
         out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
         again = np.flatnonzero(strange).tolist()
@@ -122,7 +133,7 @@ class Encoder:
             out[i] = own
         return out
 
-    def _place(self, unique, sample, start, end, text) -> np.ndarray:
+    def _place(self, unique, data, first, long, text, start, end) -> np.ndarray:
         """Where the store has each part; new ones are encoded and put in."""
         place = np.searchsorted(self.keys, unique)
         found = place < len(self.keys)
@@ -132,15 +143,17 @@ class Encoder:
                 self._forget()
                 found[:] = False
             new = np.flatnonzero(~found)
-            a, b = start[sample[new]].tolist(), end[sample[new]].tolist()
-            ids = self._whole([text[i:j] for i, j in zip(a, b, strict=True)])
+            ids = self._whole([text[i:j] for i, j in zip(start[new].tolist(), end[new].tolist(), strict=True)])
             size = np.array([len(x) for x in ids], np.int64)
-            at = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, *ids])
-            where = np.searchsorted(self.keys, unique[new])
-            self.keys, self.at, self.size = np.insert(self.keys, where, unique[new]), np.insert(self.at, where, at), np.insert(self.size, where, size)
+            where, slot = np.searchsorted(self.keys, unique[new]), self.at.n + np.arange(len(new))
+            self.keys, self.slot = np.insert(self.keys, where, unique[new]), np.insert(self.slot, where, slot)
+            for store, values in (
+                (self.at, self.pool.n + np.cumsum(size) - size), (self.size, size), (self.first, self.bytes.n + np.cumsum(long[new]) - long[new]), (self.long, long[new]),
+                (self.pool, np.concatenate(ids)), (self.bytes, np.concatenate([data[i : i + n] for i, n in zip(first[new].tolist(), long[new].tolist(), strict=True)])),
+            ):
+                store.add(values)
             place = np.searchsorted(self.keys, unique)
-        return place
+        return self.slot[place]
 
 
 def encoder(path: str) -> Encoder:

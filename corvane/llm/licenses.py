@@ -70,7 +70,7 @@ def word_hashes(block: t.Block) -> tuple[t.Words, np.ndarray]:
         a += move
     while (move := (a < b - 1) & _MARK[block.data[b - 1]]).any() if len(a) else False:
         b -= move
-    return words, t.span_hash(t.prefix_hash(block, lower=True), a, b)
+    return words, t.span_hash(block.data, a, b, lower=True)
 
 
 def winnowed(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

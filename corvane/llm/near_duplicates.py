@@ -11,24 +11,40 @@ word has none and links with nothing).  Two documents link when their sets' Jacc
   their rarest shingles: with all but ceil(0.8 n) + 1 of n shingles in a common order, similar
   sets meet in a list.  The order is by a count over all documents, so common passages come last.
 
-The boundary is where enumerating starts to cost more than scanning, by the sizes found.
-
-Pairs that meet are compared by parity first: each set keeps the parity of the number of its
-hashes in each of some buckets, and where two sets' parities differ, so do the sets.  Pairs with
-too many differences are out for certain; only the rest are compared shingle by shingle.
-
-A list does not emit all its pairs.  Its members are compared with one of them, links found are
-contracted to components, and lists that fall into one component are done.  Such rounds go on
-while the pairs left across components are many; then each of those is compared.  So no link
-between different components is missed, and a large group of near copies costs about one
-comparison a member.  Lists with very many members are split, and their parts joined by pivots.
-
-Sets are kept as 64-bit hashes (the lower 48 bits when two are compared).  Null texts are empty, repeated rows and copies get the same
-component, an empty table gives an empty result, and only doc_id and text are read.
+The boundary is where enumerating starts to cost more than scanning, by the sizes found and the
+lengths of the lists that sets of these sizes would enter.
+
+A list never emits its pairs.  It is worked off in rounds:
+
+* The member whose lists have most members in all is the list's pivot, and all others are compared
+  with it: of near copies, that is the one with the fewest words of its own.
+  Links found are contracted to components, and lists inside one component are done.
+* In a longer list that still spans components, let D(x) be the shingles that are in just one of x
+  and the pivot.  If x isn't similar to the pivot and D(x), D(y) are disjoint, x and y aren't
+  similar either: they differ in even more shingles.  So the members enter new lists, of the rarest
+  shingles of D(x) for this pivot, again as many as a partner could leave out, and those lists are
+  worked off like the first.  Copies of one text that differ in words of their own don't meet again.
+* A list of ``SHORT`` members or fewer (more in later rounds) is worked off at once: its members are
+  held against each other, by place, size and parity, and what may be similar is compared.
+
+So no link between different components is missed, every round takes about as many comparisons as
+there are list entries, and a group of near copies costs about one comparison a member.  Lists and
+pivots with very many members are split into parts.
+
+Pairs that meet are compared by place and size, and by parity, before their sets are: each set keeps
+the parity of the number of its hashes in each of some buckets, and where two sets' parities differ,
+so do the sets.  Pairs with too many differences are out for certain.
+
+A shingle is a 64-bit hash; a class is named by the first row that has its set, sets being told
+apart by 128 bits (of sets with one shingle, which are as many as short texts, the words themselves
+are hashed again).  Null texts are empty, repeated rows and copies get the same component, an empty
+table gives an empty result, and only doc_id and text are read.  A text's length has no bound but
+the memory that its own set takes, twice.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from itertools import combinations
@@ -37,36 +53,37 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._graph import components
-from ._session import cut, shuffle_width, table
+from ._graph import components, joined
+from ._session import cut, table, tidy
 
 SHINGLE = 5
-#: Similarity 0.8 as a ratio.  Overlap o links sizes a, b when 9 o >= 4 (a + b).
+#: Similarity 0.8 as a ratio.  Sets of a and b shingles link when they differ in (a + b) / 9 at most.
 NUM, DEN = 4, 5
 #: Counters of the shingle sketch (4 bytes each: its size doesn't depend on the input).
 SKETCH_BITS, SKETCH_CHUNKS = 20, 16
-#: Largest size for which enumerating is considered, and the cost of a list entry in subsets.
-LIGHT_MOST, LIST_COST = 24, 4
-#: Members of a list from which it is split, beyond what the sketch counts by chance.
+#: Largest size for which enumerating is considered.
+LIGHT_MOST = 24
+#: Members of a list, or of a pivot, from which it is split.
 PART = 4096
-#: Bits of the filter that tells which documents' sets are compared.
-FILTER_BITS = 1 << 23
-#: Comparing all pairs across components waits until they are so many for each list entry.
-PAIRS_PER_ENTRY, ROUNDS = 4, 2
-#: Members of lists that one set is compared with in a round: those it meets most often.
-PIVOTS = 3
+#: Members up to which a list is compared wholly: in the first round, and how many times as many in
+#: each further one, where there are far fewer lists, up to PART.
+SHORT, WIDER = 16, 2
+#: Bits of the filter that tells which documents' sets are needed: 16 for each of them, within these.
+FILTER_BITS = 1 << 16, 1 << 28
 #: Parity bits of a set: a power of two, at least twice its size within these bounds.
 PARITY_BITS = 256, 1 << 16
+_FOLDED = [f"f{k}" for k in range(PARITY_BITS[0] // 64)]
 
 
-def sets(block: t.Block) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each document of a block."""
+def sets(block: t.Block) -> tuple[list[np.ndarray], t.Words]:
+    """The sorted distinct shingle hashes of each document of a block, and the words."""
     words = t.words(block)
-    hashes = t.span_hash(t.prefix_hash(block, lower=True), words.start, words.end)
+    hashes = t.span_hash(block.data, words.start, words.end, lower=True)
     grams = t.mix(t.ngrams(hashes, SHINGLE))
     out = []
     for first, stop in zip(words.at[:-1].tolist(), words.at[1:].tolist(), strict=True):
@@ -79,22 +96,32 @@ def sets(block: t.Block) -> list[np.ndarray]:
             out.append(t.mix(t.ngrams(hashes[first:stop], stop - first) + t.U64(stop - first)))
         else:
             out.append(np.zeros(0, t.U64))
-    return out
+    return out, words
 
 
-def class_id(own: np.ndarray) -> int:
-    """Equal for equal sets."""
+def _names(found: list[np.ndarray], words: t.Words, block: t.Block) -> np.ndarray:
+    """Two 64-bit numbers for each document, equal for equal sets."""
+    out = np.zeros((len(found), 2), t.U64)
+    flat = np.concatenate(found) if found else np.zeros(0, t.U64)
+    size = np.array([len(x) for x in found], np.int64)
+    ends = np.cumsum(size)
     with np.errstate(over="ignore"):
-        total = np.array([t.mix(own ^ t.U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=t.U64) + t.U64(len(own))], t.U64)
-    return int(t.mix(total).view(np.int64)[0])
+        for k, salt in enumerate((0xA5A5A5A5A5A5A5A5, 0x3C6EF372FE94F82B)):
+            total = np.concatenate([np.zeros(1, t.U64), np.cumsum(t.mix(flat ^ t.U64(salt)), dtype=t.U64)])
+            out[:, k] = t.mix(total[ends] - total[ends - size] + size.astype(t.U64))
+    for i in np.flatnonzero(size == 1).tolist():
+        a, b = words.at[i], min(words.at[i + 1], words.at[i] + SHINGLE)
+        low = t.lower(block.data[words.start[a] : words.end[b - 1]]).tobytes().split()
+        out[i, 1] = int.from_bytes(hashlib.blake2b(b" ".join(low), digest_size=8).digest(), "little")
+    return out
 
 
-def parity(own: np.ndarray) -> bytes:
+def parity(own: np.ndarray) -> np.ndarray:
     """Bit i tells whether an odd number of the hashes have i as their last bits."""
     bits = PARITY_BITS[0]
     while bits < min(2 * len(own), PARITY_BITS[1]):
         bits *= 2
-    return np.packbits(np.bincount((own & t.U64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+    return np.packbits(np.bincount((own & t.U64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little")
 
 
 def _differ(a: bytes, b: bytes) -> int:
@@ -107,38 +134,40 @@ def _differ(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each class's parity folded to the fewest bits, as four numbers."""
-    for batch in batches:
-        rows = np.zeros((batch.num_rows, PARITY_BITS[0] // 8), np.uint8)
-        for row, x in zip(rows, batch.column("parity"), strict=True):
-            row[:] = np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, rows.shape[1]))
-        words = rows.view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("class"), *(pa.array(words[:, k].copy()) for k in range(4))], ["class", "f0", "f1", "f2", "f3"])
-
-
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = np.array(batch.column("n_a"), np.int64) + np.array(batch.column("n_b"), np.int64)
         far = [_differ(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("parity_a"), batch.column("parity_b"), strict=True)]
-        keep = 9 * np.array(far, np.int64) <= sizes  # at 0.8 a ninth of both sizes may differ
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+        keep = 9 * np.array(far, np.int64) <= sizes
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "salt")], ["a", "b", "salt"]).filter(pa.array(keep, pa.bool_()))
+
+
+_SIGNED = "doc_id long, row long, c1 long, c2 long, n long, f0 long, f1 long, f2 long, f3 long, parity binary, small binary, chunk int, counts binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, then the task's part of the sketch."""
-    names = ["doc_id", "class", "n", "parity", "chunk", "counts"]
+    names = [x.split()[0] for x in _SIGNED.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[x.split()[1]] for x in _SIGNED.split(", ")]
     count = np.zeros(1 << SKETCH_BITS, np.int64)
+    row = TaskContext.get().partitionId() << 33
     for batch in batches:
         for block in t.blocks(batch.column("text")):
-            found = sets(block)
+            found, words = sets(block)
             hashes = np.concatenate(found)
             count += np.bincount((hashes >> t.U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(count))
             n = len(found)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, n), pa.array([class_id(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array(map(parity, found), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            odd = [parity(x) for x in found]
+            folded = np.array([np.bitwise_xor.reduce(x.reshape(-1, PARITY_BITS[0] // 8)) for x in odd]).view(np.int64)
+            small = [x.tobytes() if 0 < len(x) <= 2 * LIGHT_MOST else None for x in found]
+            own = [batch.column("doc_id").slice(block.first, n), np.arange(row, row + n), *_names(found, words, block).view(np.int64).T, [len(x) for x in found], *folded.T, [x.tobytes() for x in odd], small]
+            columns = [x if isinstance(x, pa.Array) else pa.array(np.ascontiguousarray(x) if isinstance(x, np.ndarray) else x, kind) for x, kind in zip(own, kinds, strict=False)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            row += n
     parts = count.astype("<u4").reshape(SKETCH_CHUNKS, -1)
     n = len(parts)
-    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(range(n), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())], names)
+    last = {"chunk": pa.array(range(n), pa.int32()), "counts": pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())}
+    yield pa.RecordBatch.from_arrays([last.get(name, pa.nulls(n, kind)) for name, kind in zip(names, kinds, strict=True)], names)
 
 
 def _sum_counts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -159,13 +188,35 @@ def _needed(n: int) -> int:
     return -(-NUM * n // DEN)
 
 
-def boundary(sizes: dict[int, int]) -> int:
-    """The size up to which sets are light, from the number of sets of each small size."""
+def _often(count: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return count[(own >> t.U64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64)
+
+
+def _lengths(sketch):
+    """For each small set its size and the total length of the lists that it would enter."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = sketch.value
+        chance = int(count.mean())  # what a counter holds of other shingles
+        for batch in batches:
+            size, length = [], []
+            for x in batch.column("small"):
+                own = np.frombuffer(x.as_buffer(), t.U64)
+                size.append(len(own))
+                length.append(int(np.sort(np.maximum(_often(count, own) - chance, 1))[: len(own) - _needed(len(own)) + 1].sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int64()), pa.array(length, pa.int64())], ["n", "length"])
+
+    return rows
+
+
+def boundary(lengths: dict[int, tuple[int, int]]) -> int:
+    """The size up to which sets are light, from the number of sets of each small size and the
+    total length of the lists that they would enter: a subset costs a row, a list entry one and
+    a look at the list's members."""
     subsets = lambda n: sum(comb(n, r) for r in range(n - _needed(n) + 1))
-    lists = lambda n: (n - _needed(n) + 1) * LIST_COST
 
     def cost(x: int) -> int:
-        return sum(k * ((subsets(n) if n <= x else 0) + (lists(n) if DEN * n >= NUM * (x + 1) else 0)) for n, k in sizes.items())
+        return sum((k * subsets(n) if n <= x else 0) + (k * (n - _needed(n) + 1) + long if DEN * n >= NUM * (x + 1) else 0) for n, (k, long) in lengths.items())
 
     return min(range(LIGHT_MOST + 1), key=lambda x: (cost(x), x))
 
@@ -185,44 +236,37 @@ def _subset_keys(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _list_rows(sketch, light: int):
-    """Rows (key, part, class, n, pos, sub): sub is a subset's size, or 0 in an inverted list."""
+    """Rows (key, part, c1, c2, n, pos, sub): sub is a subset's size, or 0 in an inverted list."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = sketch.value
         common = PART + 4 * int(count.mean())
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for block in t.blocks(batch.column("text")):
                 out = []
-                for own in sets(block):
-                    n = len(own)
-                    if not n or (me := class_id(own)) in seen:
+                found, words = sets(block)
+                for own, me in zip(found, _names(found, words, block).view(np.int64).tolist(), strict=True):
+                    n, me = len(own), tuple(me)
+                    if not n or me in seen:
                         continue
-                    if len(seen) >= 1_000_000:  # copies that come again are harmless
+                    if len(seen) >= 100_000:  # copies that come again are harmless
                         seen.clear()
                     seen.add(me)
                     if n <= light:
                         keys, sub = _subset_keys(own)
-                        out.append((keys, np.full(len(keys), -1), me, n, np.zeros(len(keys), np.int64), sub))
+                        out.append((keys, np.full(len(keys), -1), *me, n, np.zeros(len(keys), np.int64), sub))
                     if DEN * n >= NUM * (light + 1):
-                        often = count[(own >> t.U64(64 - SKETCH_BITS)).astype(np.int64)]
+                        often = _often(count, own)
                         first = np.lexsort((own, often))[: n - _needed(n) + 1]
-                        parts = -(-often[first].astype(np.int64) // PART)
-                        part = np.where(often[first] > common, me % np.maximum(parts, 1), -1)
-                        out.append((own[first], part, me, n, np.arange(len(first)), np.zeros(len(first), np.int64)))
+                        parts = -(-often[first] // PART)
+                        part = np.where(often[first] > common, me[0] % np.maximum(parts, 1), -1)
+                        out.append((own[first], part, *me, n, np.arange(len(first)), np.zeros(len(first), np.int64)))
                 if out:
                     long = [len(x[0]) for x in out]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([x[0] for x in out]).view(np.int64)),
-                            pa.array(np.concatenate([x[1] for x in out]), pa.int32()),
-                            pa.array(np.repeat(np.array([x[2] for x in out], np.int64), long)),
-                            pa.array(np.repeat([x[3] for x in out], long), pa.int32()),
-                            pa.array(np.concatenate([x[4] for x in out]), pa.int32()),
-                            pa.array(np.concatenate([x[5] for x in out]), pa.int32()),
-                        ],
-                        ["key", "part", "class", "n", "pos", "sub"],
-                    )
+                    flat = [np.concatenate([x[0] for x in out]).view(np.int64), np.concatenate([x[1] for x in out]), *(np.repeat(np.array([x[k] for x in out], np.int64), long) for k in (2, 3, 4)), np.concatenate([x[5] for x in out]), np.concatenate([x[6] for x in out])]
+                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(flat, kinds, strict=True)], ["key", "part", "c1", "c2", "n", "pos", "sub"])
 
     return rows
 
@@ -231,133 +275,210 @@ def _own_sets(bits):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = bits.value
         for batch in batches:
-            ids = np.array(batch.column("slot"), np.int64)
+            ids = np.array(batch.column("slot"), np.int64) & (8 * len(wanted) - 1)
             batch = batch.filter(pa.array((wanted[ids >> 3] >> (ids & 7)) & 1 == 1))
             for block in t.blocks(batch.column("text")):
-                found = sets(block)
-                yield pa.RecordBatch.from_arrays([pa.array([class_id(x) for x in found], pa.int64()), pa.array([x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in found], pa.binary())], ["class", "own"])
+                found, words = sets(block)
+                c1, c2 = np.ascontiguousarray(_names(found, words, block).view(np.int64).T)
+                yield pa.RecordBatch.from_arrays([pa.array(c1), pa.array(c2), pa.array([x.tobytes() for x in found], pa.binary())], ["c1", "c2", "own"])
 
     return rows
 
 
-def _unpacked(own: pa.Scalar) -> np.ndarray:
-    short = np.frombuffer(own.as_buffer(), np.uint8).reshape(-1, 6)
-    wide = np.zeros((len(short), 8), np.uint8)
-    wide[:, :6] = short
-    return wide.view(np.uint64).ravel()
+def _only_in_one(x: pa.Scalar, y: pa.Scalar) -> tuple[np.ndarray, int, int]:
+    """The hashes that are in one of two sets only, and the sets' sizes."""
+    a, b = np.frombuffer(x.as_buffer(), t.U64), np.frombuffer(y.as_buffer(), t.U64)
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    same = np.zeros(len(both) + 1, bool)
+    same[1:-1] = both[1:] == both[:-1]
+    return both[~(same[1:] | same[:-1])], len(a), len(b)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("own_a"), batch.column("own_b"), strict=True):
-            a, b = _unpacked(x), _unpacked(y)
-            both = np.sort(np.concatenate([a, b]), kind="stable")
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * shared >= 80 * (len(a) + len(b) - shared))
+            far, a, b = _only_in_one(x, y)
+            keep.append(9 * len(far) <= a + b)
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-_PIVOT = {"pivot": "class", "pivot_n": "n", "pivot_pos": "pos"}
+def partner_shares(d: int, n: int, pivot_n: int) -> int:
+    """How many of the d shingles in which a set of n differs from its pivot a partner has to
+    share that isn't in the same component by way of the pivot."""
+    if 9 * d <= n + pivot_n:  # similar to the pivot, so the partner isn't
+        return max(1, -(-(pivot_n - n + 9 * d + 1) // 18))
+    # a partner with s differences has pivot_n + s shingles at most, and shares s at most
+    s = max(1, -(-(9 * d - n - pivot_n) // 10))
+    return max(1, -(-(9 * d + 8 * s - n - pivot_n) // 18))
+
+
+def _differences(sketch):
+    """Rows (key, part, class, n, d, pos): the rarest shingles in which a differs from pivot b."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = sketch.value
+        for batch in batches:
+            out = []
+            lists = zip(batch.column("own_a"), batch.column("own_b"), batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("salt").to_pylist(), strict=True)
+            for x, y, a, b, salt in lists:
+                far, n, pivot_n = _only_in_one(x, y)
+                first = np.lexsort((far, _often(count, far)))[: max(0, len(far) - partner_shares(len(far), n, pivot_n) + 1)]
+                key = t.mix(far[first] ^ t.mix(np.array([b], np.int64).view(t.U64)))
+                out.append((key, salt, a, n, len(far), np.arange(len(first))))
+            long = [len(x[0]) for x in out]
+            if sum(long):
+                flat = [np.concatenate([x[0] for x in out]).view(np.int64), *(np.repeat(np.array([x[k] for x in out], np.int64), long) for k in (1, 2, 3, 4)), np.concatenate([x[5] for x in out])]
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(flat, kinds, strict=True)], ["key", "part", "class", "n", "d", "pos"])
+
+    return rows
+
+
+_ENTRY = ["class", "n", "d", "pos", "root", *_FOLDED]
 
 
-def _fits(a: str, b: str, at: str, bt: str):
-    """Whether sets of sizes a and b that share the shingle at these places may be similar, no earlier one being shared."""
-    return F.expr(f"{DEN} * least({a}, {b}) >= {NUM} * greatest({a}, {b}) and 9 * least({a} - {at}, {b} - {bt}) >= 4 * ({a} + {b})")
+def _may_link_at(a: Column, b: Column, first: bool) -> Column:
+    """Whether list entries a and b (structs) may be of similar sets in different components, and,
+    with ``first``, that share no shingle before their places."""
+    both = a["n"] + b["n"]
+    far = sum((F.bit_count(a[f].bitwiseXOR(b[f])) for f in _FOLDED), F.lit(0))
+    may = (a["root"] != b["root"]) & (DEN * F.least(a["n"], b["n"]) >= NUM * F.greatest(a["n"], b["n"])) & (9 * far <= both)
+    return may & (18 * F.least(a["d"] - a["pos"], b["d"] - b["pos"]) >= 9 * (a["d"] + b["d"]) - both) if first else may
 
 
 class _Join:
     def __init__(self, docs: DataFrame):
         self.spark = docs.sparkSession
         self.docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-        signed = cut(self.docs.mapInArrow(_signatures, "doc_id long, class long, n long, parity binary, chunk int, counts binary"))
-        self.signed = signed.filter("chunk is null").select("doc_id", "class", "n")
-        self.classes = self.signed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-        self.parity = signed.filter("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("parity").alias("parity"))
+        signed = cut(self.docs.mapInArrow(_signatures, _SIGNED))
         self.sketch = self.spark.sparkContext.broadcast(_sketch(signed))
-        small = self.signed.filter(F.col("n").between(1, 2 * LIGHT_MOST)).groupBy("n").count().collect()
-        self.light = boundary({x["n"]: x["count"] for x in small})
+        rows = signed.filter("chunk is null")
+        self.signed = rows.select("doc_id", "c1", "c2", "n")
+        self.parity = rows.select(F.col("row").alias("class"), "n", "parity")
+        own = [F.max(f).alias(f) for f in _FOLDED]  # equal in all rows of a class
+        self.classes = cut(rows.filter("n > 0").groupBy("c1", "c2").agg(F.min("row").alias("class"), F.min("doc_id").alias("first_id"), *own))
+        small = rows.filter("small is not null").select("small").mapInArrow(_lengths(self.sketch), "n long, length long")
+        small = small.groupBy("n").agg(F.count("*").alias("k"), F.sum("length").alias("length")).collect()  # a row for each small size
+        self.light = boundary({x["n"]: (x["k"], x["length"]) for x in small})
 
     def lists(self) -> DataFrame:
         """The entries of all lists that have two members or more, or are split."""
-        rows = self.docs.mapInArrow(_list_rows(self.sketch, self.light), "key long, part int, class long, n int, pos int, sub int")
+        rows = self.docs.mapInArrow(_list_rows(self.sketch, self.light), "key long, part int, c1 long, c2 long, n int, pos int, sub int")
         own = Window.partitionBy("key", "part", "sub")
-        first = own.orderBy(F.when(F.col("sub") > 0, F.col("n")).otherwise(0), F.xxhash64("class"))
-        for name, of in _PIVOT.items():
-            rows = rows.withColumn(name, F.first(of).over(first))
-        return cut(rows.withColumn("other", F.max("class").over(own)).withColumn("least", F.min("class").over(own)).filter("other <> least or part >= 0").drop("other", "least"))
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Which of the pairs of classes (a, b) are similar; each document compared is hashed anew."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        a, b = (self.parity.select(F.col("class").alias(x), F.col("n").alias("n_" + x), F.col("parity").alias("parity_" + x)) for x in "ab")
-        pairs = cut(pairs.join(a, "a").join(b, "b").mapInArrow(_may_link, "a long, b long"))
-        named = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct().join(self.classes, "class").select("first_id")
-        slot = F.pmod(F.xxhash64(F.col("first_id")), F.lit(FILTER_BITS))
-        used = named.select(slot.alias("slot")).groupBy((F.col("slot") / 32).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).collect()
-        bits = np.zeros(FILTER_BITS // 32, "<u4")
-        bits[[x["cell"] for x in used]] = [x["bits"] for x in used]
-        bits = self.spark.sparkContext.broadcast(bits.view(np.uint8))
-        docs = self.docs.select("text", F.pmod(F.xxhash64(F.col("doc_id")), F.lit(FILTER_BITS)).alias("slot"))
-        own = docs.mapInArrow(_own_sets(bits), "class long, own binary").dropDuplicates(["class"])
-        a, b = own.select(F.col("class").alias("a"), F.col("own").alias("own_a")), own.select(F.col("class").alias("b"), F.col("own").alias("own_b"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long")
-
-    def edges(self) -> DataFrame:
+        ends = {f"{f}_{c}": getattr(F, f)(c).over(own) for c in ("c1", "c2") for f in ("min", "max")}
+        rows = cut(rows.withColumns(ends | {"many": F.count("*").over(own)}).filter("min_c1 <> max_c1 or min_c2 <> max_c2 or part >= 0").drop(*ends))
+        named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED), ["c1", "c2"]).drop("c1", "c2")
+        return cut(named.dropDuplicates(["key", "part", "sub", "class"]).withColumn("d", F.col("n")))
+
+    def own_sets(self, wanted: DataFrame) -> DataFrame:
+        """class and own (its hashes) of the wanted classes; one document of each is hashed anew."""
+        wanted = cut(self.classes.select("c1", "c2", "class", "first_id").join(wanted, "class"))
+        bits = FILTER_BITS[0]
+        while bits < min(16 * wanted.count(), FILTER_BITS[1]):
+            bits *= 2
+        slot = F.xxhash64("first_id").bitwiseAND(F.lit(bits - 1))
+        used = wanted.groupBy(F.shiftright(slot, 5).cast("int").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(xxhash64(first_id) & 31 as int))")).alias("bits"))
+        # the cells of the filter, FILTER_BITS / 32 at most
+        cells = used.toArrow()
+        filled = np.zeros(bits // 32, "<u4")
+        filled[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+        filled = self.spark.sparkContext.broadcast(filled.view(np.uint8))
+        rows = self.docs.select("text", F.xxhash64("doc_id").alias("slot")).mapInArrow(_own_sets(filled), "c1 long, c2 long, own binary")
+        return cut(rows.join(wanted, ["c1", "c2"]).select("class", "own").dropDuplicates(["class"]))
+
+    def with_sets(self, pairs: DataFrame, own: DataFrame, name: str = "own") -> DataFrame:
+        """Pairs (a, b, salt) with both classes' rows of ``own``; b's are sent to each salt of b."""
+        a = own.select(*(F.col(c).alias("a" if c == "class" else f"{c}_a") for c in own.columns))
+        b = own.select(*(F.col(c).alias("b" if c == "class" else f"{c}_b") for c in own.columns))
+        return pairs.join(a, "a").join(pairs.select("b", "salt").distinct().join(b, "b"), ["b", "salt"])
+
+    def links(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+        """Which of the pairs of classes (a, b, salt) are similar."""
+        near = cut(self.with_sets(pairs, self.parity).mapInArrow(_may_link, "a long, b long, salt int"))
+        return cut(self.with_sets(near, own).select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long"))
+
+    def opened(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """The lists that span components, with the pivot of each and its number of members (m)."""
+        rooted = lists.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        rooted = rooted.join(rooted.groupBy("class").agg(F.sum("many").alias("deg")), "class")
+        top = F.max(F.struct("deg", F.xxhash64("class").alias("tie"), *_ENTRY)).alias("top")
+        # first for each part of a key, then, of these few rows, for each key
+        by_part = rooted.groupBy("key", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(9 * F.col("d") - F.col("n")).alias("least"), F.count("*").alias("m"), top)
+        key = Window.partitionBy("key")
+        by_part = by_part.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key), "least": F.min("least").over(key), "m": F.sum("m").over(key), "top": F.max("top").over(key)})
+        by_part = by_part.filter("low <> high").select("key", "part", "least", "m", F.col("top").alias("pivot"))
+        # from its place on, an entry must have room for what it has to share with some partner
+        return cut(rooted.drop("deg", "many").join(by_part, ["key", "part"]).filter("18 * (d - pos) >= 9 * d - n + least").drop("least"))
+
+    def meetings(self, lists: DataFrame, short_most: int) -> DataFrame:
+        """Pairs (a, b, salt) to compare: in short lists all, in others each member and the pivot."""
+        entry = F.struct(*_ENTRY)
+        short = lists.filter(f"m <= {short_most}").groupBy("key").agg(F.collect_list(entry).alias("own")).select(F.explode("own").alias("x"), "own")
+        short = short.select("x", F.explode(F.filter("own", lambda y: (F.col("x.class") < y["class"]) & _may_link_at(F.col("x"), y, True))).alias("y"))
+        short = short.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), F.lit(1).alias("m"))
+        long = lists.filter(f"m > {short_most}").filter(_may_link_at(entry, F.col("pivot"), False)).select(F.col("class").alias("a"), F.col("pivot.class").alias("b"), "m")
+        return cut(self.salted(short.union(long)))
+
+    def salted(self, pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b); those of one b have as many salts as it has parts of members."""
+        salt = F.pmod(F.xxhash64("a"), F.ceil(F.max("m") / PART)).cast("int")
+        return pairs.groupBy("a", "b").agg(salt.alias("salt"))
+
+    def roots(self) -> DataFrame:
+        """class and root, the least class it is linked with by way of others."""
         lists = self.lists()
-        met = lists.filter("class <> pivot")
-        sure = met.filter("sub > 0 and 9 * sub >= 4 * (n + pivot_n)").select(F.col("class").alias("a"), F.col("pivot").alias("b"))
-        lists = lists.filter("sub = 0")
-        edges, roots = cut(sure.distinct()), None
-        for turn in range(ROUNDS + 1):
-            tops = lists.filter("part >= 0 and class = pivot")
-            over = Window.partitionBy("key").orderBy(F.xxhash64("class"))
-            for name, of in _PIVOT.items():
-                tops = tops.withColumn(name, F.first(of).over(over))
-            pairs = lists.unionByName(tops).filter("class <> pivot")
-            if roots is not None:
-                pairs = pairs.filter("root <> pivot_root")
-            pairs = pairs.filter(_fits("n", "pivot_n", "pos", "pivot_pos")).groupBy(F.col("class").alias("a"), F.col("pivot").alias("b")).count()
-            most = Window.partitionBy("a").orderBy(F.desc("count"), "b")
-            pairs = pairs.withColumn("nth", F.row_number().over(most)).filter(f"nth <= {PIVOTS}")
-            edges = edges.union(cut(self.links(pairs)))
-            roots = components(edges)
-            lists, left, entries = self._rest(lists, roots, turn)
-            if not left:
-                return edges
-            if left <= PAIRS_PER_ENTRY * entries or turn == ROUNDS - 1:
-                break
-        folded = self.parity.select("class", "parity").mapInArrow(_folded, "class long, f0 long, f1 long, f2 long, f3 long")
-        lists = cut(lists.select("key", "class", "n", "pos", "root").join(folded, "class"))
-        a, b = (lists.select(*(F.col(x).alias(f"{x}_{side}") for x in lists.columns)) for side in "ab")
-        near = F.expr(f"9 * ({' + '.join(f'bit_count(f{k}_a ^ f{k}_b)' for k in range(4))}) <= n_a + n_b")
-        across = (F.col("key_a") == F.col("key_b")) & (F.col("root_a") < F.col("root_b")) & _fits("n_a", "n_b", "pos_a", "pos_b") & near
-        pairs = a.join(b, across)
-        return edges.union(cut(self.links(pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))))
-
-    def _rest(self, lists: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
-        """The lists that reach over components, with new pivots; their pairs left, and entries."""
-        plain = lists.select("key", "part", "class", "n", "pos", "sub")
-        rooted = plain.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        spread = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("n_min")).filter("low <> high").select("key", "n_min")
-        # from its place on, an entry must have room for the overlap with the smallest partner at least
-        rooted = cut(rooted.join(spread, "key").filter("9 * (n - pos) >= 4 * (n + n_min)").drop("n_min"))
-        by_root = rooted.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("within"))
-        left, entries = by_root.agg(F.sum(F.expr("(m * m - within) div 2")), F.sum("m")).first()
-        first = Window.partitionBy("key", "part").orderBy(F.xxhash64("class", F.lit(turn)))
-        for name, of in (_PIVOT | {"pivot_root": "root"}).items():
-            rooted = rooted.withColumn(name, F.first(of).over(first))
-        return rooted, left or 0, entries or 0
+        met = lists.filter("sub > 0")
+        least = met.groupBy("key", "sub").agg(F.min(F.struct("n", "class")).alias("least"))
+        sure = joined(met, least, "key", "sub").filter("class <> least.class and 9 * sub >= 4 * (n + least.n)")
+        roots, _ = components(sure.select(F.col("class").alias("a"), F.col("least.class").alias("b")))
+        lists = self.opened(lists.filter("sub = 0").drop("sub"), roots)
+        if lists.isEmpty():
+            return roots
+        own = self.own_sets(lists.select("class").distinct())
+        short = SHORT
+        while True:
+            links = self.links(self.meetings(lists, short), own)
+            if not links.isEmpty():
+                roots = self.contracted(roots, links)
+            lists = self.next_lists(lists.filter(f"m > {short}"), roots, own)
+            lists = lists if lists.isEmpty() else self.opened(lists, roots)
+            if lists.isEmpty():
+                return roots
+            short = min(WIDER * short, PART)
+
+    def contracted(self, roots: DataFrame, links: DataFrame) -> DataFrame:
+        """The roots after some more links: only pairs of different roots are looked at."""
+        ends, n = links, roots.count()
+        for c in "ab":
+            ends = joined(ends, roots.select(F.col("class").alias(c), F.col("root").alias("own_root")), c, few=n).withColumn(c, F.coalesce("own_root", c)).drop("own_root")
+        step, n = components(ends)
+        fresh = step.join(roots, step["class"] == roots["class"], "left_anti").select("class", F.col("class").alias("root"))
+        moved = joined(roots.union(fresh), step.select(F.col("class").alias("root"), F.col("root").alias("now")), "root", few=2 * n)
+        return cut(moved.select("class", F.coalesce("now", "root").alias("root")))
+
+    def next_lists(self, lists: DataFrame, roots: DataFrame, own: DataFrame) -> DataFrame:
+        """New lists, by differences from the pivot, of the members of lists that still span components."""
+        rooted = lists.select("key", "part", "class", F.col("pivot.class").alias("pivot"), "m").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+        ends = rooted.groupBy("key", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        key = Window.partitionBy("key")
+        ends = ends.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key)}).filter("low <> high").select("key", "part")
+        pairs = rooted.join(ends, ["key", "part"]).filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"), "m")
+        rows = self.with_sets(cut(self.salted(pairs)), own).select("a", "b", "salt", "own_a", "own_b").mapInArrow(_differences(self.sketch), "key long, part int, class long, n int, d int, pos int")
+        rows = cut(rows)
+        many = rows.groupBy("key", "part").count().select("key", "part", F.sum("count").over(key).alias("many")).filter("many > 1")
+        rows = rows.join(many, ["key", "part"])
+        return cut(rows.join(self.classes.select("class", *_FOLDED), "class"))
 
     def result(self) -> DataFrame:
-        roots = components(self.edges())
-        named = self.classes.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        named = joined(self.classes.select("c1", "c2", "class", "first_id"), self.roots(), "class").withColumn("root", F.coalesce("root", "class"))
         lowest = named.groupBy("root").agg(F.min("first_id").alias("low_id"))
-        named = named.join(lowest, "root").select("class", "low_id")
-        out = self.signed.join(named, "class", "left")
+        named = cut(joined(named, lowest, "root").select("c1", "c2", "low_id"))
+        out = joined(self.signed, named, "c1", "c2")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("low_id")), F.col("doc_id")).alias("component_id"))
 
 
+@tidy
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text)."""
     return _Join(docs).result()

@@ -87,7 +87,7 @@ def _sequences(path: str, length: int, end: int):
 
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for block in t.blocks(batch.column("text")):
+            for block in t.blocks(batch.column("text"), 1 << 20):
                 parts, at = [rest], len(rest)
                 for i, own in enumerate(tokens.encode(block)):
                     owners.append((names[block.first + i], at))

@@ -185,7 +185,7 @@ def _pieces(path: str, capacity: int, closing: int):
         tokens = encoder(path)
         end = np.array([closing], "<u4")
         for batch in batches:
-            for block in t.blocks(batch.column("text")):
+            for block in t.blocks(batch.column("text"), 1 << 20):
                 of, piece, start, length, crc = [], [], [], [], []
                 for i, own in enumerate(tokens.encode(block)):
                     ids = np.concatenate([own.astype("<u4"), end])

@@ -1,7 +1,8 @@
 """Quality rules: how much of a text lies inside repeated n-grams and lines.
 
 ``repetition`` hashes the words of each whole text and, for several n-gram lengths, measures the
-characters inside n-grams that occurred earlier in that text; likewise for whole lines.
+characters inside n-grams that occurred earlier in that text; likewise for whole lines.  Hashes only
+bring equal ones together: words, lines and n-grams are then compared themselves.
 A text fails when it has too few words, when most of its words lie in repeated 3-word windows
 (the first occurrence included), when a share exceeds its threshold, or when symbols outnumber
 its words.  One repeated sentence in a short text stays below every threshold.
@@ -54,7 +55,6 @@ def measure(block: t.Block) -> dict[str, np.ndarray]:
     chars_to = np.zeros(len(space) + 1, np.int64)
     np.cumsum(point & ~space, out=chars_to[1:])
     out = {"n_words": np.diff(words.at), "word_chars": chars_to[block.at[1:]] - chars_to[block.at[:-1]], "n_symbols": t.per_row(_SYMBOL[block.data], block.at)}
-    hashed = t.prefix_hash(block)
     salt = t.mix(np.arange(1, block.rows + 1, dtype=t.U64))
 
     cuts = np.flatnonzero(block.data == 10)
@@ -64,18 +64,20 @@ def measure(block: t.Block) -> dict[str, np.ndarray]:
     end = np.maximum(start, stops)
     wordy = chars_to[end] > chars_to[start]
     start, end, owner = start[wordy], end[wordy], owner[wordy]
-    _, later = t.repeated(t.span_hash(hashed, start, end) ^ salt[owner])
+    number, _ = t.distinct(block.data, start, end)
+    _, later = t.repeated(number * block.rows + owner)
     chars = chars_to[end] - chars_to[start]
     out["n_lines"] = np.bincount(owner, minlength=block.rows)
     out["n_dup_lines"] = np.bincount(owner[later], minlength=block.rows)
     out["dup_line_chars"] = np.bincount(owner[later], weights=chars[later], minlength=block.rows).astype(np.int64)
 
-    hashes = t.span_hash(hashed, words.start, words.end)
+    numbers, _ = t.distinct(block.data, words.start, words.end)
+    hashes = t.mix(numbers.astype(t.U64) + t.U64(1))
     sizes = chars_to[words.end] - chars_to[words.start]
     last = words.at[1:][words.doc]
     grams = t.ngrams(hashes, 3)
     marks = np.flatnonzero(t.whole(words.at, 3, len(grams)))
-    marks = marks[t.repeated(t.mix(grams[marks]) ^ salt[words.doc[marks]])[0]]
+    marks = marks[t.repeated_grams(t.mix(grams[marks]) ^ salt[words.doc[marks]], marks, numbers, words.doc, 3)[0]]
     out["n_repeat_words"] = t.per_row(_covered(marks, 3, len(hashes)), words.at)
     grams, n = grams[marks], 3
     for longer in NGRAM_SHARE:  # a repeated n-gram starts where a repeated shorter one does
@@ -85,7 +87,7 @@ def measure(block: t.Block) -> dict[str, np.ndarray]:
             with np.errstate(over="ignore"):
                 grams = grams * t._STEP + hashes[marks + n]
             n += 1
-        twice, later = t.repeated(t.mix(grams) ^ salt[words.doc[marks]])
+        twice, later = t.repeated_grams(t.mix(grams) ^ salt[words.doc[marks]], marks, numbers, words.doc, n)
         out[f"dup_chars_{n}"] = t.per_row(np.where(_covered(marks[later], n, len(hashes)), sizes, 0), words.at)
         marks, grams = marks[twice], grams[twice]
     return out

@@ -37,7 +37,7 @@ _OFFSETS = [k for k in range(-SIDE, SIDE + 1) if k]
 
 def _bucketed(block: t.Block) -> tuple[t.Words, np.ndarray]:
     words = t.words(block)
-    hashes = t.span_hash(t.prefix_hash(block, lower=True), words.start, words.end)
+    hashes = t.span_hash(block.data, words.start, words.end, lower=True)
     return words, (hashes >> t.U64(52)).astype(np.int64) % BUCKETS
 
 

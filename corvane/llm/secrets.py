@@ -62,7 +62,7 @@ def _one_block(texts: list[str]) -> t.Block:
 @cache
 def _known(words: tuple[str, ...]) -> np.ndarray:
     block = _one_block(list(words))
-    return np.sort(t.span_hash(t.prefix_hash(block, lower=True), block.at[:-1], block.at[1:]))
+    return np.sort(t.span_hash(block.data, block.at[:-1], block.at[1:], lower=True))
 
 
 def features(block: t.Block) -> tuple[t.Words, np.ndarray]:
@@ -86,9 +86,8 @@ def features(block: t.Block) -> tuple[t.Words, np.ndarray]:
         a = a + move
         move = (a < b - 1) & _TRIM[block.data[b - 1]]
         b = b - move
-    hashed = t.prefix_hash(block, lower=True)
-    keyword = np.isin(t.span_hash(hashed, a, b), _known(KEYWORDS))
-    separator = np.isin(t.span_hash(hashed, start, end), _known(SEPARATORS))
+    keyword = np.isin(t.span_hash(block.data, a, b, lower=True), _known(KEYWORDS))
+    separator = np.isin(t.span_hash(block.data, start, end, lower=True), _known(SEPARATORS))
     first = block.data[start] if len(start) else np.zeros(0, np.uint8)
     final = block.data[end - 1] if len(start) else np.zeros(0, np.uint8)
     letters = lower + upper

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 pytest.importorskip("corvane.llm")
-from corvane.llm import _text as t  # noqa: E402
+from corvane.llm import _graph, _text as t  # noqa: E402
 from corvane.llm import licenses, mixing, near_duplicates, neighbours, order, packing, quality, scoring, secrets, sharding  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -169,6 +169,97 @@ def test_jaccard_any_boundary(spark, monkeypatch, light):
     assert got == dict(enumerate(_components(texts)))
 
 
+def _copies(rng, n, edits):
+    """Near copies of one text, each with words of its own in some places."""
+    base = [f"w{rng.randrange(10**6)}" for _ in range(90)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        for _ in range(rng.choice(edits)):
+            w[rng.randrange(len(w))] = rng.choice([f"x{k}", f"y{rng.randrange(12)}"])
+        out.append(" ".join(w))
+    return out
+
+
+def test_jaccard_large_group_in_rounds(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = _copies(rng, 260, (0, 1, 1, 2, 3, 4, 5)) + [f"{passage} " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(3, 40))) for _ in range(80)]
+    rng.shuffle(texts)
+    monkeypatch.setattr(near_duplicates, "SHORT", 3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = dict(enumerate(_components(texts)))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(_graph, "FEW", 0)
+    monkeypatch.setattr(_graph, "HOT", 20)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs).collect()} == want
+
+
+def test_jaccard_group_of_2000(spark):
+    rng = random.Random(9)
+    texts = _copies(rng, 2000, (0, 1, 1, 2, 3))
+    texts[7] += " " + texts[7]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    pairs = []
+    links = near_duplicates._Join.links
+    near_duplicates._Join.links = lambda self, found, own: pairs.append(found.count()) or links(self, found, own)
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    finally:
+        near_duplicates._Join.links = links
+    assert got == {k: c for k, (_, c) in enumerate(_components(texts))}
+    assert sum(pairs) < 3 * len(texts)
+
+
+def test_differences_from_a_pivot_miss_no_partner():
+    rng = random.Random(10)
+    for _ in range(3000):
+        pivot = set(range(rng.randint(5, 40)))
+        pair = []
+        core = {x for x in pivot if rng.random() < 0.85} | set(range(100, 100 + rng.randint(0, 6)))
+        for _ in range(2):
+            pair.append({x for x in core if rng.random() < 0.97} | {rng.randrange(100, 112) for _ in range(rng.randint(0, 3))})
+        x, y = pair
+        like = lambda a, b: a and b and 9 * len(a ^ b) <= len(a) + len(b)
+        if like(x, y) and not (like(x, pivot) and like(y, pivot)):
+            first = [set(sorted(d)[: len(d) - near_duplicates.partner_shares(len(d), len(s), len(pivot)) + 1]) for s, d in ((x, x ^ pivot), (y, y ^ pivot))]
+            assert first[0] & first[1]
+
+
+def _thue_morse(n):
+    s = "a"
+    while len(s) < n:
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
+def test_patterns_of_bytes_do_not_collide(spark):
+    for n in (8, 64, 512, 1024, 4096):
+        x, y = _thue_morse(n)
+        m = quality.measure(next(t.blocks(pa.array([f"{x}\n{y}\n{x}"]))))
+        assert m["n_dup_lines"].tolist() == [1]
+        rows = [(0, f"{x} one two three four five"), (1, f"{y} one two three four five"), (2, x), (3, y)]
+        got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(k, k) for k in range(4)]
+        from corvane.llm import _tokens
+
+        want = _ids([x, y])
+        tokens = _tokens.encoder(_tokens.default_path())
+        assert [i.tolist() for b in t.blocks(pa.array([x, y])) for i in tokens.encode(b)] == want
+
+
+def test_equal_hashes_of_different_spans(monkeypatch, texts):
+    want = [{k: v.tolist() for k, v in quality.measure(b).items()} for b in t.blocks(pa.array(texts))]
+    from corvane.llm import _tokens
+
+    ids = _ids(texts)
+    mixed = t.mix
+    monkeypatch.setattr(t, "mix", lambda x: mixed(x) & t.U64(15))
+    assert [{k: v.tolist() for k, v in quality.measure(b).items()} for b in t.blocks(pa.array(texts))] == want
+    tokens = _tokens.Encoder(_tokens.default_path())
+    assert [i.tolist() for b in t.blocks(pa.array(texts)) for i in tokens.encode(b)] == ids
+
+
 def test_sharding(docs, texts, empty):
     rows = sharding.shard(docs, 5).collect()
     assert len(rows) == len(texts)
