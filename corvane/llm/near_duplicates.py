@@ -366,10 +366,12 @@ class _Join:
         """The entries of all lists that have two members or more, or are split."""
         rows = self.docs.mapInArrow(_list_rows(self.sketch, self.light), "key long, part int, c1 long, c2 long, n int, pos int, sub int")
         own = Window.partitionBy("key", "part", "sub")
-        ends = {f"{f}_{c}": getattr(F, f)(c).over(own) for c in ("c1", "c2") for f in ("min", "max")}
-        rows = cut(rows.withColumns(ends | {"many": F.count("*").over(own)}).filter("min_c1 <> max_c1 or min_c2 <> max_c2 or part >= 0").drop(*ends))
-        named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED), ["c1", "c2"]).drop("c1", "c2")
-        return cut(named.dropDuplicates(["key", "part", "sub", "class"]).withColumn("d", F.col("n")))
+        ends = {f"{f}_{c}": getattr(F, f)(c).over(own) for f, c in (("min", "c1"), ("max", "c1"), ("min", "c2"), ("max", "c2"), ("min", "n"))}
+        rows = rows.withColumns(ends | {"many": F.count("*").over(own)}).filter("min_c1 <> max_c1 or min_c2 <> max_c2 or part >= 0")
+        # from its place on, an entry must have room for what it has to share with the smallest partner
+        rows = rows.filter("sub > 0 or part >= 0 or 9 * (n - pos) >= 4 * (n + min_n)").drop(*ends).dropDuplicates(["key", "part", "sub", "c1", "c2"])
+        named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED), ["c1", "c2"])
+        return cut(named.withColumns({"d": F.col("n"), "deg": F.sum("many").over(Window.partitionBy("c1", "c2"))}).drop("c1", "c2", "many"))
 
     def own_sets(self, wanted: DataFrame) -> DataFrame:
         """class and own (its hashes) of the wanted classes; one document of each is hashed anew."""
@@ -385,7 +387,7 @@ class _Join:
         filled[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
         filled = self.spark.sparkContext.broadcast(filled.view(np.uint8))
         rows = self.docs.select("text", F.xxhash64("doc_id").alias("slot")).mapInArrow(_own_sets(filled), "c1 long, c2 long, own binary")
-        return cut(rows.join(wanted, ["c1", "c2"]).select("class", "own").dropDuplicates(["class"]))
+        return cut(rows.join(wanted, ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("class", "own"))
 
     def with_sets(self, pairs: DataFrame, own: DataFrame, name: str = "own") -> DataFrame:
         """Pairs (a, b, salt) with both classes' rows of ``own``; b's are sent to each salt of b."""
@@ -393,23 +395,28 @@ class _Join:
         b = own.select(*(F.col(c).alias("b" if c == "class" else f"{c}_b") for c in own.columns))
         return pairs.join(a, "a").join(pairs.select("b", "salt").distinct().join(b, "b"), ["b", "salt"])
 
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of classes (a, b, salt) whose parities let them be similar."""
+        return cut(self.with_sets(pairs, self.parity).mapInArrow(_may_link, "a long, b long, salt int"))
+
     def links(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
         """Which of the pairs of classes (a, b, salt) are similar."""
-        near = cut(self.with_sets(pairs, self.parity).mapInArrow(_may_link, "a long, b long, salt int"))
-        return cut(self.with_sets(near, own).select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long"))
+        return cut(self.with_sets(pairs, own).select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long"))
 
     def opened(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
         """The lists that span components, with the pivot of each and its number of members (m)."""
-        rooted = lists.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        rooted = rooted.join(rooted.groupBy("class").agg(F.sum("many").alias("deg")), "class")
-        top = F.max(F.struct("deg", F.xxhash64("class").alias("tie"), *_ENTRY)).alias("top")
-        # first for each part of a key, then, of these few rows, for each key
-        by_part = rooted.groupBy("key", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(9 * F.col("d") - F.col("n")).alias("least"), F.count("*").alias("m"), top)
+        rooted = joined(lists, roots, "class", few=roots.count()).withColumn("root", F.coalesce("root", "class"))
+        top = F.max(F.struct("deg", F.xxhash64("class").alias("tie"), *_ENTRY))
+        found = {"low": F.min("root"), "high": F.max("root"), "least": F.min(9 * F.col("d") - F.col("n")), "m": F.count("*"), "pivot": top}
+        own = Window.partitionBy("key", "part")
+        plain = rooted.filter("part < 0").withColumns({name: f.over(own) for name, f in found.items()})
+        # of a split list first each part by itself, then, of these few rows, all parts of a key
         key = Window.partitionBy("key")
-        by_part = by_part.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key), "least": F.min("least").over(key), "m": F.sum("m").over(key), "top": F.max("top").over(key)})
-        by_part = by_part.filter("low <> high").select("key", "part", "least", "m", F.col("top").alias("pivot"))
+        parts = rooted.filter("part >= 0").groupBy("key", "part").agg(*(f.alias(name) for name, f in found.items()))
+        parts = parts.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key), "least": F.min("least").over(key), "m": F.sum("m").over(key), "pivot": F.max("pivot").over(key)})
+        rows = plain.unionByName(rooted.filter("part >= 0").join(parts, ["key", "part"])).filter("low <> high")
         # from its place on, an entry must have room for what it has to share with some partner
-        return cut(rooted.drop("deg", "many").join(by_part, ["key", "part"]).filter("18 * (d - pos) >= 9 * d - n + least").drop("least"))
+        return cut(rows.filter("18 * (d - pos) >= 9 * d - n + least").drop("least", "low", "high", "deg"))
 
     def meetings(self, lists: DataFrame, short_most: int) -> DataFrame:
         """Pairs (a, b, salt) to compare: in short lists all, in others each member and the pivot."""
@@ -422,7 +429,7 @@ class _Join:
 
     def salted(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b); those of one b have as many salts as it has parts of members."""
-        salt = F.pmod(F.xxhash64("a"), F.ceil(F.max("m") / PART)).cast("int")
+        salt = F.when(F.max("m") <= PART, -1).otherwise(F.pmod(F.xxhash64("a"), F.ceil(F.max("m") / PART))).cast("int")
         return pairs.groupBy("a", "b").agg(salt.alias("salt"))
 
     def roots(self) -> DataFrame:
@@ -433,19 +440,19 @@ class _Join:
         sure = joined(met, least, "key", "sub").filter("class <> least.class and 9 * sub >= 4 * (n + least.n)")
         roots, _ = components(sure.select(F.col("class").alias("a"), F.col("least.class").alias("b")))
         lists = self.opened(lists.filter("sub = 0").drop("sub"), roots)
-        if lists.isEmpty():
-            return roots
-        own = self.own_sets(lists.select("class").distinct())
-        short = SHORT
-        while True:
-            links = self.links(self.meetings(lists, short), own)
+        own, short = None, SHORT
+        while not lists.isEmpty():
+            near = self.near(self.meetings(lists, short))
+            links = self.links(near, own or self.own_sets(near.select(F.col("a").alias("class")).union(near.select("b")).distinct()))
             if not links.isEmpty():
                 roots = self.contracted(roots, links)
-            lists = self.next_lists(lists.filter(f"m > {short}"), roots, own)
-            lists = lists if lists.isEmpty() else self.opened(lists, roots)
-            if lists.isEmpty():
-                return roots
+            pairs = self.spanning(lists.filter(f"m > {short}"), roots)
+            if pairs.isEmpty():
+                break
+            own = own or self.own_sets(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
+            lists = self.opened(self.next_lists(pairs, own), roots)
             short = min(WIDER * short, PART)
+        return roots
 
     def contracted(self, roots: DataFrame, links: DataFrame) -> DataFrame:
         """The roots after some more links: only pairs of different roots are looked at."""
@@ -457,18 +464,22 @@ class _Join:
         moved = joined(roots.union(fresh), step.select(F.col("class").alias("root"), F.col("root").alias("now")), "root", few=2 * n)
         return cut(moved.select("class", F.coalesce("now", "root").alias("root")))
 
-    def next_lists(self, lists: DataFrame, roots: DataFrame, own: DataFrame) -> DataFrame:
-        """New lists, by differences from the pivot, of the members of lists that still span components."""
-        rooted = lists.select("key", "part", "class", F.col("pivot.class").alias("pivot"), "m").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        ends = rooted.groupBy("key", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    def spanning(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs (a, b, salt) of the members and pivots of lists that still span components."""
+        rooted = joined(lists.select("key", "part", "class", F.col("pivot.class").alias("pivot"), "m"), roots, "class", few=roots.count()).withColumn("root", F.coalesce("root", "class"))
         key = Window.partitionBy("key")
+        ends = rooted.groupBy("key", "part").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         ends = ends.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key)}).filter("low <> high").select("key", "part")
         pairs = rooted.join(ends, ["key", "part"]).filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"), "m")
-        rows = self.with_sets(cut(self.salted(pairs)), own).select("a", "b", "salt", "own_a", "own_b").mapInArrow(_differences(self.sketch), "key long, part int, class long, n int, d int, pos int")
+        return cut(self.salted(pairs))
+
+    def next_lists(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+        """New lists of those members, by their differences from the pivot."""
+        rows = self.with_sets(pairs, own).select("a", "b", "salt", "own_a", "own_b").mapInArrow(_differences(self.sketch), "key long, part int, class long, n int, d int, pos int")
         rows = cut(rows)
-        many = rows.groupBy("key", "part").count().select("key", "part", F.sum("count").over(key).alias("many")).filter("many > 1")
-        rows = rows.join(many, ["key", "part"])
-        return cut(rows.join(self.classes.select("class", *_FOLDED), "class"))
+        many = rows.groupBy("key", "part").count().select("key", "part", F.sum("count").over(Window.partitionBy("key")).alias("many")).filter("many > 1")
+        rows = rows.join(many, ["key", "part"]).join(self.classes.select("class", *_FOLDED), "class")
+        return cut(rows.withColumn("deg", F.sum("many").over(Window.partitionBy("class"))).drop("many"))
 
     def result(self) -> DataFrame:
         named = joined(self.classes.select("c1", "c2", "class", "first_id"), self.roots(), "class").withColumn("root", F.coalesce("root", "class"))
