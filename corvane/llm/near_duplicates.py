@@ -19,13 +19,14 @@ A list never emits its pairs.  It is worked off in rounds:
 * The member whose lists have most members in all is the list's pivot, and all others are compared
   with it: of near copies, that is the one with the fewest words of its own.
   Links found are contracted to components, and lists inside one component are done.
+* A list of ``SHORT`` members or fewer, or of ``WIDE`` or fewer that still spans components, is worked
+  off at once: its members of different components are held against each other, by place, size and
+  parity, and what may be similar is compared.
 * In a longer list that still spans components, let D(x) be the shingles that are in just one of x
   and the pivot.  If x isn't similar to the pivot and D(x), D(y) are disjoint, x and y aren't
   similar either: they differ in even more shingles.  So the members enter new lists, of the rarest
   shingles of D(x) for this pivot, again as many as a partner could leave out, and those lists are
   worked off like the first.  Copies of one text that differ in words of their own don't meet again.
-* A list of ``SHORT`` members or fewer (more in later rounds) is worked off at once: its members are
-  held against each other, by place, size and parity, and what may be similar is compared.
 
 So no link between different components is missed, every round takes about as many comparisons as
 there are list entries, and a group of near copies costs about one comparison a member.  Lists and
@@ -70,9 +71,9 @@ SKETCH_BITS, SKETCH_CHUNKS = 20, 16
 LIGHT_MOST = 24
 #: Members of a list, or of a pivot, from which it is split.
 PART = 4096
-#: Members up to which a list is compared wholly: in the first round, and how many times as many in
-#: each further one, where there are far fewer lists, up to PART.
-SHORT, WIDER = 16, 2
+#: Members up to which a list is compared wholly at once, and after its members have met the pivot.
+#: Holding one entry against half of 512 others costs about what its differences would as list rows.
+SHORT, WIDE = 16, 512
 #: Bits of the filter that tells which documents' sets are needed: 16 for each of them, within these.
 FILTER_BITS = 1 << 16, 1 << 28
 #: Parity bits of a set: a power of two, at least twice its size within these bounds.
@@ -373,8 +374,9 @@ class _Join:
         named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED), ["c1", "c2"])
         return cut(named.withColumns({"d": F.col("n"), "deg": F.sum("many").over(Window.partitionBy("c1", "c2"))}).drop("c1", "c2", "many"))
 
-    def own_sets(self, wanted: DataFrame) -> DataFrame:
-        """class and own (its hashes) of the wanted classes; one document of each is hashed anew."""
+    def own_sets(self, pairs: DataFrame) -> DataFrame:
+        """class and own (its hashes) of the classes of some pairs; one document of each is hashed anew."""
+        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         wanted = cut(self.classes.select("c1", "c2", "class", "first_id").join(wanted, "class"))
         bits = FILTER_BITS[0]
         while bits < min(16 * wanted.count(), FILTER_BITS[1]):
@@ -399,12 +401,13 @@ class _Join:
         """The pairs of classes (a, b, salt) whose parities let them be similar."""
         return cut(self.with_sets(pairs, self.parity).mapInArrow(_may_link, "a long, b long, salt int"))
 
-    def links(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame) -> DataFrame:
         """Which of the pairs of classes (a, b, salt) are similar."""
-        return cut(self.with_sets(pairs, own).select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long"))
+        return cut(self.with_sets(pairs, self.own_sets(pairs)).select("a", "b", "own_a", "own_b").mapInArrow(_linked, "a long, b long"))
 
     def opened(self, lists: DataFrame, roots: DataFrame) -> DataFrame:
         """The lists that span components, with the pivot of each and its number of members (m)."""
+        lists = lists.select("key", "part", "class", "n", "d", "pos", "deg", *_FOLDED)
         rooted = joined(lists, roots, "class", few=roots.count()).withColumn("root", F.coalesce("root", "class"))
         top = F.max(F.struct("deg", F.xxhash64("class").alias("tie"), *_ENTRY))
         found = {"low": F.min("root"), "high": F.max("root"), "least": F.min(9 * F.col("d") - F.col("n")), "m": F.count("*"), "pivot": top}
@@ -416,7 +419,7 @@ class _Join:
         parts = parts.withColumns({"low": F.min("low").over(key), "high": F.max("high").over(key), "least": F.min("least").over(key), "m": F.sum("m").over(key), "pivot": F.max("pivot").over(key)})
         rows = plain.unionByName(rooted.filter("part >= 0").join(parts, ["key", "part"])).filter("low <> high")
         # from its place on, an entry must have room for what it has to share with some partner
-        return cut(rows.filter("18 * (d - pos) >= 9 * d - n + least").drop("least", "low", "high", "deg"))
+        return cut(rows.filter("18 * (d - pos) >= 9 * d - n + least").drop("least", "low", "high"))
 
     def meetings(self, lists: DataFrame, short_most: int) -> DataFrame:
         """Pairs (a, b, salt) to compare: in short lists all, in others each member and the pivot."""
@@ -440,20 +443,24 @@ class _Join:
         sure = joined(met, least, "key", "sub").filter("class <> least.class and 9 * sub >= 4 * (n + least.n)")
         roots, _ = components(sure.select(F.col("class").alias("a"), F.col("least.class").alias("b")))
         lists = self.opened(lists.filter("sub = 0").drop("sub"), roots)
-        own, short = None, SHORT
         while not lists.isEmpty():
-            near = self.near(self.meetings(lists, short))
-            links = self.links(near, own or self.own_sets(near.select(F.col("a").alias("class")).union(near.select("b")).distinct()))
-            if not links.isEmpty():
-                roots = self.contracted(roots, links)
-            pairs = self.spanning(lists.filter(f"m > {short}"), roots)
+            roots = self.met(lists, SHORT, roots)
+            lists = self.opened(lists.filter(f"m > {SHORT}"), roots)
+            roots = self.met(lists.filter(f"m <= {WIDE}"), WIDE, roots)
+            pairs = self.spanning(lists.filter(f"m > {WIDE}"), roots)
             if pairs.isEmpty():
                 break
-            own = own or self.own_sets(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
-            lists = self.opened(self.next_lists(pairs, own), roots)
-            short = min(WIDER * short, PART)
+            lists = self.opened(self.next_lists(pairs), roots)
         return roots
 
+    def met(self, lists: DataFrame, most: int, roots: DataFrame) -> DataFrame:
+        """The roots after what the lists let meet has been compared."""
+        near = self.near(self.meetings(lists, most))
+        if near.isEmpty():
+            return roots
+        links = self.links(near)
+        return roots if links.isEmpty() else self.contracted(roots, links)
+
     def contracted(self, roots: DataFrame, links: DataFrame) -> DataFrame:
         """The roots after some more links: only pairs of different roots are looked at."""
         ends, n = links, roots.count()
@@ -473,9 +480,9 @@ class _Join:
         pairs = rooted.join(ends, ["key", "part"]).filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b"), "m")
         return cut(self.salted(pairs))
 
-    def next_lists(self, pairs: DataFrame, own: DataFrame) -> DataFrame:
+    def next_lists(self, pairs: DataFrame) -> DataFrame:
         """New lists of those members, by their differences from the pivot."""
-        rows = self.with_sets(pairs, own).select("a", "b", "salt", "own_a", "own_b").mapInArrow(_differences(self.sketch), "key long, part int, class long, n int, d int, pos int")
+        rows = self.with_sets(pairs, self.own_sets(pairs)).select("a", "b", "salt", "own_a", "own_b").mapInArrow(_differences(self.sketch), "key long, part int, class long, n int, d int, pos int")
         rows = cut(rows)
         many = rows.groupBy("key", "part").count().select("key", "part", F.sum("count").over(Window.partitionBy("key")).alias("many")).filter("many > 1")
         rows = rows.join(many, ["key", "part"]).join(self.classes.select("class", *_FOLDED), "class")
@@ -503,16 +510,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     if not repeats(docs.select("doc_id")):
         kept = near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"))
-        return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+        return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    key = "row_key"
+    while any(c.lower() == key for c in docs.columns):
+        key = "_" + key
     row_key = F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text"))
-    rows = docs.withColumn("row_key", row_key)
-    found = near_duplicates(rows.select(F.col("row_key").alias("doc_id"), "text")).distinct().withColumnRenamed("doc_id", "row_key")
-    ids = found.join(rows.select("row_key", "doc_id").distinct(), "row_key")
-    first = F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key"))
-    kept = cut(ids.groupBy("component_id").agg(first.alias("row_key"), F.max("n_shingles").alias("kept_n")).drop("component_id"))
-    rows = rows.join(kept, "row_key")
-    one = rows.filter("kept_n > 0").dropDuplicates(["row_key"])
-    return one.unionByName(rows.filter("kept_n = 0")).select(*docs.columns)
+    rows = docs.withColumn(key, row_key)
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text")).distinct().withColumnRenamed("doc_id", key)
+    ids = found.join(rows.select(key, "doc_id").distinct(), key)
+    first = F.min_by(key, F.struct(F.col("doc_id").isNull(), "doc_id", key))
+    kept = cut(ids.groupBy("component_id").agg(first.alias(key), F.max("n_shingles").alias("kept_n")).drop("component_id"))
+    worded, wordless = (kept.filter(f).select(key) for f in ("kept_n > 0", "kept_n = 0"))
+    one = rows.join(worded, key, "left_semi").dropDuplicates([key])
+    return one.unionByName(rows.join(wordless, key, "left_semi")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def repeats(ids: DataFrame) -> bool:

@@ -187,6 +187,7 @@ def test_jaccard_large_group_in_rounds(spark, monkeypatch):
     texts = _copies(rng, 260, (0, 1, 1, 2, 3, 4, 5)) + [f"{passage} " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(3, 40))) for _ in range(80)]
     rng.shuffle(texts)
     monkeypatch.setattr(near_duplicates, "SHORT", 3)
+    monkeypatch.setattr(near_duplicates, "WIDE", 4)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     want = dict(enumerate(_components(texts)))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs).collect()} == want
@@ -195,14 +196,14 @@ def test_jaccard_large_group_in_rounds(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs).collect()} == want
 
 
-def test_jaccard_group_of_2000(spark):
+def test_jaccard_large_group_costs_a_comparison_a_member(spark):
     rng = random.Random(9)
-    texts = _copies(rng, 2000, (0, 1, 1, 2, 3))
+    texts = _copies(rng, 1200, (0, 1, 1, 2, 3))
     texts[7] += " " + texts[7]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
     pairs = []
     links = near_duplicates._Join.links
-    near_duplicates._Join.links = lambda self, found, own: pairs.append(found.count()) or links(self, found, own)
+    near_duplicates._Join.links = lambda self, found: pairs.append(found.count()) or links(self, found)
     try:
         got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(docs).collect()}
     finally:
@@ -319,6 +320,30 @@ def test_mix_of_rows_that_share_an_id(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out)
 
 
+def test_mix_shards_follow_the_quotas(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, "w " * rng.randint(1, 30), "abc"[i % 3]) for i in range(600)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, shards=4, blocks=256).collect()
+    words = mixing.mix(docs, shards=4, blocks=256).groupBy("source", "block_words").count().collect()
+    sizes = docs.sparkSession.createDataFrame([(s, sum(r["size"] for r in rows if r["source"] == s)) for s in "abc"], "source string, source_size long")
+    for r in mixing.quotas(mixing.targets(sizes), 256, 4, parts=mixing.PARTS).collect():
+        own = [x for x in rows if x["source"] == r["source"] and x["shard"] == r["shard"] and not x["rounds"]]
+        if own and r["target"] < r["source_size"]:
+            assert abs(sum(x["taken"] for x in own) - r["quota"] * r["block_words"]) <= 60
+    assert len(words) == 3 and all((r["shard"] is None) == (r["taken"] == 0) for r in rows)
+
+
+def test_mix_with_columns_of_any_name(spark):
+    names = ["extra", "rounds", "mix_size", "MIX_id", "piece", "own_nth", "shard", "row_key", "a.b"]
+    rows = [(i, "a b c d e f " * 3 + str(i), "s", *range(len(names))) for i in range(6)] + [(1, "x y", "s", *range(len(names)))]
+    for part in (rows[:6], rows):
+        frame = spark.createDataFrame(part, "doc_id long, text string, source string, " + ", ".join(f"`{n}` int" for n in names))
+        out = mixing.mixed_documents(frame).collect()
+        assert out and [tuple(r)[3:] for r in out] == [tuple(range(len(names)))] * len(out)
+        kept = near_duplicates.one_of_each(frame)
+        assert kept.columns == frame.columns and kept.count() >= 1
+
+
 def test_small_sources_stay_in_a_large_mix(spark):
     sizes = [("a", 4_000_000_000), ("b", 1_000_000_000), ("c", 0), ("d", 9_000), ("e", 40)]
     goals = mixing.targets(spark.createDataFrame(sizes, "source string, source_size long"))
@@ -473,6 +498,41 @@ def test_overlapping_licenses_in_a_long_text():
         assert all(a[5] <= b[4] for a, b in zip(found[:-1], found[1:], strict=True) if a[0] == b[0])
 
 
+def test_as_many_reports_as_notices():
+    for name, line in (("MIT", "Released under the MIT License."), ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("GPL-2.0", licenses.TEMPLATES["GPL-2.0"][0])):
+        for n in (1, 2, 30, 60, 64, 65, 100, 300):
+            found = licenses.find(next(t.blocks(pa.array([" ".join([line] * n)]))))
+            assert [x[1] for x in found] == [name] * n
+
+
+def _unbanded(template, text):
+    best = [[(0, 0)] * (len(text) + 1) for _ in range(len(template) + 1)]
+    top = 0
+    for i in range(1, len(template) + 1):
+        for j in range(1, len(text) + 1):
+            same = template[i - 1] == text[j - 1]
+            score = max(0, best[i - 1][j - 1][0] + (licenses.MATCH if same else licenses.MISMATCH), best[i - 1][j][0] + licenses.GAP, best[i][j - 1][0] + licenses.GAP)
+            best[i][j] = (score, 0)
+            top = max(top, score)
+    return top
+
+
+def test_alignment_equals_an_unbanded_one():
+    rng = random.Random(12)
+    for _ in range(60):
+        template = [rng.randrange(1000) for _ in range(30)]
+        text = list(template)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(text))
+            text[at : at + rng.randint(0, 1)] = [rng.randrange(2000, 3000)] * rng.randint(0, 1)
+        before = [rng.randrange(3000, 4000) for _ in range(rng.randint(0, 20))]
+        whole = np.array(before + text + [rng.randrange(3000, 4000) for _ in range(5)], np.uint64)
+        matched, first, stop = licenses.align(np.array(template, np.uint64), whole, len(before), 4)
+        wide = licenses.align(np.array(template, np.uint64), whole, 0, 60)
+        own = whole[first : stop + 1].tolist()
+        assert (matched, first, stop) == wide and _unbanded(template, whole.tolist()) == _unbanded(template, own)
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(0)
     for _ in range(50):
@@ -529,6 +589,25 @@ def test_training_order(docs, texts, empty, tmp_path):
     assert order.in_training_order(empty).count() == 0
 
 
+def test_pipeline_run(spark, tmp_path):
+    import os
+
+    import corpus_pipeline
+
+    rng = random.Random(13)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = [" ".join(rng.sample(vocabulary, 80)) for _ in range(12)]
+    rows = [(i, x, "en", "ab"[i % 2], len(x or ""), i) for i, x in enumerate([*base, base[3], base[4] + " more", "too short", None, base[5][:-1] + " password = hunter22xyz9"])]
+    for table in (rows, rows[:0]):
+        folder = tmp_path / str(len(table))
+        spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long, row_key int").write.parquet(str(folder / "documents.parquet"))
+        out = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {r["doc_id"] for r in out} <= set(range(12)) and bool(out) == bool(table)
+        assert sum(r["piece"] == 0 for r in out) >= (10 if table else 0)
+    left = [x for x in os.listdir(spark.conf.get("spark.checkpoint.dir")) if x.startswith("pipeline-")]
+    assert not left
+
+
 def test_pipeline(spark, docs, empty):
     import corpus_pipeline
 
