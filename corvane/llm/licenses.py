@@ -8,7 +8,9 @@ within a band around the diagonal gives the words matched and the span in the te
 
 A template is reported where it covers ``COVERAGE`` of its words; of overlapping reports the one
 with more words matched stays.  Null and empty texts and texts with no license give no rows.
-Rows are independent: repeated rows are reported each.  Only doc_id and text are read.
+Of equal reports the earlier span and then the first template in the list stays.  Rows are
+independent: repeated rows are reported each, and an empty table gives none.  Texts of any length
+are scanned whole.  Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from ._session import table
 
 GRAM, WINDOW = 3, 2
 COVERAGE = 0.8
-#: Words by which a template may drift off its diagonal, at least, and as a share of its words.
+#: Words by which a template may drift off its diagonal, at least, and as a share of its words; but
+#: twice that is less than its words, so that a notice next to this one lies outside the band.
 DRIFT, DRIFT_SHARE = 3, 0.15
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -151,7 +154,7 @@ def find(block: t.Block, coverage: float = COVERAGE) -> list[tuple]:
     found, last = [], None
     for doc, number, shift in pairs:
         template = templates[number]
-        drift = max(DRIFT, int(DRIFT_SHARE * len(template)))
+        drift = min(max(DRIFT, int(DRIFT_SHARE * len(template))), (len(template) - 1) // 2)
         if last and last[:2] == (doc, number) and shift - last[2] <= drift:
             continue  # the same candidate
         last = (doc, number, shift)
