@@ -6,8 +6,10 @@ the source with the highest quotient target / (2 * blocks so far + 1), which giv
 an integer number of blocks, and, house by house, an integer quota for every output shard: the
 method is house-monotone, so a shard's quota is the difference between two houses.
 
-A source's documents are laid in the order of a seeded hash, as a ring of words.  The mix takes the
-number of blocks over all shards: they lie side by side from a seeded start, so a source that gives more words than it has repeats its ring.
+A source's documents are laid in the order of a seeded hash, as a ring of words.  Its blocks lie
+side by side on the ring from a seeded start, so a source that gives more words than it has repeats
+its ring, and no block but a source's first and last cuts a document.  Shard after shard takes its
+quota of them: a document's shard is the one whose blocks hold its first word in the mix.
 
 Null and empty texts have no words and give none.  A null source is a source, ordered last.
 Repeated rows are rows of their own; rows that are equal in doc_id, source and size may swap.  An
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, table
+from ._session import cut, table, tidy
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -90,13 +92,15 @@ def _start(seed: str, source: Column, size: Column) -> Column:
     return F.conv(digest, 16, 10).cast("long") % F.greatest(size, F.lit(1))
 
 
+@tidy
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """A row for each of ``docs``: size, its source's figures, whole copies (``rounds``), the
-    words of one more copy from ``extra_from`` (two runs where the ring closes) and ``taken``."""
+    words of one more copy from ``extra_from`` (two runs where the ring closes), ``taken`` and the
+    ``shard`` (null where nothing is taken)."""
     measured = cut(_measured(docs, seed).withColumn("bucket", F.substring("key", 1, 3)))
     totals = measured.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_words"))
     sizes = totals.groupBy("source").agg(F.sum("bucket_words").alias("source_size"))
-    sources = quotas(targets(sizes, weights, cap), blocks, shards, cap, PARTS).groupBy("source", "source_size", "target", "block_words").agg(F.max("upto").alias("n_blocks"))
+    sources = quotas(targets(sizes, weights, cap), blocks, shards, cap, PARTS).groupBy("source", "source_size", "target", "block_words").agg(F.max("upto").alias("n_blocks"), F.sort_array(F.collect_list("upto")).alias("upto"))  # as many as shards
     given = F.least(F.col("n_blocks") * F.col("block_words"), F.col("source_size") * cap)
     size = F.col("source_size")
     sources = sources.withColumn("given", given).withColumn("rounds", F.when(size > 0, F.expr("given div source_size")).otherwise(0)).withColumn("rest", F.when(size > 0, F.col("given") % size).otherwise(0))
@@ -111,12 +115,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     rows = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket")))
     rows = rows.join(c, F.col("a.source").eqNullSafe(F.col("c.source")))
     at = F.col("inside") + F.col("bucket_at")
-    rows = rows.select("doc_id", F.col("a.source").alias("source"), "size", "source_size", "target", "block_words", "rounds", "ring", "rest", at.alias("at"))
+    rows = rows.select("doc_id", F.col("a.source").alias("source"), "size", "source_size", "target", "block_words", "rounds", "ring", "rest", "upto", at.alias("at"))
     end, stop = F.col("at") + F.col("size"), F.col("ring") + F.col("rest")
     one = F.greatest(F.lit(0), F.least(end, stop, F.col("source_size")) - F.greatest("at", "ring"))
     two = F.greatest(F.lit(0), F.least(end, stop - F.col("source_size")) - F.col("at"))
     rows = rows.withColumn("extra", one).withColumn("extra_from", F.greatest("at", "ring") - F.col("at")).withColumn("extra_head", two)
-    return rows.withColumn("taken", F.col("rounds") * F.col("size") + F.col("extra") + F.col("extra_head"))
+    rows = rows.withColumn("taken", F.col("rounds") * F.col("size") + F.col("extra") + F.col("extra_head"))
+    # words of the source's part of the mix before the document's first one
+    ahead = F.when((F.col("at") < F.col("ring")) & (end > F.col("ring")), 0).otherwise(F.pmod(F.col("at") - F.col("ring"), F.greatest("source_size", F.lit(1))))
+    return rows.withColumn("shard", F.when(F.col("taken") > 0, F.size(F.filter("upto", lambda x: x * F.col("block_words") <= ahead)))).drop("upto")
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
@@ -124,29 +131,34 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     documents at most in which a source's last block ends, a row of just the words taken.
 
     n_chars, where there is such a column, follows the text.  Where ids repeat, a row takes a plan
-    of its own id, source and size, and rows equal in these take theirs one by one.
+    of its own id, source and size, and rows equal in these take theirs one by one.  Other columns
+    may have any names.
     """
-    plan = mix(docs, **how).select(F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), F.col("size").alias("mix_size"), "rounds", "extra", "extra_from", "extra_head")
-    if plan.groupBy("mix_id").count().filter("count > 1").isEmpty():
-        rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["mix_id"]))
+    p = "mix_"
+    while any(c.lower().startswith(p) for c in docs.columns):
+        p = "_" + p
+    own = lambda name: F.col(p + name)  # noqa: E731  a column of the plan, or made here
+    plan = mix(docs, **how).select(*(F.col(c).alias(p + n) for n, c in {"id": "doc_id", "source": "source", "size": "size", "rounds": "rounds", "extra": "extra", "from": "extra_from", "head": "extra_head"}.items()))
+    if plan.groupBy(p + "id").count().filter("count > 1").isEmpty():
+        rows = docs.join(plan, docs["doc_id"].cast("long").eqNullSafe(own("id")))
     else:
-        equal = Window.partitionBy("mix_id", "mix_source", "mix_size")
-        plan = plan.withColumn("mix_nth", F.row_number().over(equal.orderBy("rounds", "extra", "extra_from", "extra_head")))
-        own = Window.partitionBy("doc_id", "source", "own_size")
-        sized = docs.withColumn("own_size", _size())
-        sized = sized.withColumn("own_nth", F.row_number().over(own.orderBy(F.xxhash64("text"))))
-        same = F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & F.col("source").cast("string").eqNullSafe(F.col("mix_source"))
-        rows = sized.join(plan, same & (F.col("own_size") == F.col("mix_size")) & (F.col("own_nth") == F.col("mix_nth")))
-    full = F.col("extra") + F.col("extra_head") == F.col("mix_size")
+        equal = Window.partitionBy(p + "id", p + "source", p + "size")
+        plan = plan.withColumn(p + "nth", F.row_number().over(equal.orderBy(p + "rounds", p + "extra", p + "from", p + "head")))
+        sized = docs.withColumn(p + "words", _size())
+        sized = sized.withColumn(p + "row", F.row_number().over(Window.partitionBy("doc_id", "source", p + "words").orderBy(F.xxhash64("text"))))
+        same = F.col("doc_id").cast("long").eqNullSafe(own("id")) & F.col("source").cast("string").eqNullSafe(own("source"))
+        rows = sized.join(plan, same & (own("words") == own("size")) & (own("row") == own("nth")))
+    full = own("extra") + own("head") == own("size")
     piece = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
-    none = piece(F.lit(0), F.lit(0))
-    copies = F.array_repeat(none, (F.col("rounds") + F.when(full, 1).otherwise(0)).cast("int"))
-    parts = F.filter(F.array(piece(F.lit(0), F.col("extra_head")), piece(F.col("extra_from"), F.col("extra"))), lambda x: x["n"] > 0)
-    rows = rows.filter("mix_size > 0").withColumn("mix_piece", F.explode(F.concat(copies, F.when(full, F.slice(parts, 1, 0)).otherwise(parts))))
-    shorter = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), F.col("mix_piece.start") + 1, F.col("mix_piece.n")), "")
-    text = F.when(F.col("mix_piece.n") == 0, F.col("text")).otherwise(shorter)
-    changed = {"text": text} | ({"n_chars": F.when(F.col("mix_piece.n") == 0, F.col("n_chars")).otherwise(F.char_length(shorter)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns])
+    copies = F.array_repeat(piece(F.lit(0), F.lit(0)), (own("rounds") + F.when(full, 1).otherwise(0)).cast("int"))
+    parts = F.filter(F.array(piece(F.lit(0), own("head")), piece(own("from"), own("extra"))), lambda x: x["n"] > 0)
+    rows = rows.filter(own("size") > 0).withColumn(p + "piece", F.explode(F.concat(copies, F.when(full, F.slice(parts, 1, 0)).otherwise(parts))))
+    start, n = (F.col(f"{p}piece.{x}") for x in ("start", "n"))
+    shorter = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)), start + 1, n), "")
+    changed = {"text": F.when(n == 0, F.col("text")).otherwise(shorter)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(n == 0, F.col("n_chars")).otherwise(F.char_length(shorter)).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
