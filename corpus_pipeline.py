@@ -2,13 +2,12 @@
 
 Every stage works on all that the one before it kept.  All but the last return the columns of
 ``documents``; the last returns the pieces of the packed sequences.  Null and empty texts go with
-the quality rules; an empty table passes through all stages.
+the quality rules; an empty table passes through all stages.  Columns beyond those of
+``documents`` go along, whatever their names.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import _session, mixing, near_duplicates, packing, quality, secrets
@@ -46,10 +45,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@_session.tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder."""
+    """All stages over ``documents``; what a stage returns is written to the shared folder, and
+    removed when the last one is done."""
     docs = _session.table(spark, sf_dir, "documents")
-    folder = f"{_session.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = _session.folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")

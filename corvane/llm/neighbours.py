@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, table
+from ._session import cut, table, tidy
 
 K = 20
 #: Vectors the tree is fitted on, children of a node, vectors a leaf is meant to hold, most leaves.
@@ -156,6 +156,7 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
     return rows.filter(F.size("embedding") == d), d
 
 
+@tidy
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id and score: the k best vectors found for each of ``queries``
     (vec_id, embedding)."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import shared_dir, shuffle_width, table
+from ._session import folder, shuffle_width, table
 from ._tokens import default_path, encoder
 
 LENGTH, SHARD, END = 2048, 1024, 50256
@@ -108,10 +108,10 @@ def in_training_order(docs: DataFrame, tokenizer: str | None = None, length: int
     shard, byte_offset, doc_ids, n_tokens, ids_crc32 and tokens (16-bit little-endian ids)."""
     spark = docs.sparkSession
     text = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    folder = f"{shared_dir(spark)}/sequences-{uuid.uuid4().hex}"
+    written = folder(spark, "sequences")
     cut = text.mapInArrow(_sequences(tokenizer or default_path(), length, end), "task int, nth long, doc_ids array<long>, n_tokens int, ids_crc32 long, packed binary")
-    cut.write.option("compression", "none").parquet(folder)
-    cut = spark.read.schema(cut.schema).parquet(folder)
+    cut.write.option("compression", "none").parquet(written)
+    cut = spark.read.schema(cut.schema).parquet(written)
     counts = sorted((x["task"], x["count"]) for x in cut.groupBy("task").count().collect())  # one row for each task
     first = dict(zip([k for k, _ in counts], np.cumsum([0, *(n for _, n in counts)]).tolist(), strict=False))
     total = sum(n for _, n in counts)

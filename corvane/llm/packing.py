@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import cut, table
+from ._session import cut, table, tidy
 from ._tokens import default_path, encoder
 
 CAPACITY = 2048
@@ -239,6 +239,7 @@ def _placed(places):
     return rows
 
 
+@tidy
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, closing: int = CLOSING) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
     spark = docs.sparkSession

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import cut, table
+from ._session import cut, table, tidy
 
 BUCKETS, CLASSES, SIDE, WIDTH = 4096, 64, 2, 24
 BATCH, RATE, SEED = 2048, 0.1, 3
@@ -188,6 +188,7 @@ def log_likelihood(block: t.Block, net: Network, of: np.ndarray, share: np.ndarr
     return np.diff(words.at), np.bincount(words.doc, weights=scores, minlength=block.rows)
 
 
+@tidy
 def score(docs: DataFrame, model: tuple[Network, np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """doc_id, n_words, log_likelihood and its mean over the words of each of ``docs``."""
     model = model or train(docs)
