@@ -16,7 +16,7 @@ import numpy as np
 from . import _text as t
 
 #: Parts whose ids are kept in a worker; then the store starts anew.
-STORE = 1_000_000
+STORE = 300_000
 #: Code points whose class every engine agrees on: Latin to Cyrillic, general punctuation,
 #: currency, kana, common Han and Hangul (first and last of each range).
 _PLAIN = ((0x00, 0x1B), (0x20, 0x36F), (0x386, 0x38A), (0x38E, 0x3A1), (0x3A3, 0x481), (0x48A, 0x513), (0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20B5), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))

@@ -195,7 +195,7 @@ def scan(docs: DataFrame, coverage: float = COVERAGE) -> DataFrame:
                     ids = batch.column("doc_id").slice(block.first, block.rows).take(pa.array(doc))
                     yield pa.RecordBatch.from_arrays([ids, pa.array([x[1] for x in out]), pa.array(size), pa.array(matched), pa.array(matched / size), pa.array(a), pa.array(b)], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(rows, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(t.released(rows), SCHEMA)
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,6 +135,7 @@ def _differ(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+@t.released
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = np.array(batch.column("n_a"), np.int64) + np.array(batch.column("n_b"), np.int64)
@@ -146,6 +147,7 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SIGNED = "doc_id long, row long, c1 long, c2 long, n long, f0 long, f1 long, f2 long, f3 long, parity binary, small binary, chunk int, counts binary"
 
 
+@t.released
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, then the task's part of the sketch."""
     names = [x.split()[0] for x in _SIGNED.split(", ")]
@@ -207,7 +209,7 @@ def _lengths(sketch):
                 length.append(int(np.sort(np.maximum(_often(count, own) - chance, 1))[: len(own) - _needed(len(own)) + 1].sum()))
             yield pa.RecordBatch.from_arrays([pa.array(size, pa.int64()), pa.array(length, pa.int64())], ["n", "length"])
 
-    return rows
+    return t.released(rows)
 
 
 def boundary(lengths: dict[int, tuple[int, int]]) -> int:
@@ -269,7 +271,7 @@ def _list_rows(sketch, light: int):
                     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                     yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(flat, kinds, strict=True)], ["key", "part", "c1", "c2", "n", "pos", "sub"])
 
-    return rows
+    return t.released(rows)
 
 
 def _own_sets(bits):
@@ -283,7 +285,7 @@ def _own_sets(bits):
                 c1, c2 = np.ascontiguousarray(_names(found, words, block).view(np.int64).T)
                 yield pa.RecordBatch.from_arrays([pa.array(c1), pa.array(c2), pa.array([x.tobytes() for x in found], pa.binary())], ["c1", "c2", "own"])
 
-    return rows
+    return t.released(rows)
 
 
 def _only_in_one(x: pa.Scalar, y: pa.Scalar) -> tuple[np.ndarray, int, int]:
@@ -295,6 +297,7 @@ def _only_in_one(x: pa.Scalar, y: pa.Scalar) -> tuple[np.ndarray, int, int]:
     return both[~(same[1:] | same[:-1])], len(a), len(b)
 
 
+@t.released
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -333,7 +336,7 @@ def _differences(sketch):
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(flat, kinds, strict=True)], ["key", "part", "class", "n", "d", "pos"])
 
-    return rows
+    return t.released(rows)
 
 
 _ENTRY = ["class", "n", "d", "pos", "root", *_FOLDED]

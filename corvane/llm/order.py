@@ -100,7 +100,7 @@ def _sequences(path: str, length: int, end: int):
         if out:
             yield batch_of(out)
 
-    return rows
+    return t.released(rows)
 
 
 def in_training_order(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, shard: int = SHARD, key: int = KEY, end: int = END) -> DataFrame:

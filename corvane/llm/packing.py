@@ -202,7 +202,7 @@ def _pieces(path: str, capacity: int, closing: int):
                 ids = batch.column("doc_id").slice(block.first, block.rows).take(pa.array(of, pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names)
 
-    return rows
+    return t.released(rows)
 
 
 def _places(solution: list[Pattern]) -> dict[str, np.ndarray]:
@@ -236,7 +236,7 @@ def _placed(places):
                 offset[own] = p["offset"][k] + nth % p["pieces"][k] * x
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")), pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return rows
+    return t.released(rows)
 
 
 @tidy

@@ -102,6 +102,7 @@ def judge(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return failed, kept
 
 
+@t.released
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     for batch in batches:
@@ -127,7 +128,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInArrow(rows, schema)
+    return docs.mapInArrow(t.released(rows), schema)
 
 
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,6 +107,7 @@ class Trainer:
         self.places += n
 
 
+@t.released
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
@@ -150,7 +151,7 @@ def _trained(of: np.ndarray):
             n, task = len(parts), TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([task] * n, pa.int32()), pa.array([trainer.places] * n, pa.int64()), pa.array(parts, pa.binary())], ["chunk", "task", "places", "part"])
 
-    return rows
+    return t.released(rows)
 
 
 def _summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -203,7 +204,7 @@ def score(docs: DataFrame, model: tuple[Network, np.ndarray, np.ndarray] | None
                 mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, block.rows), pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(rows, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(t.released(rows), "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
 
 
 def op5_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -349,7 +349,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, block.rows), *columns], [x.split()[0] for x in SCHEMA.split(", ")])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(rows, SCHEMA)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(t.released(rows), SCHEMA)
 
 
 MASK = "<secret>"
@@ -383,7 +383,7 @@ def redact(docs: DataFrame) -> DataFrame:
                     columns[k] = pa.array([len(x) if hit else n.as_py() for (x, hit), n in zip(done, columns[k], strict=True)], columns[k].type)
                 yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
 
-    return docs.mapInArrow(rows, schema)
+    return docs.mapInArrow(t.released(rows), schema)
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
