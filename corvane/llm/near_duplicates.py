@@ -374,7 +374,7 @@ class _Join:
         rows = rows.withColumns(ends | {"many": F.count("*").over(own)}).filter("min_c1 <> max_c1 or min_c2 <> max_c2 or part >= 0")
         # from its place on, an entry must have room for what it has to share with the smallest partner
         rows = rows.filter("sub > 0 or part >= 0 or 9 * (n - pos) >= 4 * (n + min_n)").drop(*ends).dropDuplicates(["key", "part", "sub", "c1", "c2"])
-        named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED), ["c1", "c2"])
+        named = rows.join(self.classes.select("c1", "c2", "class", *_FOLDED).hint("merge"), ["c1", "c2"])
         return cut(named.withColumns({"d": F.col("n"), "deg": F.sum("many").over(Window.partitionBy("c1", "c2"))}).drop("c1", "c2", "many"))
 
     def own_sets(self, pairs: DataFrame) -> DataFrame:
@@ -392,13 +392,14 @@ class _Join:
         filled[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
         filled = self.spark.sparkContext.broadcast(filled.view(np.uint8))
         rows = self.docs.select("text", F.xxhash64("doc_id").alias("slot")).mapInArrow(_own_sets(filled), "c1 long, c2 long, own binary")
-        return cut(rows.join(wanted, ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("class", "own"))
+        return cut(rows.join(wanted.hint("merge"), ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("class", "own"))
 
     def with_sets(self, pairs: DataFrame, own: DataFrame, name: str = "own") -> DataFrame:
         """Pairs (a, b, salt) with both classes' rows of ``own``; b's are sent to each salt of b."""
         a = own.select(*(F.col(c).alias("a" if c == "class" else f"{c}_a") for c in own.columns))
         b = own.select(*(F.col(c).alias("b" if c == "class" else f"{c}_b") for c in own.columns))
-        return pairs.join(a, "a").join(pairs.select("b", "salt").distinct().join(b, "b"), ["b", "salt"])
+        far = pairs.select("b", "salt").distinct().join(b.hint("merge"), "b")
+        return pairs.join(a.hint("merge"), "a").join(far.hint("merge"), ["b", "salt"])  # alike at every size
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """The pairs of classes (a, b, salt) whose parities let them be similar."""
