@@ -1,4 +1,5 @@
-"""``python -m corvane STAGE --config FILE``: runs one stage over its work folder."""
+"""``python -m corvane STAGE --config FILE``: runs one stage over its work folder, or ``candidates``,
+which makes the input of the first one from the feed."""
 
 from __future__ import annotations
 
@@ -8,12 +9,13 @@ import json
 from pyspark.sql import SparkSession
 
 from .operators.acquire import HttpTransport
+from .plans.feed import FeedConfig, candidate_articles
 from .plans.stages import ORDER, Config, Work
 
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="corvane")
-    parser.add_argument("stage", choices=[*ORDER, "validate", "status"])
+    parser.add_argument("stage", choices=["candidates", *ORDER, "validate", "status"])
     parser.add_argument("--config", required=True)
     parser.add_argument("--workers", type=int, default=48)
     parser.add_argument("--limit", type=int, default=0)
@@ -28,8 +30,12 @@ def main(args: list[str] | None = None) -> None:
         how = {"transport": HttpTransport if given.fetch_network else None, "limit": given.limit, "cache": given.cached_work, "partitions": given.workers}
     elif given.stage == "match":
         how = {"allow_pending": given.allow_pending}
-    work = Work(SparkSession.builder.getOrCreate(), Config.load(given.config))
-    print(json.dumps(work.run(given.stage, **how), ensure_ascii=False, indent=1, default=str))
+    spark = SparkSession.builder.getOrCreate()
+    if given.stage == "candidates":
+        report = candidate_articles(spark, FeedConfig.load(given.config))
+    else:
+        report = Work(spark, Config.load(given.config)).run(given.stage, **how)
+    print(json.dumps(report, ensure_ascii=False, indent=1, default=str))
 
 
 if __name__ == "__main__":

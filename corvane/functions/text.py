@@ -12,7 +12,9 @@ from pyspark.sql.types import StringType
 
 #: A token is a run of letters, numbers and these marks.
 TOKEN = r"[\p{L}\p{N}_'-]+"
-TOKEN_CHAR = r"^[\p{L}\p{N}_'-]$"
+TOKEN_CLASS = r"[\p{L}\p{N}_'-]"
+#: A character that is neither of a token nor blank.
+MARK = r"[^\p{L}\p{N}_'\s-]"
 #: Hyphens and dashes, and the apostrophe, with what stands for them.
 _MARKS = dict.fromkeys("–—‑‐", "-") | {"’": "'"}
 _TABLE = str.maketrans(_MARKS)
@@ -39,6 +41,11 @@ def norm_ascii(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(plain, r"[ \t\n\x0b\f\r\x1c-\x1f]+", " ")))
 
 
+def quoted(text: Column) -> Column:
+    """An expression that matches just this text."""
+    return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
 def complete(*columns: Column) -> Column:
     """Whether every column is there and holds more than white space (of any script)."""
     out = F.lit(True)

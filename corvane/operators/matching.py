@@ -2,22 +2,24 @@
 
 ``locate`` finds every bounded occurrence of every term: a term's first token is joined with the
 tokens of a text, and only texts that have it are searched for the whole term.  That is exact for
-every term with a token, since tokens inside a term are whole tokens of the text around it.  The
-dictionary side may be broadcast, being limited by ``MOST_TERMS``; a larger one is shuffled.
+every term with a token, since tokens inside a term are whole tokens of the text around it; a term
+without one is found by its first character, which then belongs to no token.  Whether the
+dictionary is sent to all tasks is left to the planner, which knows its size in bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_BREAK, TOKEN, TOKEN_CHAR, best_segmenter, norm
+from ..functions.text import LINE_BREAK, MARK, TOKEN, TOKEN_CLASS, best_segmenter, norm, quoted
 
-MOST_TERMS = 100_000
+
+#: Input rows of a range in which addresses are numbered together.
+RANGE = 10_000
 
 
 def dictionary(*sources: tuple[DataFrame, str]) -> DataFrame:
@@ -31,50 +33,19 @@ def dictionary(*sources: tuple[DataFrame, str]) -> DataFrame:
 
 def locate(texts: DataFrame, terms: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
     """Rows of ``texts`` x ``terms`` with start and end (exclusive) of each occurrence whose
-    neighbours are no token characters.  Both hold normal forms."""
-    listed = terms.withColumn("_first", F.regexp_extract(F.col(term), TOKEN, 0)).filter("_first <> ''")
-    if listed.limit(MOST_TERMS + 1).count() <= MOST_TERMS:
-        listed = F.broadcast(listed)
-    rows = texts.withColumn("_token", F.explode(F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)))))
+    neighbours are no token characters, overlapping ones included.  Both hold normal forms."""
+    first = F.regexp_extract(F.col(term), TOKEN, 0)
+    listed = terms.filter(F.col(term) != "").withColumn("_first", F.when(first != "", first).otherwise(F.substring(term, 1, 1)))
+    every = lambda pattern: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    rows = texts.withColumn("_token", F.explode(F.array_distinct(F.concat(every(TOKEN), every(MARK)))))
     rows = rows.join(listed, F.col("_token") == F.col("_first")).filter(F.col(text).contains(F.col(term))).drop("_token", "_first")
-    n = F.char_length(term)
-    inside = lambda i: F.substring(F.col(text), i + 1, n) == F.col(term)
-    free = lambda i: ~F.substring(F.col(text), i, F.lit(1)).rlike(TOKEN_CHAR)
-    places = F.filter(F.sequence(F.lit(0), F.char_length(text) - n), lambda i: inside(i) & ((i == 0) | free(i)) & free(i + n + 1))
+    here = F.concat(F.lit("(?="), quoted(F.col(term)), F.lit(f"(?!{TOKEN_CLASS}))"))
+    # the text cut before every occurrence but one at its start; the lengths of the parts add up to places
+    parts = F.split(F.col(text), F.concat(F.lit(f"(?<!{TOKEN_CLASS})"), here), -1)
+    upto = F.aggregate(parts, F.array(F.lit(0)), lambda sums, part: F.concat(sums, F.array(F.element_at(sums, -1) + F.char_length(part))))
+    places = F.concat(F.when(F.regexp_like(F.col(text), F.concat(F.lit("^"), here)), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")), F.slice(upto, F.lit(2), F.size(parts) - 1))
     rows = rows.withColumn("start", F.explode(places))
-    return rows.withColumn("end", F.col("start") + n)
-
-
-def locate_by_automaton(texts: DataFrame, terms: list[tuple[str, str, str]], text: str = "text") -> DataFrame:
-    """``locate`` for (term, name, category_id) of any kind, by one automaton in each worker."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        words: dict[str, list] = {}
-        for term, name, category in terms:
-            words.setdefault(term, []).append((name, category))
-        machine = ahocorasick.Automaton()
-        for term in filter(None, words):
-            machine.add_word(term, term)
-        if len(machine):
-            machine.make_automaton()
-        token = lambda c: c.isalnum() or c in "_'-"
-        for batch in batches:
-            at, found = [], []
-            for i, own in enumerate(batch.column(text).to_pylist()):
-                for last, term in machine.iter(own) if own and len(machine) else ():
-                    a, b = last - len(term) + 1, last + 1
-                    if not (a and token(own[a - 1])) and not (b < len(own) and token(own[b])):
-                        for name, category in words[term]:
-                            at.append(i)
-                            found.append((term, name, category, a, b))
-            kept = batch.take(pa.array(at, pa.int64()))
-            new = [pa.array([x[k] for x in found], pa.string() if k < 3 else pa.int32()) for k in range(5)]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *new], [*kept.schema.names, "term", "name", "category_id", "start", "end"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    return texts.mapInArrow(rows, fields + ", term string, name string, category_id string, start int, end int")
+    return rows.withColumn("end", F.col("start") + F.char_length(term))
 
 
 def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = None) -> DataFrame:
@@ -101,8 +72,11 @@ def matches(split: DataFrame, terms: DataFrame, first_rows: DataFrame) -> DataFr
     found = locate(split.withColumn("text", norm("sentence")), terms).drop("text", "term")
     found = found.select("url", "sentence_no", "section", "category_id", F.col("name").alias("matched_name"), "sentence", F.col("start").alias("start_pos"), F.col("end").alias("end_pos")).distinct()
     order = ["row_no", "sentence_no", "matched_name", "category_id", "start_pos", "end_pos"]
-    # numbers of addresses come from counts, so that no task holds all matches
-    sizes = found.groupBy("url").count().join(first_rows, "url")
-    base = sizes.select("url", "row_no", (F.sum("count").over(Window.orderBy("row_no")) - F.col("count")).alias("base"))
+    # numbers come from counts: of addresses in ranges of rows, then inside a range, so that no task
+    # holds all matches or all addresses
+    sizes = found.groupBy("url").count().join(first_rows, "url").withColumn("range", F.expr(f"row_no div {RANGE}"))
+    before = lambda of, by, *within: F.sum(of).over(Window.partitionBy(*within).orderBy(by)) - F.col(of)
+    ranges = sizes.groupBy("range").agg(F.sum("count").alias("held")).select("range", before("held", "range").alias("base_0"))
+    base = sizes.withColumn("base_1", before("count", "row_no", "range")).join(ranges, "range").select("url", "row_no", (F.col("base_0") + F.col("base_1")).alias("base"))
     inside = F.row_number().over(Window.partitionBy("url").orderBy(*order[1:]))
     return found.join(base, "url").withColumn("match_id", F.col("base") + inside).drop("base", "row_no")

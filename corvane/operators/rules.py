@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TOKEN_CHAR, clauses, norm, phrases
+from ..functions.text import TOKEN_CLASS, clauses, norm, phrases, quoted
 from .matching import locate
 
 VERSION = "20260923.4"
@@ -83,7 +83,7 @@ def plausible(text: Column, term: Column, name: Column, category: Column, senten
     for prefix, options in TYPE_CONTEXT.items():
         kind = F.when(F.substring(category, 1, 3) == prefix, window.rlike(words(options, "s?"))).otherwise(kind)
     kind = F.when(F.substring(category, 1, 3).isin(*TYPE_CONTEXT), kind).otherwise(window.rlike(words(("weapon",), "s?")))
-    as_written = F.exists(F.sequence(F.lit(0), F.greatest(F.char_length(sentence) - F.char_length(name), F.lit(0))), lambda i: (F.substring(sentence, i + 1, F.char_length(name)) == name) & ((i == 0) | ~F.substring(sentence, i, F.lit(1)).rlike(r"(?U)^[\w]$")) & ~F.substring(sentence, i + F.char_length(name) + 1, F.lit(1)).rlike(r"(?U)^[\w]$"))
+    as_written = F.regexp_like(sentence, F.concat(F.lit(r"(?U)(?<!\w)"), quoted(name), F.lit(r"(?!\w)")))
     return (
         F.when(category.startswith("T"), True)
         .when(term.rlike(r"^\p{Nd}+$") | (F.char_length(term) == 1), False)
@@ -130,9 +130,7 @@ def adjusted(code: Column, clause: Column, start: Column) -> Column:
 
 def holds(text: Column, term: Column) -> Column:
     """Whether a text has a term between characters that belong to no token."""
-    n = F.char_length(term)
-    free = lambda i: ~F.substring(text, i, F.lit(1)).rlike(TOKEN_CHAR)
-    return text.contains(term) & F.exists(F.sequence(F.lit(0), F.greatest(F.char_length(text) - n, F.lit(0))), lambda i: (F.substring(text, i + 1, n) == term) & ((i == 0) | free(i)) & free(i + n + 1))
+    return text.contains(term) & F.regexp_like(text, F.concat(F.lit(f"(?<!{TOKEN_CLASS})"), quoted(term), F.lit(f"(?!{TOKEN_CLASS})")))
 
 
 def decide(matches: DataFrame, usage: DataFrame) -> DataFrame:

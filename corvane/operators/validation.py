@@ -42,10 +42,12 @@ def unknown_categories(results: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def wrong_labels(results: DataFrame, selected: DataFrame, matches: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Result rows that are not what the decisions give, and what they give that is missing."""
-    again = selected.select("article_id", "url").join(grouped(matches, decisions), "url").select("article_id", "category_id", F.col("usage_code").cast("int").alias("usage_code"), "evidence_sentence")
-    here = results.select("article_id", "category_id", F.col("usage_code").cast("int").alias("usage_code"), "evidence_sentence")
-    return here.exceptAll(again).union(again.exceptAll(here)).select("article_id", "category_id")
+    """Result rows that are not what the decisions give, and what they give that is missing, each as
+    often as it is too many or too few."""
+    again = selected.select("article_id", "url").join(grouped(matches, decisions), "url")
+    told = lambda rows, sign: rows.select("article_id", "category_id", F.col("usage_code").cast("int").alias("usage_code"), "evidence_sentence", F.lit(sign).alias("sign"))
+    both = told(results, 1).union(told(again, -1)).groupBy("article_id", "category_id", "usage_code", "evidence_sentence").agg(F.sum("sign").alias("over"))
+    return both.filter("over <> 0").select("article_id", "category_id", F.explode(F.sequence(F.lit(1), F.abs("over").cast("int")))).drop("col")
 
 
 def undecided(matches: DataFrame, selected: DataFrame, decisions: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import shutil
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import acquire, articles, ingest, matching, results, rules, validation
@@ -33,6 +33,8 @@ class Config:
         return cls(*(at.parent / value[k] for k in ("input_csv", "sources_dir", "work_dir")))
 
 
+#: Pages that are fetched before they are committed.
+WAVE = 5_000
 ORDER = "prepare", "collect", "match", "articles", "classify", "export"
 
 
@@ -66,30 +68,47 @@ class Work:
         self.manifest.put("input", files.file_info(path, rows.count()))
         return {"rows": rows.count(), "pages": self.counts()}
 
-    def collect(self, transport=None, limit: int = 0, cache: str | None = None, partitions: int = 48, **how) -> dict:
+    def collect(self, transport=None, limit: int = 0, cache: str | None = None, partitions: int = 48, wave: int = WAVE, **how) -> dict:
         """Takes results from an older work folder and, with a transport, fetches what is pending.
 
-        Results join the page table in one write, so an interrupted job fetches again but never
-        leaves half a table; a STOP file in the folder keeps it from starting another batch.
+        Pages are fetched in waves, each of which is committed before the next one starts, so an
+        interrupted job loses one wave at most: the next run goes on from those that were
+        committed.  Between waves the limit and a STOP file in the folder are looked at.
         """
         if self.manifest.get("match"):
             raise InputError("pages are frozen once they have been matched")
-        pages = self.read("pages")
+        pages = self._merged(self.read("pages"))
         if cache:
             then = self.spark.read.parquet(f"{cache}/inputs")
             if not ingest.differences(self.read("inputs"), then).isEmpty():
                 raise InputError("the cache was made from another input")
             pages = self.write("pages", ingest.merge_cache(pages, self.spark.read.parquet(f"{cache}/pages")).select(*pages.columns))
-        if transport and not (self.config.work_dir / "STOP").exists():
-            queue = pages.filter("status = 'pending'").orderBy("row_no")
-            got = self.write("fetched", acquire.fetch_all(queue.limit(limit) if limit else queue, transport, partitions, **how))
-            new = ["status", "title", "body", "error", "fetched_at", "final_url", "body_sha256"]
-            got = got.select("url", F.lit(True).alias("new"), *(F.col(c).alias("new_" + c) for c in new))
-            rows = pages.join(got, "url", "left")
-            self.write("pages", rows.select(*(F.when(F.col("new"), F.col("new_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in pages.columns)))
+        fetched, n, done = self.config.work_dir / "fetched", 0, 0
+        while transport and not (self.config.work_dir / "STOP").exists() and (not limit or done < limit):
+            queue = pages.filter("status = 'pending'")
+            if n:
+                queue = queue.join(self.read("fetched").select("url"), "url", "left_anti")
+            queue = queue.orderBy("row_no").limit(min(wave, limit - done) if limit else wave)
+            acquire.fetch_all(queue, transport, partitions, **how).withColumn("wave", F.lit(n)).write.mode("append").parquet(str(fetched))
+            if not (got := self.read("fetched").filter(F.col("wave") == n).count()):
+                break
+            n, done = n + 1, done + got
+            self.manifest.put("progress", {"waves": n, "fetched": done})
+        self._merged(pages)
         counts = self.counts()
         return {"pages": counts, "collection_complete": not counts.get("pending")}
 
+    def _merged(self, pages: DataFrame) -> DataFrame:
+        """The page table with what has been fetched but not joined to it yet."""
+        if not (self.config.work_dir / "fetched").exists():
+            return pages
+        new = ["status", "title", "body", "error", "fetched_at", "final_url", "body_sha256"]
+        got = self.read("fetched").select("url", F.lit(True).alias("new"), *(F.col(c).alias("new_" + c) for c in new))
+        rows = pages.join(got, "url", "left")
+        pages = self.write("pages", rows.select(*(F.when(F.col("new"), F.col("new_" + c)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in pages.columns)))
+        shutil.rmtree(self.config.work_dir / "fetched")
+        return pages
+
     def match(self, allow_pending: bool = False, segmenter=None) -> dict:
         if (pending := self.counts().get("pending", 0)) and not allow_pending:
             raise InputError(f"{pending} pages are pending")
@@ -112,6 +131,8 @@ class Work:
 
     def classify(self) -> dict:
         self._unchanged()
+        if files.digest(self.config.work_dir / "articles.csv") != self.manifest.get("articles")["file"]["sha256"]:
+            raise InputError("articles.csv has changed since it was written")
         usage = rules.patterns(self._dictionary("usage_patterns.csv"))
         mine = self.read("matches").join(self.read("selected").select("url").distinct(), "url", "left_semi")
         rows = self.write("decisions", rules.decide(mine, usage))
@@ -130,7 +151,8 @@ class Work:
             raise InputError("the input file has changed")
         inputs, selected, found, decided, out = (self.read(x) for x in ("inputs", "selected", "matches", "decisions", "results"))
         written = self._written("articles.csv", files.INPUT_HEADER), self._written("result.csv", files.RESULT_HEADER)
-        numbered = [self._numbered(selected.orderBy("row_no").select(*(F.col(a).alias(b) for a, b in zip(articles.FIELDS, files.INPUT_HEADER, strict=True)))), self._numbered(results.in_result_order(out))]
+        named = selected.select("row_no", *(F.col(a).alias(b) for a, b in zip(articles.FIELDS, files.INPUT_HEADER, strict=True)))
+        numbered = self._numbered("numbered_articles", named, "row_no").drop("row_no"), self._numbered("numbered_results", out, "row_no", "category_id").select("n", *results.RESULT)
         checks = {
             "articles.csv": validation.not_equal(written[0], numbered[0]),
             "result.csv": validation.not_equal(written[1], numbered[1]),
@@ -165,10 +187,13 @@ class Work:
         rows = self.spark.read.csv(str(self.config.work_dir / name), schema=", ".join(f"{c} string" for c in header), header=True, enforceSchema=False, mode="FAILFAST", multiLine=True, escape='"')
         return rows.withColumn("n", F.monotonically_increasing_id())
 
-    def _numbered(self, rows: DataFrame) -> DataFrame:
-        """Rows in their order, numbered from 0; per-partition counts give the starts."""
-        columns = rows.columns
-        return rows.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(", ".join(f"{c} string" if c != "usage_code" else "usage_code int" for c in columns) + ", n long") if not rows.isEmpty() else rows.withColumn("n", F.lit(0).cast("long"))
+    def _numbered(self, name: str, rows: DataFrame, *order: str) -> DataFrame:
+        """Rows in an order, numbered from 0: places in a partition plus the counts of those before."""
+        placed = self.write(name, rows.orderBy(*order).withColumn("at", F.monotonically_increasing_id()))
+        part = F.shiftright("at", 33)
+        counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("held"))  # a row for each partition
+        starts = counts.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("first"))
+        return placed.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("n", F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("part", "first", "at")
 
     def run(self, stage: str, **how) -> dict:
         """A stage's report; the stages before it must be done, and a done one isn't run again."""

@@ -42,13 +42,11 @@ def test_whole_texts_are_normalised(spark, tmp_path):
 
 
 def test_boundaries(spark):
-    rows = [(0, "f-16"), (1, "the f-16's wing"), (2, "'f-16'"), (3, "f-16, f-16"), (4, "ak-47 ak"), (5, "no"), (6, "(x) y")]
-    terms = [("f-16", "F-16", "W05"), ("ak", "AK", "W06"), ("ak-47", "AK-47", "W06"), ("(x) y", "(X) Y", "W01")]
+    rows = [(0, "f-16"), (1, "the f-16's wing"), (2, "'f-16'"), (3, "f-16, f-16"), (4, "ak-47 ak"), (5, "no"), (6, "(x) y"), (7, "a a a"), (8, "&& x&&& &&"), (9, r"q\E. q\E")]
+    terms = [("a a", "A A", "W02"), ("&&", "&&", "W02"), (r"q\e.", "Q", "W02"), (r"q\E", "QE", "W02"), ("f-16", "F-16", "W05"), ("ak", "AK", "W06"), ("ak-47", "AK-47", "W06"), ("(x) y", "(X) Y", "W01")]
     texts = spark.createDataFrame(rows, "i int, text string")
     found = {(r["i"], r["name"], r["start"], r["end"]) for r in matching.locate(texts, spark.createDataFrame(terms, "term string, name string, category_id string")).collect()}
-    assert found == {(0, "F-16", 0, 4), (3, "F-16", 0, 4), (3, "F-16", 6, 10), (4, "AK-47", 0, 5), (4, "AK", 6, 8), (6, "(X) Y", 0, 5)}
-    same = {(r["i"], r["name"], r["start"], r["end"]) for r in matching.locate_by_automaton(texts, terms).collect()}
-    assert same == found
+    assert found == {(0, "F-16", 0, 4), (3, "F-16", 0, 4), (3, "F-16", 6, 10), (4, "AK-47", 0, 5), (4, "AK", 6, 8), (6, "(X) Y", 0, 5), (7, "A A", 0, 3), (7, "A A", 2, 5), (8, "&&", 0, 2), (8, "&&", 5, 7), (8, "&&", 8, 10), (9, "QE", 0, 3), (9, "QE", 5, 8)}
 
 
 def test_locations_and_dyads(spark):
@@ -92,7 +90,8 @@ def _site():
     class Site:
         """A small network: robots rules and a few pages."""
 
-        def one(self, url):
+        def one(self, to):
+            url = to.url
             if url.endswith("/robots.txt"):
                 return Response(url, 404 if "open" in url else 200, {}, b"User-agent: *\nDisallow: /private")
             if "moved" in url:
@@ -103,6 +102,15 @@ def _site():
     return Site
 
 
+def _aim():
+    def aimed(url):
+        from corvane.operators.acquire import Target
+
+        return Target(url, "host", 443, "192.0.2.1")
+
+    return aimed
+
+
 def _work(tmp_path, spark):
     rows = [("a1", "c1", "2024-01-02", "https://open.example/news/f16", "t"), ("a2", "c1", "2024-01-03", "https://open.example/news/f16#x", "t"), ("a3", "c1", "2024-01-03", "https://open.example/gone/1", "t"), ("a4", "c1", "2024-01-03", "https://bars.example/private/1", "t"), ("a5", "c1", "2024-01-03", "https://open.example/moved/1", "t"), ("a6", "c2", "", "https://open.example/news/f16", "t"), ("a7", "c2", "2024-01-03", "nowhere", "t")]
     files.write_csv(tmp_path / "in.csv", files.INPUT_HEADER, rows)
@@ -119,7 +127,13 @@ def test_stages(spark, tmp_path):
     with pytest.raises(InputError):
         work.run("match")
     work.run("prepare")
-    report = work.run("collect", transport=_site(), partitions=2, check=lambda url: None, sleep=lambda s: None)
+    how = {"transport": _site(), "partitions": 2, "wave": 2, "aim": _aim(), "sleep": lambda s: None}
+    assert work.run("collect", limit=3, **how)["pages"]["pending"] == 2
+    assert work.manifest.get("progress") == {"waves": 2, "fetched": 3}
+    (tmp_path / "work/STOP").touch()
+    assert work.run("collect", **how)["pages"]["pending"] == 2
+    (tmp_path / "work/STOP").unlink()
+    report = work.run("collect", wave=2, transport=_site(), partitions=2, aim=_aim(), sleep=lambda s: None)
     assert report["collection_complete"] and report["pages"] == {"extracted": 2, "http_404": 1, "robots_denied": 1, "redirect_to_home": 1, "invalid_url": 1}
     assert work.run("match")["pages_with_matches"] == 2
     with pytest.raises(InputError):
@@ -144,11 +158,42 @@ def test_strict_input(spark, tmp_path):
             files.read_candidates(spark, str(path)).count()
 
 
+def test_feed_to_export(spark, tmp_path):
+    from corvane.plans import feed
+
+    assert [c.batch_id for c in feed.plan()][:1] == ["ucdp_164_20160101_20260923"] and len(feed.plan()) == 15
+    day = "2020-05-01"
+    event = lambda i, a, b, **x: {"GLOBALEVENTID": i, "SQLDATE": 20200501, "DATEADDED": 20200501, "Actor1Name": "", "Actor2Name": "", "Actor1CountryCode": a, "Actor2CountryCode": b, "EventCode": "190", "EventRootCode": "19", "QuadClass": 4, "ActionGeo_CountryCode": "UP", "ActionGeo_FullName": "p", "ActionGeo_Type": 1, "ActionGeo_Lat": 1.0, "ActionGeo_Long": 2.0, "partition_day": day} | x
+    mention = lambda i, url: {"GLOBALEVENTID": i, "MentionIdentifier": url, "MentionSourceName": "s", "MentionTimeDate": 20200502101010, "MentionType": 1, "Confidence": 50, "InRawText": 1, "SentenceID": 1, "MentionDocTranslationInfo": "", "partition_day": day}
+    for name, rows in {"events": [event(1, "RUS", "UKR"), event(2, "YEM", "GBR"), event(3, "RUS", "FRA"), event(4, "RUS", "UKR", QuadClass=1)], "mentions": [mention(1, "https://a.example/1"), mention(1, "ftp://a.example/1"), mention(2, "https://a.example/1"), mention(4, "https://a.example/4")]}.items():
+        spark.createDataFrame(rows).write.partitionBy("partition_day").parquet(str(tmp_path / "feed" / name))
+    (tmp_path / "config.json").write_text(json.dumps({"feed": f"file://{tmp_path}/feed", "dataset": f"file://{tmp_path}/data", "input_csv": "in.csv", "sources_dir": "s", "work_dir": "w"}))
+    for _ in range(2):
+        report = feed.candidate_articles(spark, feed.FeedConfig.load(str(tmp_path / "config.json")))
+        assert (report["candidates_raw"], report["candidate_urls"], report["file"]["rows"]) == (2, 2, 2)
+    rows = files.read_candidates(spark, str(tmp_path / "in.csv")).collect()
+    assert sorted((r["conflict_id"], r["published_date"], r["url"]) for r in rows) == [("ucdp_13243", "2020-05-02", "https://a.example/1"), ("ucdp_16099", "2020-05-02", "https://a.example/1")]
+
+
 def test_unsafe_addresses():
     local = lambda host, port: [(0, 0, 0, "", ("127.0.0.1", port))]
     for url in ("ftp://a.example/", "https://u@a.example/", "https://a.example/"):
         with pytest.raises(acquire.UnsafeAddress):
-            acquire.safe_address(url, local)
+            acquire.target(url, local)
+    wide = lambda host, port: [(0, 0, 0, "", ("93.184.216.34", port)), (0, 0, 0, "", ("93.184.216.35", port))]
+    assert acquire.target("http://a.example/x", wide) == acquire.Target("http://a.example/x", "a.example", 80, "93.184.216.34")
+    assert not acquire.public([]) and not acquire.public(["93.184.216.34", "10.0.0.1"])
+
+
+def test_redirects_are_judged_and_bounded():
+    class Loop:
+        def one(self, to):
+            return acquire.Response(to.url, 302, {"location": "/again"}, b"")
+
+    aims = []
+    with pytest.raises(ValueError, match="too many"):
+        acquire.get(Loop(), "https://a.example/", lambda url: aims.append(url) or _aim()(url))
+    assert len(aims) == acquire.MOST_HOPS and aims[1] == "https://a.example/again"
 
 
 def test_cache_must_hold_bodies(spark):
