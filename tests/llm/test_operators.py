@@ -589,6 +589,52 @@ def test_training_order(docs, texts, empty, tmp_path):
     assert order.in_training_order(empty).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_training_order_holds_the_tokenizers_ids(spark, texts, parts):
+    """Every task lays the tokenizer's ids of its rows end to end; numbers go on from task to task."""
+    of = [None if i % 5 == 4 else i // 2 for i in range(len(texts))]  # ids that are null or shared
+    frame = spark.createDataFrame([(i, x, 1) for i, x in zip(of, texts, strict=True)], "doc_id long, text string, slot int").coalesce(1)
+    if parts > 1:
+        frame = frame.repartition(parts, "text")
+    tasks = [list(x) for x in frame.rdd.glom().collect()]
+    want = []
+    for own in tasks:
+        ids, starts = [], [0]
+        for tokens in _ids([r["text"] for r in own]):
+            ids += [*tokens, order.END]
+            starts.append(len(ids))
+        for a in range(0, len(ids), 64):
+            b = min(a + 64, len(ids))
+            inside = [r["doc_id"] for r, x, y in zip(own, starts, starts[1:], strict=False) if x < b and y > a]
+            want.append((inside, b - a, ids[a:b] + [order.END] * (64 - b + a)))
+    rows = order.in_training_order(frame, length=64, shard=16).collect()
+    slots = order.feistel(np.arange(len(want)), len(want)).tolist()
+    got = {r["slot"]: (r["doc_ids"], r["n_tokens"], np.frombuffer(r["tokens"], order.TYPE).tolist()) for r in rows}
+    assert got == dict(zip(slots, want, strict=True))
+
+
+def test_packing_and_sharding_of_rows_that_share_an_id(spark, texts):
+    of = [None if i % 5 == 4 else i // 2 for i in range(len(texts))]
+    frame = spark.createDataFrame([(i, x, 1, "n") for i, x in zip([*of, *of], [*texts, *texts], strict=True)], "doc_id long, text string, length int, part string").repartition(3)
+    want = Counter()
+    for i, x in zip(of, _ids(texts), strict=True):
+        x = [*x, 0]
+        stops = list(range(len(x), 0, -2048))[::-1]
+        for k, (a, b) in enumerate(zip([0, *stops], stops, strict=False)):
+            want[i, k, a, b - a, zlib.crc32(np.array(x[a:b], "<u4").tobytes())] += 2
+    got = packing.pack(frame).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    at = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at.get(r["sequence_id"], 0)
+        at[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(at.values()) <= 2048
+    cut = sharding.shard(frame, 5).collect()
+    assert Counter((r["doc_id"], r["text_crc32"]) for r in cut) == Counter([(i, zlib.crc32((x or "").encode())) for i, x in zip(of, texts, strict=True)] * 2)
+    for k in range(5):
+        assert sorted(r["slot"] for r in cut if r["shard"] == k) == list(range(sum(r["shard"] == k for r in cut)))
+
+
 def test_pipeline_run(spark, tmp_path):
     import os
 
