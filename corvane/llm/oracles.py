@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from itertools import permutations
+
+from . import codes, mixing, quality, substrings
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _DOCS = "d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x, source FROM documents)"
@@ -72,5 +74,49 @@ def mix() -> str:
     FROM p JOIN x ON p.source IS NOT DISTINCT FROM x.source"""
 
 
+def substring_dedup() -> str:
+    k = substrings.WINDOW
+    return f"""WITH {_DOCS}, l AS (SELECT r, doc_id, regexp_extract_all(x, {_WORD}) AS ws FROM d),
+    p AS (SELECT r, ws, unnest(range(1, len(ws) - {k - 2})) AS i FROM l WHERE len(ws) >= {k}),
+    g AS (SELECT r, i, sha256(array_to_string(ws[i:i + {k - 1}], ' ')) AS g FROM p),
+    m AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+    c AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM l),
+    u AS (SELECT c.r, c.w, c.i, max(m.i) OVER (PARTITION BY c.r ORDER BY c.i) AS start FROM c LEFT JOIN m ON m.r = c.r AND m.i = c.i),
+    k AS (SELECT r, count(*) AS kept, string_agg(w, ' ' ORDER BY i) AS text FROM u WHERE start IS NULL OR start < i - {k - 1} GROUP BY r)
+    SELECT doc_id, len(ws)::bigint AS n_words, (len(ws) - coalesce(kept, 0))::bigint AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM l LEFT JOIN k USING (r)"""
+
+
+def vector_codes() -> str:
+    parts, entries = codes.PARTS, codes.ENTRIES
+    found = """SELECT r, part, unnest(arg_min(struct_pack(entry := entry, far := far), struct_pack(a := far, b := entry))) FROM
+        (SELECT c.r, c.part, b.entry, sum((c.x - b.x) * (c.x - b.x))::bigint AS far FROM c JOIN {0} b USING (part, pos) GROUP BY ALL) GROUP BY r, part"""
+    moved = """SELECT b.part, b.entry, b.pos, coalesce(s.x, b.x) AS x FROM {0} b LEFT JOIN (SELECT part, entry, pos, CASE WHEN t >= 0 THEN t // n ELSE -((n - 1 - t) // n) END AS x FROM
+        (SELECT part, entry, pos, sum(c.x)::bigint AS t, count(*) AS n FROM c JOIN {1} USING (r, part) GROUP BY ALL)) s USING (part, entry, pos)"""
+    return f"""WITH v AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, embedding FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c AS MATERIALIZED (SELECT r, (i * {parts}) // n AS part, i % (n // {parts}) AS pos, floor({codes.SCALE} * x::double)::bigint AS x FROM (SELECT r, len(embedding) AS n, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM v)),
+    b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, pos, x FROM c WHERE r <= {entries}),
+    f0 AS MATERIALIZED ({found.format("b0")}), b1 AS MATERIALIZED ({moved.format("b0", "f0")}),
+    f1 AS MATERIALIZED ({found.format("b1")}), b2 AS MATERIALIZED ({moved.format("b1", "f1")}),
+    f2 AS MATERIALIZED ({found.format("b2")}),
+    e AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::bigint AS error FROM f2 GROUP BY r)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::bigint AS label_error, (SELECT sha256(string_agg(x, ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256 FROM e JOIN v USING (r)"""
+
+
+def filter_audit() -> str:
+    orders = ", ".join(f"'{''.join(x)}'" for x in permutations("ABCDE"))
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+    w AS (SELECT *, regexp_extract_all(x, {_WORD}) AS ws, min(doc_id) OVER (PARTITION BY x) AS least FROM d),
+    l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+    f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END, CASE WHEN 100 * (length(x) - length(regexp_replace(x, '[A-Z]', '', 'g'))) > 3 * length(x) THEN 'C' ELSE '' END,
+        CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN coalesce(doc_id > least, false) THEN 'E' ELSE '' END) AS fails FROM w LEFT JOIN l USING (doc_id)),
+    o AS (SELECT unnest([{orders}]) AS filter_order), s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+    t AS (SELECT filter_order, step::int AS step, filter_order[step:step] AS name, filter_order[1:step - 1] AS before FROM s),
+    g AS (SELECT part, fails, count(*) AS n, count_if(good) AS n_good, count_if(toxic) AS n_toxic FROM f GROUP BY ALL),
+    c AS (SELECT part, filter_order, step, name, n, n_good, n_toxic, fails, contains(fails, name) AS own, before <> '' AND regexp_matches(fails, concat('[', before, 'x]')) AS gone FROM g CROSS JOIN t),
+    a AS (SELECT part, filter_order, step, any_value(name) AS name, sum(CASE WHEN NOT own AND NOT gone THEN n ELSE 0 END)::bigint AS kept, sum(CASE WHEN own AND NOT gone THEN n ELSE 0 END)::bigint AS removed, sum(CASE WHEN own AND gone THEN n ELSE 0 END)::bigint AS redundant,
+        sum(CASE WHEN fails = name THEN n ELSE 0 END)::bigint AS unique_fails, sum(CASE WHEN own AND NOT gone THEN n_good ELSE 0 END)::bigint AS good_lost, sum(CASE WHEN own AND NOT gone THEN n_toxic ELSE 0 END)::bigint AS toxic_lost FROM c GROUP BY part, filter_order, step)
+    SELECT * EXCLUDE (name), (sum(removed) OVER (PARTITION BY part, name))::bigint AS shapley FROM a"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_mixing": mix(), "op7_jaccard_join": jaccard_join(), "op10_repetition": repetition()}
+    return {"op6_mixing": mix(), "op7_jaccard_join": jaccard_join(), "op10_repetition": repetition(), "op11_substring_dedup": substring_dedup(), "op12_vector_codes": vector_codes(), "op13_filter_audit": filter_audit()}

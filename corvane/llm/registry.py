@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import licenses, mixing, near_duplicates, neighbours, oracles as sql, order, packing, quality, scoring, secrets, sharding
+from . import audit, codes, licenses, mixing, near_duplicates, neighbours, oracles as sql, order, packing, quality, scoring, secrets, sharding, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": packing.op8_packing,
         "op9_training_order": order.op9_training_order,
         "op10_repetition": quality.op10_repetition,
+        "op11_substring_dedup": substrings.op11_substring_dedup,
+        "op12_vector_codes": codes.op12_vector_codes,
+        "op13_filter_audit": audit.op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
