@@ -13,8 +13,8 @@ from pyspark.sql.types import StringType
 #: A token is a run of letters, numbers and these marks.
 TOKEN = r"[\p{L}\p{N}_'-]+"
 TOKEN_CLASS = r"[\p{L}\p{N}_'-]"
-#: A character that is neither of a token nor blank.
-MARK = r"[^\p{L}\p{N}_'\s-]"
+#: What lies between tokens.
+GAP = r"[^\p{L}\p{N}_'-]+"
 #: Hyphens and dashes, and the apostrophe, with what stands for them.
 _MARKS = dict.fromkeys("–—‑‐", "-") | {"’": "'"}
 _TABLE = str.maketrans(_MARKS)
@@ -46,6 +46,18 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
+def bounded(text: Column, term: Column, kind: str = TOKEN_CLASS) -> Column:
+    """Whether a text has a term between characters of another kind.
+
+    Both get a sign around each run of the kind, so that runs are equal as wholes only; just for
+    a term that starts or ends otherwise an expression is made.
+    """
+    signed = lambda x: F.regexp_replace(x, f"({kind}+)", "\x01$1\x01")
+    plain = term.rlike(f"^{kind}") & term.rlike(rf"{kind}\z")
+    own = F.regexp_like(text, F.concat(F.lit(f"(?<!{kind})"), quoted(term), F.lit(f"(?!{kind})")))
+    return text.contains(term) & F.when(plain, signed(text).contains(signed(term))).otherwise(own)
+
+
 def complete(*columns: Column) -> Column:
     """Whether every column is there and holds more than white space (of any script)."""
     out = F.lit(True)

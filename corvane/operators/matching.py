@@ -1,10 +1,12 @@
 """Dictionary terms in sentences.
 
-``locate`` finds every bounded occurrence of every term: a term's first token is joined with the
-tokens of a text, and only texts that have it are searched for the whole term.  That is exact for
-every term with a token, since tokens inside a term are whole tokens of the text around it; a term
-without one is found by its first character, which then belongs to no token.  Whether the
-dictionary is sent to all tasks is left to the planner, which knows its size in bytes.
+``locate`` finds every bounded occurrence of every term.  A text is cut once, by one fixed expression, into its tokens and
+what lies between them; a term likewise.  Tokens inside a bounded occurrence are whole tokens of the
+text, so an occurrence starts, but for marks in front, with a piece that equals the term's first
+token: that piece finds the term in the dictionary, and the term's other pieces are held against the
+ones that follow.  No expression is made for a term, and the work is a look-up for each
+token of a text and a comparison for each term that starts with it.  Whether the dictionary is sent to all tasks is
+left to the planner, which knows its size in bytes.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_BREAK, MARK, TOKEN, TOKEN_CLASS, best_segmenter, norm, quoted
+from ..functions.text import GAP, LINE_BREAK, TOKEN, best_segmenter, norm
 
 
 #: Input rows of a range in which addresses are numbered together.
@@ -31,21 +33,51 @@ def dictionary(*sources: tuple[DataFrame, str]) -> DataFrame:
     return rows.filter("term <> ''").distinct()
 
 
+def cut_up(text: Column) -> Column:
+    """A text's tokens and what lies between them, in order."""
+    return F.regexp_extract_all(text, F.lit(f"{TOKEN}|{GAP}"), F.lit(0))
+
+
+def _listed(terms: DataFrame, term: str) -> DataFrame:
+    """``terms`` with the pieces from the first token to the last, and the marks around them."""
+    pieces = terms.withColumn("_all", cut_up(F.col(term))).withColumn("_token", F.get("_all", F.lit(0)).rlike(TOKEN))
+    lead = F.when(F.col("_token"), "").otherwise(F.get("_all", F.lit(0)))
+    rows = pieces.withColumn("_lead", lead).withColumn("_core", F.when(F.col("_token"), F.col("_all")).otherwise(F.slice("_all", 2, F.greatest(F.size("_all") - 1, F.lit(0)))))
+    trail = F.when(F.get("_core", F.size("_core") - 1).rlike(TOKEN), "").otherwise(F.get("_core", F.size("_core") - 1))
+    rows = rows.withColumn("_trail", trail).withColumn("_n", F.size("_core") - F.when(F.col("_trail") != "", 1).otherwise(0))
+    return rows.withColumn("_first", F.get("_core", F.lit(0))).withColumn("_core", F.array_join(F.slice("_core", 1, F.greatest("_n", F.lit(0))), "")).drop("_all", "_token")
+
+
+def _around(piece: Column, marks: Column, before: bool) -> Column:
+    """Whether a gap (null at either end of a text) holds a term's marks next to the term, and the
+    character beyond them is of no token: one of the gap, or none because the text ends there."""
+    gap, open_ended = piece["gap"], piece["open"]
+    next_to = gap.endswith(marks) if before else gap.startswith(marks)
+    return (marks == "") | F.coalesce(next_to & ((F.char_length(gap) > F.char_length(marks)) | open_ended), F.lit(False))
+
+
 def locate(texts: DataFrame, terms: DataFrame, text: str = "text", term: str = "term") -> DataFrame:
     """Rows of ``texts`` x ``terms`` with start and end (exclusive) of each occurrence whose
     neighbours are no token characters, overlapping ones included.  Both hold normal forms."""
-    first = F.regexp_extract(F.col(term), TOKEN, 0)
-    listed = terms.filter(F.col(term) != "").withColumn("_first", F.when(first != "", first).otherwise(F.substring(term, 1, 1)))
-    every = lambda pattern: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    rows = texts.withColumn("_token", F.explode(F.array_distinct(F.concat(every(TOKEN), every(MARK)))))
-    rows = rows.join(listed, F.col("_token") == F.col("_first")).filter(F.col(text).contains(F.col(term))).drop("_token", "_first")
-    here = F.concat(F.lit("(?="), quoted(F.col(term)), F.lit(f"(?!{TOKEN_CLASS}))"))
-    # the text cut before every occurrence but one at its start; the lengths of the parts add up to places
-    parts = F.split(F.col(text), F.concat(F.lit(f"(?<!{TOKEN_CLASS})"), here), -1)
-    upto = F.aggregate(parts, F.array(F.lit(0)), lambda sums, part: F.concat(sums, F.array(F.element_at(sums, -1) + F.char_length(part))))
-    places = F.concat(F.when(F.regexp_like(F.col(text), F.concat(F.lit("^"), here)), F.array(F.lit(0))).otherwise(F.array().cast("array<int>")), F.slice(upto, F.lit(2), F.size(parts) - 1))
-    rows = rows.withColumn("start", F.explode(places))
-    return rows.withColumn("end", F.col("start") + F.char_length(term))
+    listed = _listed(terms.filter(F.col(term) != ""), term)
+    rows = texts.withColumn("_pieces", cut_up(F.col(text)))
+    kept = [*texts.columns, *terms.columns]
+
+    at = rows.select("*", F.posexplode("_pieces").alias("_at", "_piece"))
+    worded = at.join(listed.filter("_n > 0"), F.col("_piece") == F.col("_first"))
+    gap = lambda place, end: F.struct(F.get("_pieces", place).alias("gap"), end.alias("open"))
+    before, after = gap(F.col("_at") - 1, F.col("_at") == 1), gap(F.col("_at") + F.col("_n"), F.col("_at") + F.col("_n") + 1 == F.size("_pieces"))
+    worded = worded.filter((F.array_join(F.slice("_pieces", F.col("_at") + 1, F.col("_n")), "") == F.col("_core")) & _around(before, F.col("_lead"), True) & _around(after, F.col("_trail"), False))
+    worded = worded.withColumn("start", F.char_length(F.array_join(F.slice("_pieces", 1, F.col("_at")), "")) - F.char_length("_lead")).select(*kept, "start")
+
+    # a term without tokens lies inside one gap and is looked for at every place of it
+    marked = at.filter(~F.col("_piece").rlike(TOKEN)).select("*", F.posexplode(F.split("_piece", "")).alias("_in", "_mark"))
+    marked = marked.join(listed.filter("_n <= 0"), F.col("_mark") == F.substring(term, 1, 1))
+    size, stop = F.char_length("_piece"), F.col("_in") + F.char_length(term)
+    free = ((F.col("_in") > 0) | (F.col("_at") == 0)) & ((stop < size) | (F.col("_at") == F.size("_pieces") - 1))
+    marked = marked.filter((F.substring("_piece", F.col("_in") + 1, F.char_length(term)) == F.col(term)) & free)
+    marked = marked.withColumn("start", F.char_length(F.array_join(F.slice("_pieces", 1, F.col("_at")), "")) + F.col("_in")).select(*kept, "start")
+    return worded.union(marked).withColumn("end", F.col("start") + F.char_length(term))
 
 
 def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TOKEN_CLASS, clauses, norm, phrases, quoted
+from ..functions.text import bounded, clauses, norm, phrases
 from .matching import locate
 
 VERSION = "20260923.4"
@@ -49,6 +49,8 @@ TYPE_CONTEXT = {
 RANKS, RANK_TERMS = ("commander in chief", "lieutenant general", "major general", "prime minister", "king charles", "king abdullah"), ("commander", "general", "king")
 TARGET_WORDS = "destroyed", "intercepted", "captured", "shot down", "hit", "targeted"
 NEAR, BEFORE = 90, 85
+#: A character of a word, of any script.
+WORD_CLASS = r"[\p{IsAlphabetic}\p{M}\p{Nd}\p{Pc}\p{IsJoin_Control}]"
 
 
 def words(options: tuple[str, ...], tail: str = "") -> str:
@@ -70,8 +72,8 @@ def patterns(usage: DataFrame) -> DataFrame:
 
 
 def longest(hits: Column) -> Column:
-    """Hits (structs with start and end) that lie in no longer one."""
-    inside = lambda h, g: (g["start"] <= h["start"]) & (g["end"] >= h["end"]) & (g["end"] - g["start"] > h["end"] - h["start"])
+    """Hits (structs with part, start and end) that lie in no longer one of their part."""
+    inside = lambda h, g: (g["part"] == h["part"]) & (g["start"] <= h["start"]) & (g["end"] >= h["end"]) & (g["end"] - g["start"] > h["end"] - h["start"])
     return F.filter(hits, lambda h: ~F.exists(hits, lambda g: inside(h, g)))
 
 
@@ -83,7 +85,7 @@ def plausible(text: Column, term: Column, name: Column, category: Column, senten
     for prefix, options in TYPE_CONTEXT.items():
         kind = F.when(F.substring(category, 1, 3) == prefix, window.rlike(words(options, "s?"))).otherwise(kind)
     kind = F.when(F.substring(category, 1, 3).isin(*TYPE_CONTEXT), kind).otherwise(window.rlike(words(("weapon",), "s?")))
-    as_written = F.regexp_like(sentence, F.concat(F.lit(r"(?U)(?<!\w)"), quoted(name), F.lit(r"(?!\w)")))
+    as_written = bounded(sentence, name, WORD_CLASS)
     return (
         F.when(category.startswith("T"), True)
         .when(term.rlike(r"^\p{Nd}+$") | (F.char_length(term) == 1), False)
@@ -128,25 +130,25 @@ def adjusted(code: Column, clause: Column, start: Column) -> Column:
     )
 
 
-def holds(text: Column, term: Column) -> Column:
-    """Whether a text has a term between characters that belong to no token."""
-    return text.contains(term) & F.regexp_like(text, F.concat(F.lit(f"(?<!{TOKEN_CLASS})"), quoted(term), F.lit(f"(?!{TOKEN_CLASS})")))
-
-
 def decide(matches: DataFrame, usage: DataFrame) -> DataFrame:
     """match_id, usage_code (null if no verdict), reason and pattern_ids of each match.
 
-    ``usage`` comes from ``patterns``.  Sentences are judged once however many matches they have.
+    ``usage`` comes from ``patterns``.  A sentence and its clauses are searched together, once for all
+    of its matches, and what was found in them is one row for each sentence.
     """
     texts = matches.select("sentence").distinct().withColumn("text", norm("sentence"))
-    ids = locate(texts, usage, term="phrase").groupBy("sentence").agg(F.array_sort(F.collect_set("pattern_id")).alias("pattern_ids"))
-    split = texts.select("sentence", F.posexplode(clauses(F.col("text"))).alias("clause_no", "clause")).withColumn("bare", F.trim("clause"))
-    hits = locate(split, usage, text="bare", term="phrase").groupBy("sentence", "clause_no").agg(longest(F.collect_list(F.struct("start", "end", "code"))).alias("hits"))
-    named = matches.withColumn("term", norm("matched_name")).join(texts, "sentence").join(ids, "sentence", "left")
-    by_clause = named.select("match_id", "sentence", "term").join(split, "sentence").filter(holds(F.col("bare"), F.col("term"))).join(hits, ["sentence", "clause_no"])
-    best = by_clause.select("match_id", F.array_min(F.transform("hits", lambda h: adjusted(h["code"], F.col("clause"), h["start"]))).alias("code")).groupBy("match_id").agg(F.min("code").alias("code"))
+    own = F.transform(clauses(F.col("text")), lambda c, i: F.struct(i.alias("part"), c.alias("clause"), F.trim(c).alias("bare")))
+    whole = F.struct(F.lit(-1).alias("part"), F.col("text").alias("clause"), F.col("text").alias("bare"))
+    parts = texts.select("sentence", F.explode(F.concat(F.array(whole), own)).alias("p")).select("sentence", "p.*")
+    hits = locate(parts, usage, text="bare", term="phrase").withColumn("now", F.when(F.col("part") >= 0, adjusted(F.col("code"), F.col("clause"), F.col("start"))))
+    hit = F.when(F.col("part") >= 0, F.struct("part", "bare", "start", "end", "now"))
+    found = hits.groupBy("sentence").agg(F.array_sort(F.collect_set(F.when(F.col("part") < 0, F.col("pattern_id")))).alias("pattern_ids"), F.collect_set(hit).alias("hits"))
+    found = found.select("sentence", F.when(F.size("pattern_ids") > 0, F.col("pattern_ids")).alias("pattern_ids"), longest(F.col("hits")).alias("hits"))
+    named = matches.withColumns({"term": norm("matched_name"), "text": norm("sentence")}).join(found, "sentence", "left")
+    near = F.filter("hits", lambda h: bounded(h["bare"], F.col("term")))
+    rows = named.withColumn("code", F.array_min(F.transform(near, lambda h: h["now"])))
     args = F.col("text"), F.col("term"), F.col("matched_name"), F.col("category_id")
-    rows = named.join(best, "match_id", "left").withColumn("gate", gate(*args)).withColumn("sound", plausible(*args, F.col("sentence"), F.col("start_pos"), F.col("end_pos")))
+    rows = rows.withColumn("gate", gate(*args)).withColumn("sound", plausible(*args, F.col("sentence"), F.col("start_pos"), F.col("end_pos")))
     none = F.col("pattern_ids").isNull()
     reason = (
         F.when(~F.col("sound"), "literal_match_without_supported_weapon_reference")

@@ -376,7 +376,7 @@ def clause_split(spark, sf_dir):
 def pattern_hits_longest(spark, sf_dir):
     split = clause_split(spark, sf_dir).withColumn("bare", F.trim("clause"))
     found = matching.locate(split, _usage(spark, sf_dir).select("phrase", "pattern_id", "code").distinct(), text="bare", term="phrase")
-    kept = found.groupBy("sentence_id", "clause_no").agg(rules.longest(F.collect_list(F.struct("start", "end", "pattern_id"))).alias("h"))
+    kept = found.groupBy("sentence_id", "clause_no").agg(rules.longest(F.collect_list(F.struct(F.col("clause_no").alias("part"), "start", "end", "pattern_id"))).alias("h"))
     return kept.select("sentence_id", "clause_no", F.size("h").cast("long").alias("hits"), F.array_min(F.col("h.start")).alias("first"), F.array_max(F.col("h.end")).alias("stop"))
 
 
