@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import _text as t
 from ._graph import joined
-from ._session import cut, table, tidy
+from ._session import cut, share, table, tidy
 
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Size from which a component's squares no longer add up in a long.
@@ -142,10 +142,9 @@ def first_books(vectors: DataFrame, entries: int = ENTRIES) -> np.ndarray:
 
 def next_books(vectors: DataFrame, books: np.ndarray) -> np.ndarray:
     """The codebooks after one round over all vectors."""
-    shared = vectors.sparkSession.sparkContext.broadcast(books)
+    shared = share(vectors.sparkSession, books)
     sums = vectors.select("embedding").mapInArrow(_sums(shared), "slot long, n long, total long")
     got = sums.groupBy("slot").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).toArrow()  # as many rows as the codebooks have numbers
-    shared.destroy()
     out = books.reshape(-1).copy()
     slot = got.column("slot").to_numpy()
     out[slot] = got.column("total").to_numpy() // got.column("n").to_numpy()
@@ -167,9 +166,8 @@ def compressed(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     books = first_books(rows)
     for _ in range(rounds):
         books = next_books(rows, books)
-    shared = spark.sparkContext.broadcast(books)
+    shared = share(spark, books)
     coded = cut(rows.mapInArrow(_coded(shared), CODED))
-    shared.destroy()
     keyed = coded.select("*", F.col("label").isNull().alias("unlabelled"), F.coalesce("label", F.lit(0)).alias("own"))
     sums = keyed.groupBy("unlabelled", "own").agg(F.sum("error").alias("label_error"))
     found = joined(keyed, sums, "unlabelled", "own")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, table, tidy
+from ._session import cut, lazily, table
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -63,7 +63,8 @@ def quotas(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, cap: in
     (``upto``) and of this shard (``quota``).
 
     Rounding each exact share gives the apportionment of some house; the few blocks that are
-    over or missing are then taken or given one by one by quotient.  With ``parts``, a block is no
+    over or missing are then taken or given one by one by quotient.  A source of share s can gain or
+    lose s (|missing| + sources) + 1 of them at most, so the quotients looked at are a few for each source.  With ``parts``, a block is no
     more than that part of the smallest target above 0.
     """
     words = F.ceil(F.col("total") / blocks)
@@ -74,7 +75,10 @@ def quotas(goals: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, cap: in
     rows = rows.withColumn("house", F.expr(f"house_all * (shard + 1) div {shards}"))
     start = F.floor(F.col("house") * F.col("target") / F.greatest(F.col("total"), F.lit(1)) + 0.5)
     rows = rows.withColumn("seats", start).withColumn("short", F.col("house") - F.sum("seats").over(Window.partitionBy("shard")))
-    step = F.explode_outer(F.when(F.col("short") != 0, F.sequence(F.lit(0).cast("long"), F.abs("short") - 1)))
+    # a source's seats move by its share of the missing ones and of one for each source, and one more, at most
+    sources = F.count("*").over(Window.partitionBy("shard"))
+    rows = rows.withColumn("most_moves", F.least(F.abs("short") - 1, F.ceil((F.abs("short") + sources) * F.col("target") / F.greatest(F.col("total"), F.lit(1))) + 2).cast("long"))
+    step = F.explode_outer(F.when(F.col("short") != 0, F.sequence(F.lit(0).cast("long"), F.col("most_moves"))))
     tried = rows.select("*", step.alias("j"))
     up = F.col("target") / (2 * (F.col("seats") + F.col("j")) + 1)
     down = F.when(F.col("seats") > F.col("j"), -F.col("target") / (2 * (F.col("seats") - F.col("j")) - 1))
@@ -92,7 +96,7 @@ def _start(seed: str, source: Column, size: Column) -> Column:
     return F.conv(digest, 16, 10).cast("long") % F.greatest(size, F.lit(1))
 
 
-@tidy
+@lazily
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blocks: int = BLOCKS, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """A row for each of ``docs``: size, its source's figures, whole copies (``rounds``), the
     words of one more copy from ``extra_from`` (two runs where the ring closes), ``taken`` and the
@@ -162,4 +166,4 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds", "shard")

@@ -60,7 +60,7 @@ from pyspark.sql import functions as F
 
 from . import _text as t
 from ._graph import components, joined
-from ._session import cut, table, tidy
+from ._session import cut, share, table, tidy
 
 SHINGLE = 5
 #: Similarity 0.8 as a ratio.  Sets of a and b shingles link when they differ in (a + b) / 9 at most.
@@ -356,7 +356,7 @@ class _Join:
         self.spark = docs.sparkSession
         self.docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
         signed = cut(self.docs.mapInArrow(_signatures, _SIGNED))
-        self.sketch = self.spark.sparkContext.broadcast(_sketch(signed))
+        self.sketch = share(self.spark, _sketch(signed))
         rows = signed.filter("chunk is null")
         self.signed = rows.select("doc_id", "c1", "c2", "n")
         self.parity = rows.select(F.col("row").alias("class"), "n", "parity")
@@ -390,7 +390,7 @@ class _Join:
         cells = used.toArrow()
         filled = np.zeros(bits // 32, "<u4")
         filled[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
-        filled = self.spark.sparkContext.broadcast(filled.view(np.uint8))
+        filled = share(self.spark, filled.view(np.uint8))
         rows = self.docs.select("text", F.xxhash64("doc_id").alias("slot")).mapInArrow(_own_sets(filled), "c1 long, c2 long, own binary")
         return cut(rows.join(wanted.hint("merge"), ["c1", "c2"]).dropDuplicates(["c1", "c2"]).select("class", "own"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, table, tidy
+from ._session import cut, share, table, tidy
 
 K = 20
 #: Vectors the tree is fitted on, children of a node, vectors a leaf is meant to hold, most leaves.
@@ -174,8 +174,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF,
 
     wanted = max(1, min(LEAVES, n // leaf))
     tree = fit(lifted(sample), len(sample) / wanted)
-    shared = spark.sparkContext.broadcast(tree)
-    known = spark.sparkContext.broadcast((sample, sample_ids, tree.place(lifted(sample))))
+    shared = share(spark, tree)
+    known = share(spark, (sample, sample_ids, tree.place(lifted(sample))))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

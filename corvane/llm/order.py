@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import folder, shuffle_width, table
+from ._session import folder, lazily, shuffle_width, table
 from ._tokens import default_path, encoder
 
 LENGTH, SHARD, END = 2048, 1024, 50256
@@ -103,12 +103,13 @@ def _sequences(path: str, length: int, end: int):
     return t.released(rows)
 
 
+@lazily
 def in_training_order(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, shard: int = SHARD, key: int = KEY, end: int = END) -> DataFrame:
     """A row for each sequence, in range partitions of whole shards and sorted by slot: slot,
     shard, byte_offset, doc_ids, n_tokens, ids_crc32 and tokens (16-bit little-endian ids)."""
     spark = docs.sparkSession
     text = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    written = folder(spark, "sequences")
+    written = folder(spark, "sequences") + "/table"
     cut = text.mapInArrow(_sequences(tokenizer or default_path(), length, end), "task int, nth long, doc_ids array<long>, n_tokens int, ids_crc32 long, packed binary")
     cut.write.option("compression", "none").parquet(written)
     cut = spark.read.schema(cut.schema).parquet(written)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import cut, table, tidy
+from ._session import cut, share, table, tidy
 from ._tokens import default_path, encoder
 
 CAPACITY = 2048
@@ -41,13 +41,16 @@ Pattern = tuple[int, tuple[tuple[int, int], ...]]  # sequences, ((length, pieces
 
 def _swappable(sizes: list[int], have: list[int], filling: list[int], room: int) -> bool:
     """Whether a spare piece could take the place of none, one, two or all pieces of the filling."""
-    for gone in {0, *filling, sum(filling)} | {x + y for i, x in enumerate(filling) for y in filling[:i]}:
+
+    def spare(gone: int) -> bool:
         i = bisect_right(sizes, gone + room) - 1
         while i >= 0 and sizes[i] > gone:
             if have[sizes[i]] > filling.count(sizes[i]):
                 return True
             i -= 1
-    return False
+        return False
+
+    return spare(0) or any(map(spare, filling)) or spare(sum(filling)) or any(spare(x + y) for i, x in enumerate(filling) for y in filling[:i])
 
 
 def fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
@@ -248,7 +251,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     counts = np.zeros(capacity + 1, np.int64)
     for x in pieces.groupBy("length").count().collect():  # one row for each length
         counts[x["length"]] = x["count"]
-    places = spark.sparkContext.broadcast(_places(complete(counts, capacity)))
+    places = share(spark, _places(complete(counts, capacity)))
     hashed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(1024)))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = hashed.groupBy("length", "bucket").count().withColumn("number_0", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")

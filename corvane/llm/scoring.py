@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import cut, table, tidy
+from ._session import cut, share, table, tidy
 
 BUCKETS, CLASSES, SIDE, WIDTH = 4096, 64, 2, 24
 BATCH, RATE, SEED = 2048, 0.1, 3
@@ -193,7 +193,7 @@ def log_likelihood(block: t.Block, net: Network, of: np.ndarray, share: np.ndarr
 def score(docs: DataFrame, model: tuple[Network, np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """doc_id, n_words, log_likelihood and its mean over the words of each of ``docs``."""
     model = model or train(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((model[0].values, model[1], model[2]))
+    shared = share(docs.sparkSession, (model[0].values, model[1], model[2]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, of, share = shared.value

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, shuffle_width, table, tidy
+from ._session import cut, lazily, shuffle_width, table
 
 SHARDS = 24
 OVERHEAD = 8
@@ -39,7 +39,7 @@ def positions(docs: DataFrame) -> DataFrame:
     return run.join(F.broadcast(totals), "part").select(*order, (F.col("byte_0") + F.col("upto") - F.col("size")).alias("start_byte"), (F.col("row_0") + F.col("nth_here") - 1).alias("start_row"), "all_bytes")
 
 
-@tidy
+@lazily
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and the document's slot in its shard."""
     placed = positions(docs).withColumn("shard", F.expr(f"cast(least({shards} - 1, (2 * start_byte + size) * {shards} div (2 * all_bytes)) as int)"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as t
-from ._session import cut, shuffle_width, table, tidy
+from ._session import cut, share, shuffle_width, table, tidy
 
 WINDOW, RUN = 35, 5
 #: Bytes of text that a task packs together, and that a bucket is to hold.
@@ -345,7 +345,7 @@ def without_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rows = rows.withColumns({"key": F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"), "check": F.crc32(F.col("text").cast("binary"))})
     counts = cut(rows.select("text").mapInArrow(t.released(_counted), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).filter(f"run = -1 or n >= {COMMON}"))
     frequent = counts.filter("run <> -1").orderBy(F.desc("n"), "run").limit(HEAVY).select("run").toArrow().column("run")  # HEAVY at most
-    heavy = spark.sparkContext.broadcast(np.sort(frequent.to_numpy().view(t.U64)))
+    heavy = share(spark, np.sort(frequent.to_numpy().view(t.U64)))
     size = sum(x["n"] for x in counts.filter("run = -1").collect())
     buckets = max(1, -(-3 * size // BUCKET))
     width = min(buckets, max(shuffle_width(spark), buckets // 64))
