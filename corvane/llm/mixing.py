@@ -144,14 +144,14 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     own = lambda name: F.col(p + name)  # noqa: E731  a column of the plan, or made here
     plan = mix(docs, **how).select(*(F.col(c).alias(p + n) for n, c in {"id": "doc_id", "source": "source", "size": "size", "rounds": "rounds", "extra": "extra", "from": "extra_from", "head": "extra_head"}.items()))
     if plan.groupBy(p + "id").count().filter("count > 1").isEmpty():
-        rows = docs.join(plan, docs["doc_id"].cast("long").eqNullSafe(own("id")))
+        rows = docs.join(plan.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(own("id")))  # alike at every size
     else:
         equal = Window.partitionBy(p + "id", p + "source", p + "size")
         plan = plan.withColumn(p + "nth", F.row_number().over(equal.orderBy(p + "rounds", p + "extra", p + "from", p + "head")))
         sized = docs.withColumn(p + "words", _size())
         sized = sized.withColumn(p + "row", F.row_number().over(Window.partitionBy("doc_id", "source", p + "words").orderBy(F.xxhash64("text"))))
         same = F.col("doc_id").cast("long").eqNullSafe(own("id")) & F.col("source").cast("string").eqNullSafe(own("source"))
-        rows = sized.join(plan, same & (own("words") == own("size")) & (own("row") == own("nth")))
+        rows = sized.join(plan.hint("merge"), same & (own("words") == own("size")) & (own("row") == own("nth")))
     full = own("extra") + own("head") == own("size")
     piece = lambda start, n: F.struct(start.cast("int").alias("start"), n.cast("int").alias("n"))
     copies = F.array_repeat(piece(F.lit(0), F.lit(0)), (own("rounds") + F.when(full, 1).otherwise(0)).cast("int"))

@@ -514,7 +514,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     if not repeats(docs.select("doc_id")):
         kept = near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"))
-        return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+        return docs.join(kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")  # alike at every size
     key = "row_key"
     while any(c.lower() == key for c in docs.columns):
         key = "_" + key
@@ -525,8 +525,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min_by(key, F.struct(F.col("doc_id").isNull(), "doc_id", key))
     kept = cut(ids.groupBy("component_id").agg(first.alias(key), F.max("n_shingles").alias("kept_n")).drop("component_id"))
     worded, wordless = (kept.filter(f).select(key) for f in ("kept_n > 0", "kept_n = 0"))
-    one = rows.join(worded, key, "left_semi").dropDuplicates([key])
-    return one.unionByName(rows.join(wordless, key, "left_semi")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    one = rows.join(worded.hint("merge"), key, "left_semi").dropDuplicates([key])
+    return one.unionByName(rows.join(wordless.hint("merge"), key, "left_semi")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def repeats(ids: DataFrame) -> bool:
