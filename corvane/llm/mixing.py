@@ -52,8 +52,10 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     whole = Window.partitionBy()
     # the first sources in this order are full; the level is where the others first stay below
     rows = rows.withColumn("nth", F.row_number().over(order)).withColumn("total", F.sum("source_size").over(whole))
-    full = F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("level", (F.col("total") - full) / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
+    upto = order.rowsBetween(Window.unboundedPreceding, -1)
+    full, gone = (F.coalesce(F.sum(c).over(upto), F.lit(0)) for c in ("most", "weight"))
+    # the weight from here on is what is left of all: a frame that ends with the table is summed anew for each row
+    rows = rows.withColumn("level", (F.col("total") - full) / (F.sum("weight").over(whole) - gone))
     level = F.min_by(F.col("level"), F.when(F.col("level") * F.col("weight") <= F.col("most"), F.col("nth"))).over(whole)
     return rows.withColumn("target", F.least(F.col("most").cast("double"), level * F.col("weight"))).select("source", "source_size", "rank", "weight", "total", "target")
 
