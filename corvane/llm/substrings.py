@@ -41,7 +41,7 @@ from ._session import cut, share, shuffle_width, table, tidy
 
 WINDOW, RUN = 35, 5
 #: Bytes of text that a task packs together, and that a bucket is to hold.
-CHUNK, BUCKET = 4 << 20, 4 << 20
+CHUNK, BUCKET = 8 << 20, 4 << 20
 #: Runs counted together; how often one must be in them, and in all, to be frequent; most that are kept.
 COUNTED, OFTEN, COMMON, HEAVY = 1 << 22, 8, 64, 1 << 20
 _REF = np.dtype([("key", "<i8"), ("check", "<u4"), ("start", "<u4")])
@@ -154,6 +154,10 @@ _PACKED = "bucket long, size int, lines binary, refs binary"
 _MARKS = "key long, check long, first int, stop int"
 
 
+#: Of each bucket's part of a chunk; a higher level costs more time than it saves in bytes.
+_PACKER = pa.Codec("zstd", compression_level=3)
+
+
 class _Chunk:
     """Super-k-mers of some texts of a task: equal ones once, and what is known to be repeated."""
 
@@ -195,7 +199,7 @@ class _Chunk:
         out: list[tuple[int, int, bytes | None, bytes]] = []
         for some in np.split(order, cuts[1:]) if len(order) else []:
             lines = b"\n".join([texts[i] for i in some.tolist()])
-            out.append((int(bucket[some[0]]), len(lines), pa.compress(lines, "zstd", asbytes=True), refs[some].tobytes()))
+            out.append((int(bucket[some[0]]), len(lines), _PACKER.compress(lines, asbytes=True), refs[some].tobytes()))
         marks = _merged(np.array(self.marks, np.int64).reshape(-1, 4))
         for first in range(0, len(marks), 1 << 14):
             out.append((int(bucket[0]) + first, 0, None, marks[first : first + (1 << 14)].tobytes()))
