@@ -63,6 +63,9 @@ def _sequences(path: str, length: int, end: int):
         import zstandard
 
         tokens, pack = encoder(path), zstandard.ZstdCompressor(level=3).compress
+        most = np.iinfo(TYPE).max
+        if end > most:
+            raise ValueError(f"the closing id {end} is over {most}")
         task = TaskContext.get().partitionId()
         rest, owners, nth = np.zeros(0, TYPE), [], 0  # owners: (id, where its tokens start)
         close = np.array([end], TYPE)
@@ -90,6 +93,8 @@ def _sequences(path: str, length: int, end: int):
             for block in t.blocks(batch.column("text"), 1 << 20):
                 parts, at = [rest], len(rest)
                 for i, own in enumerate(tokens.encode(block)):
+                    if len(own) and int(own.max()) > most:
+                        raise ValueError(f"the tokenizer's id {int(own.max())} is over {most}, which two bytes can't hold")
                     owners.append((names[block.first + i], at))
                     parts += [own.astype(TYPE), close]
                     at += len(own) + 1

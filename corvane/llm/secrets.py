@@ -47,11 +47,14 @@ FEATURES = (
     "digits only", "beyond ASCII", "capitals and digits, 12 long", "rule of hyphens", "at sign", "slash", "after a keyword", "two after a keyword",
     "after a separator", "before a separator", "keyword", "after an open mark", "after a dense word", "before a dense word", "after a rule of hyphens",
     "text has a keyword", "text is full of marks", "text is full of codes", "dense, 20 long", "plain letters",
+    "hyphen inside", "dot inside", "underscore", "colon inside", "bracket or semicolon inside", "equals sign inside", "many turns", "a third digits", "half vowels or more", "hexadecimal", "letters in front", "three hyphens",
 )
 _KIND = np.full(256, 3, np.uint8)  # 0 lower, 1 upper, 2 digit, 3 mark, 4 beyond ASCII
 _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:] = 0, 1, 2, 4
 _TRIM = np.zeros(256, bool)
 _TRIM[list(b"\"'`,;:.()[]{}<>|")] = True
+_VOWEL = np.zeros(256, bool)
+_VOWEL[list(b"aeiouAEIOU")] = True
 _CORE = re.compile(r"[A-Za-z0-9+/_.~$!@#%^&*=-]{4,}")
 
 
@@ -92,6 +95,13 @@ def features(block: t.Block) -> tuple[t.Words, np.ndarray]:
     final = block.data[end - 1] if len(start) else np.zeros(0, np.uint8)
     letters = lower + upper
     has = lambda byte: (lambda u: u[end] > u[start])(np.concatenate([[0], np.cumsum(block.data == byte)]))
+    upto = lambda marks: (lambda u: u[end] - u[start])(np.concatenate([[0], np.cumsum(marks)]))
+    inside = lambda byte: (lambda u: u[np.maximum(b - 1, a)] > u[np.minimum(a + 1, b)])(np.concatenate([[0], np.cumsum(block.data == byte)]))
+    vowel, hexadecimal, hyphens = upto(_VOWEL[block.data]), upto(_HEXADECIMAL[block.data]), upto(block.data == 45)
+    fronted = np.ones(len(start), bool)  # four letters of one kind after the first one
+    for k in range(1, 4):
+        at = np.minimum(start + k, len(kind) - 1)
+        fronted &= (start + k < end) & (kind[at] == 0)
     rule = (first == 45) & (long >= 6) & (mark >= 5)
     rule |= (final == 45) & (long >= 6) & (mark >= 5)
     dense = (digit > 0) & (letters > 0) & (long >= 8) & (turns >= 3) & (high == 0)
@@ -116,6 +126,7 @@ def features(block: t.Block) -> tuple[t.Words, np.ndarray]:
         digit == long, high > 0, (upper + digit == long) & (upper > 0) & (digit > 0) & (long >= 12), rule, has(64), has(47), before(keyword), before(keyword, 2),
         before(separator), after(separator), keyword, before(opened), before(dense), after(dense), before(rule),
         keyed, marked, coded, dense & (long >= 20), letters + high == long,
+        inside(45), inside(46), has(95), inside(58), inside(40) | inside(91) | inside(59), inside(61), 3 * turns > long, 3 * digit > long, 2 * vowel >= letters, hexadecimal == long, fronted, hyphens >= 3,
     ]
     return words, np.array(rows)
 
@@ -133,11 +144,27 @@ def _made_up(rng: np.random.Generator) -> list[tuple[str, list[int]]]:
         w = w.capitalize() if rng.random() < 0.15 else w.upper() if rng.random() < 0.02 else w
         return w + (pick([".", ",", ";", ":", "!"]) if rng.random() < 0.15 else "")
 
+    plain = lambda n=3: "".join(pick(syllables) for _ in range(int(rng.integers(1, n + 1))))
+    hexa = "0123456789abcdef"
+    date = lambda: f"{rng.integers(1990, 2031)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}"
+    clock = lambda: f"{rng.integers(0, 24):02d}:{rng.integers(0, 60):02d}:{rng.integers(0, 60):02d}"
+    coded = lambda n: chars(wide + "+/", n)
+    # what is dense without being secret: identifiers, times, addresses, names of things
+    named = [
+        lambda: "-".join(chars(hexa, n) for n in (8, 4, 4, 4, 12)), lambda: "urn:uuid:" + "-".join(chars(hexa, n) for n in (8, 4, 4, 4, 12)), lambda: "-".join(chars(hexa.upper(), n) for n in (8, 4, 4, 4, 12)),
+        lambda: f"{date()}T{clock()}" + pick(["Z", ".123Z", "+02:00", ""]), lambda: f"{date()}_{clock().replace(':', '')}", lambda: f"data:image/{pick(['png', 'gif', 'jpeg'])};base64,{coded(int(rng.integers(40, 200)))}", lambda: f'src="data:font/woff;base64,{coded(60)}"',
+        lambda: plain(2) + "".join(plain(2).capitalize() for _ in range(int(rng.integers(1, 4)))) + pick(["", "2", "3D", "V2", str(rng.integers(1, 99))]) + pick(["", "", "()", "(x)", ";"]), lambda: "_".join(plain(2) for _ in range(int(rng.integers(2, 5)))) + pick(["", f"_{rng.integers(1, 99)}", "_v2", "[0]"]), lambda: "_".join(plain(2).upper() for _ in range(2)) + f"_{rng.integers(1, 999)}",
+        lambda: f"{plain(1).upper()}{rng.integers(1, 99)}:c.{rng.integers(1, 9999)}{pick('ACGT')}>{pick('ACGT')}", lambda: f"rs{chars(num, 8)}", lambda: f"p.{pick(['Val', 'Glu', 'Arg'])}{rng.integers(10, 999)}{pick(['Lys', 'Ter', 'fs'])}", lambda: f"NM_{chars(num, 6)}.{rng.integers(1, 9)}", lambda: f"{plain(1).upper()}-{rng.integers(2, 9)}{pick('ABCDE')}{rng.integers(1, 99)}",
+        lambda: f"https://{plain()}.{pick(['com', 'io', 'net'])}/{plain()}?id={rng.integers(1, 99999)}&{plain(2)}={plain(2)}{rng.integers(1, 99)}", lambda: f"/{plain()}/{plain()}/{plain(2)}{rng.integers(1, 99)}.{pick(['py', 'tar.gz', 'so.1', 'json'])}", lambda: f"{plain()}-{rng.integers(0, 9)}.{rng.integers(0, 30)}.{rng.integers(0, 9)}-{pick(['cp313', 'x86_64', 'beta2', 'rc1'])}", lambda: ":".join(chars(hexa, 2) for _ in range(6)), lambda: "#" + chars(hexa, 6), lambda: "0x" + chars(hexa, int(rng.integers(2, 17))),
+        lambda: f"978-{rng.integers(0, 9)}-{chars(num, 4)}-{chars(num, 4)}-{rng.integers(0, 9)}", lambda: f"10.{rng.integers(1000, 9999)}/{plain(2)}.{rng.integers(1990, 2030)}.{chars(num, 5)}", lambda: f"{pick(['DE', 'FR', 'GB'])}{chars(num, 18)}", lambda: f"{pick(cap)}{pick(cap)}{chars(num, 2)}-{chars(cap + num, 4)}", lambda: f"sha256:{chars(hexa, 12)}", lambda: chars(hexa, 7), lambda: f"{plain(2)}{rng.integers(1, 99)}x{rng.integers(1, 99)}{plain(1)}", lambda: f"{rng.integers(1, 9)}{pick(['H2O', 'C6H12O6', 'NaHCO3', 'Fe2O3'])}",
+    ]
+
     def other() -> str:
         return pick([
             lambda: chars(num, int(rng.integers(1, 17))), lambda: f"{rng.integers(1, 29)}.{rng.integers(1, 13)}.{rng.integers(1900, 2030)}", lambda: f"{word().strip('.,;:!')}@{word().strip('.,;:!')}.com", lambda: f"{chars(low, int(rng.integers(3, 9)))}.{rng.integers(10, 99)}@mail{rng.integers(1, 9)}.example.com",
             lambda: f"https://{word().strip('.,;:!')}.org/{word().strip('.,;:!')}/{rng.integers(1, 999)}", lambda: f"+{rng.integers(1, 99)}-{rng.integers(100, 999)}-{rng.integers(1000, 9999)}", lambda: f"{rng.integers(1, 255)}.{rng.integers(1, 255)}.{rng.integers(1, 255)}.{rng.integers(1, 255)}",
             lambda: f"v{rng.integers(1, 9)}.{rng.integers(0, 20)}", lambda: "|", lambda: word() + pick(["***", "$$$", "%%%", "&&&", "###"]), lambda: pick(cap) + chars(num, 2), lambda: f"/{word().strip('.,;:!')}/{word().strip('.,;:!')}.txt", lambda: f"${rng.integers(1, 999)}.{rng.integers(10, 99)}",
+            *named,
             lambda: word().strip(".,;:!") + "-" + word(), lambda: f"{rng.integers(1, 12)}:{rng.integers(10, 59)}", lambda: "----------", lambda: "=", lambda: "<b>" + word() + "</b>", lambda: word().strip(".,;:!") + str(rng.integers(1, 99)),
         ])()
 
@@ -156,15 +183,18 @@ def _made_up(rng: np.random.Generator) -> list[tuple[str, list[int]]]:
                 tags.append(tag if tag == OUT or not i else INSIDE)
 
         noisy = rng.random() < 0.08  # every word with the same kind of marks
+        technical = rng.random() < 0.15  # full of identifiers, times and addresses
 
         def prose(n: int) -> None:
-            put([word() + pick(["***", "$$$", "%%%", "&&&", "###"]) for _ in range(n)] if noisy else [other() if rng.random() < 0.12 else word() for _ in range(n)])
+            put([word() + pick(["***", "$$$", "%%%", "&&&", "###"]) for _ in range(n)] if noisy else [other() if rng.random() < (0.6 if technical else 0.12) else word() for _ in range(n)])
 
         prose(int(rng.integers(0, 14)))
         kind = rng.random()
         quote = pick(["", "", '"', "'"])
         key = pick(KEYWORDS)
         key = key.capitalize() if rng.random() < 0.2 else key.upper() if rng.random() < 0.2 else key
+        owner = pick(["", "", "", plain(1) + pick(["_", "-", ""]), pick(["db", "user", "aws", "my"]) + pick(["_", ""])])
+        key = owner + (key.capitalize() if owner and owner[-1] not in "_-" else key)
         if kind < 0.25:
             put([key, pick(["=", ":", ":=", "is"])])
             put([quote + value() + quote + pick(["", ",", ";"])], BEGIN)
