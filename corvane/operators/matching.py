@@ -98,17 +98,20 @@ def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = N
     return first.select("url", "sentence_no", F.when(F.col("sentence_no") == 0, "title").otherwise("body").alias("section"), "sentence")
 
 
-def matches(split: DataFrame, terms: DataFrame, first_rows: DataFrame) -> DataFrame:
-    """Numbered matches of ``terms`` in ``sentences``: by the address's first input row, sentence,
-    name, category and place.  Places refer to the sentence's normal form."""
-    found = locate(split.withColumn("text", norm("sentence")), terms).drop("text", "term")
-    found = found.select("url", "sentence_no", "section", "category_id", F.col("name").alias("matched_name"), "sentence", F.col("start").alias("start_pos"), F.col("end").alias("end_pos")).distinct()
-    order = ["row_no", "sentence_no", "matched_name", "category_id", "start_pos", "end_pos"]
+def found(split: DataFrame, terms: DataFrame) -> DataFrame:
+    """Matches of ``terms`` in ``sentences``, each once; places refer to the sentence's normal form."""
+    rows = locate(split.withColumn("text", norm("sentence")), terms).drop("text", "term")
+    return rows.select("url", "sentence_no", "section", "category_id", F.col("name").alias("matched_name"), "sentence", F.col("start").alias("start_pos"), F.col("end").alias("end_pos")).distinct()
+
+
+def numbered(found: DataFrame, first_rows: DataFrame) -> DataFrame:
+    """``found`` with match_id: by the address's first input row, sentence, name, category and place."""
+    order = ["sentence_no", "matched_name", "category_id", "start_pos", "end_pos"]
     # numbers come from counts: of addresses in ranges of rows, then inside a range, so that no task
     # holds all matches or all addresses
     sizes = found.groupBy("url").count().join(first_rows, "url").withColumn("range", F.expr(f"row_no div {RANGE}"))
     before = lambda of, by, *within: F.sum(of).over(Window.partitionBy(*within).orderBy(by)) - F.col(of)
     ranges = sizes.groupBy("range").agg(F.sum("count").alias("held")).select("range", before("held", "range").alias("base_0"))
-    base = sizes.withColumn("base_1", before("count", "row_no", "range")).join(ranges, "range").select("url", "row_no", (F.col("base_0") + F.col("base_1")).alias("base"))
-    inside = F.row_number().over(Window.partitionBy("url").orderBy(*order[1:]))
-    return found.join(base, "url").withColumn("match_id", F.col("base") + inside).drop("base", "row_no")
+    base = sizes.withColumn("base_1", before("count", "row_no", "range")).join(ranges, "range").select("url", (F.col("base_0") + F.col("base_1")).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("url").orderBy(*order))
+    return found.join(base, "url").withColumn("match_id", F.col("base") + inside).drop("base")

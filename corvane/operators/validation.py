@@ -9,6 +9,16 @@ from ..functions.text import complete
 from .articles import FIELDS
 from .results import grouped
 
+#: What a row of a table must not be, by name: counted in one pass over it.
+ARTICLE_RULES = {"complete articles": lambda: ~complete(*(F.col(c) for c in FIELDS))}
+RESULT_RULES = {"codes": lambda: F.col("usage_code").isNull() | ~F.col("usage_code").isin(0, 1, 2)}
+
+
+def counted(rows: DataFrame, rules: dict) -> dict[str, int]:
+    """How many rows break each rule, those that any row breaks."""
+    found = rows.agg(*(F.count_if(rule()).alias(name) for name, rule in rules.items())).first()
+    return {name: n for name, n in found.asDict().items() if n}
+
 
 def not_equal(written: DataFrame, stored: DataFrame, ordinal: str = "n") -> DataFrame:
     """Ordinals at which a deliverable and the stored rows differ, nulls counting as empty."""
@@ -22,7 +32,7 @@ def not_equal(written: DataFrame, stored: DataFrame, ordinal: str = "n") -> Data
 
 
 def incomplete(articles: DataFrame) -> DataFrame:
-    return articles.filter(~complete(*(F.col(c) for c in FIELDS))).select("article_id")
+    return articles.filter(ARTICLE_RULES["complete articles"]()).select("article_id")
 
 
 def unknown_articles(results: DataFrame, articles: DataFrame) -> DataFrame:
@@ -30,7 +40,7 @@ def unknown_articles(results: DataFrame, articles: DataFrame) -> DataFrame:
 
 
 def bad_codes(results: DataFrame) -> DataFrame:
-    return results.filter(F.col("usage_code").isNull() | ~F.col("usage_code").isin(0, 1, 2)).select("article_id", "category_id")
+    return results.filter(RESULT_RULES["codes"]()).select("article_id", "category_id")
 
 
 def repeated_keys(results: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """From the public feed to the candidate articles that ``prepare`` reads.
 
-A dataset is a folder of tables, which may be any address that Spark writes to.  The feed is a folder
+A dataset is a store of tables, on any file system that Spark reaches.  The feed is a folder
 with ``events`` and ``mentions``, both partitioned by ``partition_day``.
 """
 
@@ -10,10 +10,11 @@ import json
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..operators import candidates
 from ..sources import files
+from ..sources.store import Store
 
 #: The conflicts under study by number, the countries of either side, and the period.
 CONFLICTS = (
@@ -55,28 +56,13 @@ class FeedConfig:
         return cls(value["feed"], value["dataset"], at.parent / value["input_csv"])
 
 
-class Dataset:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
-
-    def replace(self, name: str, rows: DataFrame) -> DataFrame:
-        """Creates a table or takes the place of the one there; nothing that it is made of is in it."""
-        rows.write.mode("overwrite").parquet(f"{self.folder}/{name}")
-        return self.read(name)
-
-
 def candidate_articles(spark: SparkSession, config: FeedConfig, conflicts: list[candidates.Conflict] | None = None) -> dict:
     """Writes ``candidates_raw``, ``candidate_urls`` and the export; returns their rows."""
     chosen = plan() if conflicts is None else conflicts
     countries = sorted({x for c in chosen for x in (*c.side_a, *c.side_b)})
-    feed, out = Dataset(spark, config.feed), Dataset(spark, config.dataset)
-    tagged = candidates.tag(candidates.events(feed.read("events"), countries), candidates.plan_table(spark, chosen))
-    raw = out.replace("candidates_raw", candidates.candidates_raw(tagged, candidates.mentions(feed.read("mentions"))))
-    urls = out.replace("candidate_urls", candidates.candidate_urls(raw))
+    feed, out = (lambda name: spark.read.parquet(f"{config.feed}/{name}")), Store(spark, config.dataset)
+    tagged = candidates.tag(candidates.events(feed("events"), countries), candidates.plan_table(spark, chosen))
+    raw = out.write("candidates_raw", candidates.candidates_raw(tagged, candidates.mentions(feed("mentions"))))
+    urls = out.write("candidate_urls", candidates.candidate_urls(raw))
     n = files.export_csv(candidates.in_export_order(candidates.article_export(urls)), config.export, files.INPUT_HEADER)
-    return {"candidates_raw": raw.count(), "candidate_urls": urls.count(), "file": files.file_info(config.export, n)}
+    return {"candidates_raw": raw.count(), "candidate_urls": urls.count(), "file": files.file_info(spark, config.export, n)}

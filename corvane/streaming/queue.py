@@ -15,7 +15,14 @@ from ..operators import acquire
 PAGES = "url string, domain string, status string, row_no long, expected_date string"
 
 
-def drain(spark: SparkSession, queue: str, out: str, checkpoint: str, fetch: Callable[[DataFrame], DataFrame] = acquire.fetch_all, files_per_batch: int = 1) -> None:
+def fetch_batch(batch: DataFrame) -> DataFrame:
+    """A batch fetched whole, its domains in turn; robots answers and pauses hold inside it."""
+    nothing = batch.sparkSession.createDataFrame([], "origin string, domain string, robots_at double, robots_status int, robots_body string, hit_at double")
+    n = batch.count()
+    return acquire.fetch_all(acquire.known(acquire.wave(batch, n, n), nothing))
+
+
+def drain(spark: SparkSession, queue: str, out: str, checkpoint: str, fetch: Callable[[DataFrame], DataFrame] = fetch_batch, files_per_batch: int = 1) -> None:
     """Fetches the pending pages of every snapshot file in ``queue`` that wasn't taken before."""
 
     def commit(batch: DataFrame, number: int) -> None:

@@ -243,3 +243,232 @@ def test_queries_equal_their_oracles(spark, name):
     assert sorted(got.columns) == sorted(want.columns)
     rows = sorted(map(str, want.project(", ".join(sorted(want.columns))).fetchall()))
     assert rows == sorted(str(tuple(r)) for r in got.select(*sorted(got.columns)).collect())
+
+
+# ---- work that survives a kill, and state that outlives a wave
+
+
+class _Killed(Exception):
+    pass
+
+
+def _requests(tmp_path):
+    """The requests of a ``_LoggedSite``, in order: time, address."""
+    lines = [line.split(" ", 1) for path in tmp_path.glob("requests-*") for line in path.read_text().splitlines()]
+    return sorted((float(at), url) for at, url in lines)
+
+
+def _logged_site(folder):
+    def make():
+        import os
+        import time
+
+        from corvane.operators.acquire import Response
+
+        class Logged:
+            def one(self, to):
+                with open(f"{folder}/requests-{os.getpid()}", "a") as file:
+                    file.write(f"{time.time()} {to.url}\n")
+                if to.url.endswith("/robots.txt"):
+                    return Response(to.url, 200, {}, b"User-agent: *\nDisallow: /private")
+                return Response(to.url, 200, {"content-type": "text/html"}, b"<title>t</title><p>" + b"word " * 100 + b"</p>")
+
+        return Logged()
+
+    return make
+
+
+def test_waves_take_domains_in_turn_and_remember(spark, tmp_path):
+    rows = [(f"a{i}", "c", "2024-01-02", f"https://{'large' if i < 30 else f'small{i % 3}'}.example/p/{i}", "t") for i in range(39)]
+    files.write_csv(tmp_path / "in.csv", files.INPUT_HEADER, rows)
+    work = Work(spark, Config(str(tmp_path / "in.csv"), str(tmp_path), str(tmp_path / "work"), 4))
+    work.prepare()
+    how = {"transport": _logged_site(str(tmp_path)), "partitions": 2, "aim": _aim(), "pause": 0.2}
+    assert work.collect(wave=12, each=4, limit=12, **how)["pages"] == {"extracted": 12, "pending": 27}
+    first = [url for _, url in _requests(tmp_path) if not url.endswith("robots.txt")]
+    assert len([u for u in first if "large" in u]) <= 4  # the large domain doesn't hold up the others
+    assert {u.split("/")[2] for u in first} == {"large.example", *(f"small{k}.example" for k in range(3))}
+    work = Work(spark, Config(str(tmp_path / "in.csv"), str(tmp_path), str(tmp_path / "work"), 4))  # another run
+    assert work.collect(wave=12, each=8, **how)["collection_complete"]
+    seen = _requests(tmp_path)
+    asked = [url for _, url in seen if url.endswith("robots.txt")]
+    assert len(asked) == len(set(asked)) == 4  # once an origin, over all waves and both runs
+    for domain in {url.split("/")[2] for _, url in seen}:
+        times = [at for at, url in seen if domain in url and not url.endswith("robots.txt")]
+        assert len(times) == (30 if domain == "large.example" else 3)
+        assert all(b - a >= 0.19 for a, b in zip(times, times[1:]))
+
+
+def test_hot_domain_gives_a_wave_few_pages(spark):
+    rows = [(f"https://hot.example/{i}", "hot", i) for i in range(10_000)] + [(f"https://d{i}.example/", f"d{i}", 10_000 + i) for i in range(50)]
+    got = acquire.wave(spark.createDataFrame(rows, "url string, domain string, row_no long"), 60, 20).groupBy("domain").count().collect()
+    counts = {r["domain"]: r["count"] for r in got}
+    assert len(counts) == 51 and counts["hot"] == 10 and set(counts.values()) == {1, 10}
+
+
+def test_date_mismatch_keeps_its_text(spark):
+    class Old:
+        def one(self, to):
+            if to.url.endswith("/robots.txt"):
+                return acquire.Response(to.url, 404, {}, b"")
+            return acquire.Response(to.url, 200, {"content-type": "text/html"}, b"<title>t</title><meta name='date' content='2020-01-01'><p>" + b"word " * 100 + b"</p>")
+
+    queue = spark.createDataFrame([("https://a.example/1", "a.example", "2024-01-02", 1)], "url string, domain string, expected_date string, row_no long")
+    nothing = spark.createDataFrame([], "origin string, domain string, robots_at double, robots_status int, robots_body string, hit_at double")
+    row = acquire.fetch_all(acquire.known(acquire.wave(queue, 9, 9), nothing), Old, 1, aim=_aim()).first()
+    assert (row["status"], row["error"], row["title"]) == ("article_date_mismatch", "input_date=2024-01-02;extracted_date=2020-01-01", "t")
+    assert row["body"].startswith("word word")
+
+
+def _matched(tmp_path, spark, name):
+    folder = tmp_path / name
+    rows = [(f"a{i}", f"c{i % 2}", "2024-01-02", f"https://d{i % 5}.example/{i}", "t") for i in range(40)]
+    files.write_csv(folder / "in.csv", files.INPUT_HEADER, rows)
+    files.write_csv(folder / "sipri_dictionary.csv", ["wp_name", "category_id"], [("F-16", "W05"), ("Lancer", "W05")])
+    files.write_csv(folder / "nato_dictionary.csv", ["tech_name", "category_id"], [("drone swarm", "T01")])
+    files.write_csv(folder / "usage_patterns.csv", ["pattern_id", "base_form", "trans_form"], [("P1", "used", "")])
+    work = Work(spark, Config(str(folder / "in.csv"), str(folder), str(folder / "work"), 8))
+    work.run("prepare")
+    from pyspark.sql import functions as F
+
+    body = F.concat(F.lit("The army used the F-16 aircraft. A drone swarm was used in "), "row_no", F.lit(" places. The Lancer flew."))
+    pages = work.read("pages").withColumns({"status": F.lit("extracted"), "title": F.lit("An F-16"), "body": body})
+    work.store.write("pages", pages, "bucket")
+    work.manifest.put("collect", {"collection_complete": True})
+    return work
+
+
+def test_matching_and_classifying_go_on_after_a_kill(spark, tmp_path, monkeypatch):
+    whole = _matched(tmp_path, spark, "whole")
+    broken = _matched(tmp_path, spark, "broken")
+    for work in (whole, broken):
+        if work is broken:
+            for stage, table, done in (("match", "matched_pages", "found"), ("classify", "decided", "decided")):
+                if stage == "classify":
+                    work.run("articles")
+                fill, calls = work.store.fill, []
+
+                def dying(name, rows, by, fill=fill, calls=calls, table=table):
+                    calls.append(name)
+                    if calls.count(table) == 3:
+                        raise _Killed
+                    fill(name, rows, by)
+
+                monkeypatch.setattr(work.store, "fill", dying)
+                with pytest.raises(_Killed):
+                    work.run(stage, together=2)
+                monkeypatch.setattr(work.store, "fill", fill)
+                before = {x: work.store.names(f"open/{table}/{x}") for x in work.store.names(f"open/{table}") if "=" in x}
+                assert len(before) == 4
+                with pytest.raises(InputError):
+                    work.run("collect")
+                work.run(stage, together=2)
+                after = {x: work.store.names(f"open/{table}/{x}") for x in work.store.names(f"open/{table}") if "=" in x}
+                assert len(after) > 4 and all(after[k] == v for k, v in before.items())  # what was done wasn't written again
+        else:
+            for stage in ("match", "articles", "classify"):
+                work.run(stage)
+    for table in ("matches", "decisions"):
+        rows = [sorted(map(str, work.read(table).select(sorted(work.read(table).columns)).collect())) for work in (whole, broken)]
+        assert rows[0] == rows[1] and rows[0]
+
+
+def test_tables_change_as_a_whole(spark, tmp_path, monkeypatch):
+    from corvane.sources.store import Store, Taken
+
+    store = Store(spark, str(tmp_path / "s"))
+    store.make()
+    store.write("t", spark.range(3))
+    for name in ("put", "rename"):
+        with monkeypatch.context() as m:
+            m.setattr(store, name, lambda *args, **how: (_ for _ in ()).throw(_Killed))
+            with pytest.raises(_Killed):
+                store.write("t", spark.range(5))
+        assert store.read("t").count() == 3
+    store.write("t", store.read("t").filter("id > 0"))  # made of itself
+    assert sorted(r["id"] for r in store.read("t").collect()) == [1, 2]
+    with pytest.raises(Taken):
+        store.write("t", spark.range(1), new=True)
+    with pytest.raises(Taken):
+        store.put("t.table", "x", new=True)
+    assert len(store.names("tables/t")) <= 3
+
+
+def test_second_prepare_is_refused(spark, tmp_path, monkeypatch):
+    work = _work(tmp_path, spark)
+    with monkeypatch.context() as m:  # killed before the last table
+        m.setattr(work, "_write_pages", lambda *args, **how: (_ for _ in ()).throw(_Killed))
+        with pytest.raises(_Killed):
+            work.prepare()
+    work.prepare()
+    with pytest.raises(InputError, match="already"):
+        work.prepare()
+    value = work.manifest.values | {"codes": "used 1"}
+    work.store.put("manifest.json", json.dumps(value))
+    with pytest.raises(InputError, match="codes"):
+        Work(spark, work.config)
+
+
+@settings(max_examples=12, deadline=None, derandomize=True)
+@given(st.lists(st.tuples(*[st.text(alphabet="ab,\"\n\r é\t", max_size=7)] * 4), min_size=1, max_size=30), st.integers(1, 60))
+def test_split_csv_equals_one_reader(spark, tmp_path_factory, rows, size):
+    """Quoted values with line ends, cut into splits of a few bytes anywhere."""
+    path = tmp_path_factory.mktemp("csv") / "in.csv"
+    files.write_csv(path, files.INPUT_HEADER, [(f"i{k}", *row) for k, row in enumerate(rows)])
+    keys = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "64"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        got = sorted(tuple(r) for r in files.read_candidates(spark, str(path)).collect())
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+    assert got == [(k + 1, f"i{k}", *row) for k, row in enumerate(rows)]
+
+
+def test_split_csv_refuses(spark, tmp_path):
+    head = ",".join(files.INPUT_HEADER)
+    for k, text in enumerate([f"{head}\n1,a,b,c\n", f'{head}\n1,a,"b,c,d\n2,a,b,c,d\n', f'{head}\n1,a,"b"x,c,d\n', f"{head},x\n1,a,b,c,d,e\n"]):
+        (tmp_path / f"{k}.csv").write_text(text)
+        with pytest.raises(Exception):  # noqa: B017
+            files.read_candidates(spark, str(tmp_path / f"{k}.csv")).count()
+    (tmp_path / "blank.csv").write_text(f"﻿{head}\r\n\r\n1,a,b,c,d\r\n\n2,,,,", encoding="utf-8")
+    assert [tuple(r) for r in files.read_candidates(spark, str(tmp_path / "blank.csv")).orderBy("row_no").collect()] == [(1, "1", "a", "b", "c", "d"), (2, "2", "", "", "", "")]
+
+
+def test_export_equals_the_plain_writer(spark, tmp_path):
+    rows = [(k, x, None if k % 3 else "y", k / 4) for k, x in enumerate(["plain", 'a "q"', "a,b", "l\nm", "l\r\nm", "", " s ", None, "é漢", "'"] * 20)]
+    frame = spark.createDataFrame(rows, "a long, b string, c string, d double").repartition(5)
+    n = files.export_csv(frame.orderBy("a"), tmp_path / "out/spark.csv", list("abcd"))
+    files.write_csv(tmp_path / "plain.csv", list("abcd"), rows)
+    assert n == len(rows) and (tmp_path / "out/spark.csv").read_bytes() == (tmp_path / "plain.csv").read_bytes()
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["spark.csv"]
+    assert files.file_info(spark, tmp_path / "plain.csv", n)["sha256"] == files.digest(spark, str(tmp_path / "out/spark.csv"))
+
+
+def test_scan_equals_a_search_at_every_place(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from corvane.functions.text import bounded
+
+    rng = random.Random(1)
+    make = lambda n: "".join(rng.choice("ab-'_ (+)/é漢1 .") for _ in range(n))
+    terms = sorted({make(rng.randint(1, 6)) for _ in range(120)} | {"aa aa", "a a", "(a)", "+", "+(", "a+b"})
+    texts = [make(rng.randint(0, 40)) for _ in range(300)] + ["aa aa aa aa", "x(a)", "(a)", "(a)(a)", "+", "a+", "+(+(", "a+b+b"]
+    token = lambda c: c.isalnum() or c in "_'-"
+    want = set()
+    for i, text in enumerate(texts):
+        for term in terms:
+            at = text.find(term)
+            while at >= 0:
+                end = at + len(term)
+                if not (at and token(text[at - 1])) and not (end < len(text) and token(text[end])):
+                    want.add((i, term, at, end))
+                at = text.find(term, at + 1)
+    a, b = spark.createDataFrame(list(enumerate(texts)), "i int, text string"), spark.createDataFrame([(x,) for x in terms], "term string")
+    got = [tuple(r) for r in matching.locate(a, b).select("i", "term", "start", "end").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    pairs = a.join(b, F.col("text").contains(F.col("term")))
+    assert {tuple(r) for r in pairs.filter(bounded(F.col("text"), F.col("term"))).select("i", "term").collect()} == {x[:2] for x in want}
