@@ -74,11 +74,16 @@ def tag_by_sides(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(plan), on(F.col("side_a"), F.col("side_b")) | on(F.col("side_b"), F.col("side_a"))).drop("side_a", "side_b")
 
 
-def candidates_raw(tagged: DataFrame, mentioned: DataFrame) -> DataFrame:
-    """Distinct event-mention rows."""
+def paired(tagged: DataFrame, mentioned: DataFrame) -> DataFrame:
+    """Event-mention rows, as often as the feed has them."""
     rows = tagged.join(mentioned, "GLOBALEVENTID")
     names = {"MentionIdentifier": "source_url", "MentionSourceName": "source_name", "MentionTimeDate": "gdelt_mention_time", "Confidence": "extraction_confidence", "MentionDocTranslationInfo": "translation_info"}
-    return rows.select("batch_id", "candidate_conflict_id", *EVENT_COLUMNS, *(F.col(c).alias(names.get(c, c)) for c in MENTION_COLUMNS[1:])).distinct()
+    return rows.select("batch_id", "candidate_conflict_id", *EVENT_COLUMNS, *(F.col(c).alias(names.get(c, c)) for c in MENTION_COLUMNS[1:]))
+
+
+def candidates_raw(tagged: DataFrame, mentioned: DataFrame) -> DataFrame:
+    """Distinct event-mention rows."""
+    return paired(tagged, mentioned).distinct()
 
 
 KEY = ["candidate_conflict_id", "source_url"]
@@ -113,7 +118,26 @@ def top_locations(counts: DataFrame) -> DataFrame:
 
 
 def candidate_urls(raw: DataFrame) -> DataFrame:
-    return url_summary(raw).join(top_locations(location_counts(raw)), KEY)
+    """``url_summary`` and ``top_locations`` of each address, whether ``raw`` repeats rows or not.
+
+    Rows are rolled up by event, then by location, then by address, each time combined before
+    they are shuffled, so all of ``raw`` is shuffled once and an address with very many rows is spread
+    over its events.  An event counts for each of its locations, and once for the address: with its first one.
+    """
+    least = {"source_name": "source_name", "first_mention_time": "gdelt_mention_time", "first_event_date": "SQLDATE"}
+    most = {"last_event_date": "SQLDATE", "max_confidence": "extraction_confidence", "translated": "translated"}
+    both = lambda names: [*(F.min(names.get(c, c)).alias(c) for c in least), *(F.max(names.get(c, c)).alias(c) for c in most)]
+    place = F.struct(*(F.col(a).alias(b) for a, b in GEO.items())).alias("place")
+    rows = raw.withColumn("translated", F.coalesce(F.col("translation_info"), F.lit("")) != "")
+    events = rows.groupBy(*KEY, "GLOBALEVENTID").agg(*both(least | most), F.collect_set("EventRootCode").alias("roots"), F.collect_set(F.struct(place, F.col("SQLDATE").alias("day"))).alias("seen"))
+    days = lambda g: F.array_min(F.transform(F.filter("seen", lambda x: x["place"].eqNullSafe(g)), lambda x: x["day"]))
+    places = F.transform(F.array_distinct(F.transform("seen", lambda x: x["place"])), lambda g: F.struct(g.alias("place"), days(g).alias("day")))
+    located = events.select(*KEY, *least, *most, "roots", F.posexplode(places).alias("nth", "p")).select("*", "p.place", "p.day")
+    roots = F.array_distinct(F.flatten(F.collect_set("roots"))).alias("roots")  # sets of a few codes
+    located = located.groupBy(*KEY, "place").agg(*both({}), roots, F.count("*").alias("n"), F.count_if(F.col("nth") == 0).alias("events"), F.min("day").alias("first_day"))
+    order = F.struct(F.col("place.geo_lat").isNull(), -F.col("n"), F.col("first_day"), "place")
+    best = located.groupBy(*KEY).agg(*both({}), roots, F.sum("events").alias("event_count"), F.min_by("place", order).alias("g"), F.count("*").alias("location_count"))
+    return best.select(*KEY, "source_name", "first_mention_time", "first_event_date", "last_event_date", "event_count", F.array_join(F.array_sort("roots"), ",").alias("root_codes"), "max_confidence", "translated", "g.*", "location_count")
 
 
 def article_export(urls: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def top_location(spark, sf_dir):
 
 @query(_URLS)
 def candidate_urls(spark, sf_dir):
-    return candidates.candidate_urls(candidates_raw(spark, sf_dir))
+    return candidates.candidate_urls(candidates.paired(dyad_tag_equi(spark, sf_dir), mention_filter(spark, sf_dir)))
 
 
 @query(_EXPORT)
