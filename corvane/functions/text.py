@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -76,29 +75,3 @@ def phrases(form: Column) -> Column:
 def clauses(text: Column) -> Column:
     """Parts between semicolons and the words but, whereas and while; blanks around them stay."""
     return F.split(text, r"(?U);|\bbut\b|\bwhereas\b|\bwhile\b")
-
-
-_SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[A-Z0-9À-ÖØ-Þ])")
-#: Words after which a full stop seldom ends a sentence.
-_SHORT = re.compile(r"(?:\b(?:Mr|Mrs|Ms|Dr|Prof|Gen|Col|Lt|Sgt|Capt|Maj|Sen|Rep|Gov|St|No|vs|etc|Inc|Ltd|Co|Jr|Sr|U\.S|U\.K|e\.g|i\.e|a\.m|p\.m)\.|\b[A-Z]\.)$")
-
-
-def split_sentences(line: str) -> list[str]:
-    """Sentences of one line by rule; another segmenter can be passed wherever this one is used."""
-    out, start = [], 0
-    for m in _SENTENCE.finditer(line):
-        if not _SHORT.search(line[start : m.start()]):
-            out.append(line[start : m.start()].strip())
-            start = m.end()
-    out.append(line[start:].strip())
-    return [x for x in out if x]
-
-
-def best_segmenter():
-    """pysbd for English where it is installed, else ``split_sentences``."""
-    try:
-        import pysbd
-    except ImportError:
-        return split_sentences
-    segment = pysbd.Segmenter(language="en", clean=False).segment
-    return lambda line: [x.strip() for x in segment(line) if x.strip()]

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import GAP, LINE_BREAK, TOKEN, best_segmenter, norm
+from ..functions import segment
+from ..functions.text import GAP, LINE_BREAK, TOKEN, norm
 
 
 #: Input rows of a range in which addresses are numbered together.
@@ -84,12 +85,13 @@ def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = N
     """url, sentence_no, section and sentence: the title, then the body's sentences, each text once.
 
     Numbers count repeated sentences, of which the first stays; a body sentence equal to the
-    title belongs to the title.
+    title belongs to the title.  The segmenter cuts one line; without one the rules of
+    ``segment`` hold, on every machine.
     """
 
     @F.pandas_udf("array<string>")
     def cut(lines: pd.Series) -> pd.Series:
-        split = segmenter or best_segmenter()
+        split = segmenter or segment.sentences
         return lines.map(lambda own: [s for line in own if line.strip() for s in split(line)])
 
     body = cut(F.split(F.coalesce("body", F.lit("")), LINE_BREAK))
