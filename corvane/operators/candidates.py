@@ -69,9 +69,11 @@ def tag(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def tag_by_sides(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """``tag`` as it is worded: a nested-loop join, kept to compare."""
-    on = lambda a, b: F.array_contains(a, F.col("Actor1CountryCode")) & F.array_contains(b, F.col("Actor2CountryCode"))
-    return rows.join(F.broadcast(plan), on(F.col("side_a"), F.col("side_b")) | on(F.col("side_b"), F.col("side_a"))).drop("side_a", "side_b")
+    """``tag`` by the sides themselves: the first actor finds the conflicts it has a side in, and the
+    second one must be among those on the other."""
+    own = lambda a, b: plan.select("batch_id", "candidate_conflict_id", F.explode(a).alias("one"), F.col(b).alias("others"))
+    against = own("side_a", "side_b").union(own("side_b", "side_a")).groupBy("batch_id", "candidate_conflict_id", "one").agg(F.flatten(F.collect_list("others")).alias("others"))
+    return rows.join(F.broadcast(against), F.col("Actor1CountryCode") == F.col("one")).filter(F.array_contains("others", F.col("Actor2CountryCode"))).drop("one", "others")
 
 
 def paired(tagged: DataFrame, mentioned: DataFrame) -> DataFrame:

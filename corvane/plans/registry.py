@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..functions.text import clauses, norm, norm_ascii, phrases
+from ..functions.text import clauses, norm, norm_ascii
 from ..operators import acquire, articles, candidates, ingest, matching, results, rules, validation
+from ..sources import files
+from ..sources.store import scratch
 from .standins import COUNTRIES, PLAN, frame, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,9 +126,13 @@ _LADDER = f"""SELECT page_id, CASE WHEN http_status IS NULL THEN 'fetch_error' W
     WHEN regexp_matches(title, '{acquire.CHALLENGE}') THEN 'access_challenge' WHEN length(body) < 400 THEN 'short_or_partial' ELSE 'extracted' END AS status FROM {sql("feed_fetched")}"""
 
 
-@query(f"SELECT row_no, article_id, conflict_id, published_date, url, title FROM {_INPUTS}")
+@query(f"SELECT row_number() OVER (ORDER BY row_no) AS row_no, article_id, conflict_id, published_date, url, title FROM {_INPUTS}")
 def ingest_rows(spark, sf_dir):
-    return frame(spark, sf_dir, "feed_inputs").select(*ingest.INPUT)
+    """Written as a candidate list, in order, and read back."""
+    path = f"{scratch(spark)}/inputs.csv"
+    rows = frame(spark, sf_dir, "feed_inputs")
+    files.export_csv(rows.orderBy("row_no").select("article_id", "conflict_id", "published_date", "url", "title"), path, files.INPUT_HEADER)
+    return files.read_candidates(spark, path).select(*ingest.INPUT)
 
 
 @query(_PAGES)
@@ -175,13 +181,7 @@ def challenge_title(spark, sf_dir):
     return frame(spark, sf_dir, "feed_fetched").filter(F.col("title").rlike(acquire.CHALLENGE)).select("page_id")
 
 
-@query("SELECT page_id, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)) AS title FROM pages")
-def html_title_extract(spark, sf_dir):
-    return frame(spark, sf_dir, "pages").select("page_id", F.trim(F.regexp_extract("html", r"(?is)<title[^>]*>([^<]*)</title>", 1)).alias("title"))
-
-
-@query()
-def html_text_extract(spark, sf_dir):
+def _extracted(spark, sf_dir):
     @F.pandas_udf("title string, date string, text string")
     def read(html):
         import pandas as pd
@@ -189,7 +189,17 @@ def html_text_extract(spark, sf_dir):
         got = [acquire.extract(x or "") or {} for x in html]
         return pd.DataFrame({k: [g.get(k) for g in got] for k in ("title", "date", "text")})
 
-    return frame(spark, sf_dir, "pages").select("page_id", read("html").alias("r")).select("page_id", "r.title", F.char_length("r.text").alias("n_chars"))
+    return frame(spark, sf_dir, "pages").select("page_id", read("html").alias("r")).select("page_id", "r.*")
+
+
+@query("SELECT page_id, trim(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS title FROM pages")
+def html_title_extract(spark, sf_dir):
+    return _extracted(spark, sf_dir).select("page_id", "title")
+
+
+@query()
+def html_text_extract(spark, sf_dir):
+    return _extracted(spark, sf_dir).select("page_id", "title", F.char_length("text").alias("n_chars"))
 
 
 # ---- text
@@ -208,10 +218,22 @@ def text_norm_whole(spark, sf_dir):
     return frame(spark, sf_dir, "documents").select("doc_id", norm(F.col("text")).alias("plain"))
 
 
-@query(r"SELECT doc_id, min(sentence_no) AS sentence_no, sentence FROM (SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) - 1 AS sentence_no FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE trim(sentence) <> '' GROUP BY 1, 3")
+def _sentences(spark, sf_dir, segmenter=None):
+    pages = frame(spark, sf_dir, "documents").select(F.col("doc_id").alias("url"), F.lit("").alias("title"), F.col("text").alias("body"))
+    return matching.sentences(pages, segmenter).filter("sentence <> ''").select(F.col("url").alias("doc_id"), "sentence_no", "sentence")
+
+
+@query(r"""SELECT doc_id, min(sentence_no)::int AS sentence_no, sentence FROM (SELECT doc_id, sentence, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS sentence_no FROM
+    (SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS k FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE regexp_matches(sentence, '[^\s]')) GROUP BY 1, 3""")
 def sentence_split(spark, sf_dir):
-    lines = frame(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("sentence_no", "sentence")).filter(F.trim("sentence") != "")
-    return lines.groupBy("doc_id", "sentence").agg(F.min("sentence_no").alias("sentence_no"))
+    """With each line as one sentence, which SQL can say."""
+    return _sentences(spark, sf_dir, lambda line: [line])
+
+
+@query()
+def sentence_segment(spark, sf_dir):
+    """By the rules for sentences, which SQL can't express."""
+    return _sentences(spark, sf_dir)
 
 
 _SENTENCES, _TERMS = sql("feed_sentences"), sql("feed_terms")
@@ -265,7 +287,7 @@ _PAGE = f"(SELECT url, title AS page_title FROM {sql('feed_fetched')} WHERE foun
 _TITLED = f"SELECT row_no, article_id, conflict_id, published_date, url, CASE WHEN trim(coalesce(page_title, '')) <> '' THEN page_title ELSE title END AS title FROM {_INPUTS} JOIN {_PAGE} USING (url)"
 _NORMAL = r"""concat(lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*:)?', 1)), lower(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)?', 1)), regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1), CASE WHEN regexp_extract(u, '\?([^#]*)', 1) <> '' THEN '?' || regexp_extract(u, '\?([^#]*)', 1) ELSE '' END)"""
 _KEYED = f"""SELECT *, row_number() OVER w AS nth, first(article_id) OVER w AS kept FROM (SELECT *, trim(published_date) <> '' AS whole, {_NORMAL} AS key_url FROM (SELECT *, replace(url, chr(92), '/') AS u FROM ({_TITLED})))
-    WINDOW w AS (PARTITION BY whole, conflict_id, key_url, title, url_class ORDER BY row_no)""".replace("AS key_url FROM", "AS key_url, url AS url_class FROM")
+    WINDOW w AS (PARTITION BY whole, conflict_id, key_url, title, url_class ORDER BY row_no)""".replace("AS key_url FROM", "AS key_url, length(url) % 3 AS url_class FROM")
 _JUDGED = f"""SELECT row_no, article_id, CASE WHEN NOT whole THEN 'missing_required_article_field' WHEN nth > 1 THEN 'same_normalized_url_conflict_title_matching_content' END AS reason, CASE WHEN whole AND nth > 1 THEN kept END AS retained_article_id FROM ({_KEYED})"""
 
 
@@ -274,8 +296,8 @@ def _page_table(spark, sf_dir):
 
 
 def _page_matches(spark, sf_dir):
-    """Every page with one match of its own, so that the signature follows the address."""
-    return _page_table(spark, sf_dir).select("url", F.lit("W01").alias("category_id"), F.lit("x").alias("matched_name"), F.col("url").alias("sentence"))
+    """Every page with one match; pages share it, and so their signature, by the length of their address."""
+    return _page_table(spark, sf_dir).select("url", F.lit("W01").alias("category_id"), F.lit("x").alias("matched_name"), (F.char_length("url") % 3).cast("string").alias("sentence"))
 
 
 def _judged(spark, sf_dir):
@@ -292,9 +314,15 @@ def missing_exclusions(spark, sf_dir):
     return articles.exclusions(_judged(spark, sf_dir)).filter("reason = 'missing_required_article_field'").select("row_no", "article_id")
 
 
-@query(f"SELECT n_pages, count(*) AS signatures FROM (SELECT s, count(*) AS n_pages FROM (SELECT url, string_agg(DISTINCT concat(category_id, '|', matched_name, '|', sentence), chr(10) ORDER BY concat(category_id, '|', matched_name, '|', sentence)) AS s FROM ({_MATCHES}) GROUP BY url) GROUP BY s) GROUP BY 1")
+_TWICE = f"SELECT * FROM ({_MATCHES}) UNION ALL SELECT * REPLACE (concat(url, '/again') AS url) FROM ({_MATCHES}) WHERE NOT regexp_matches(url, '[13579][.]')"
+
+
+@query(f"SELECT n_pages, count(*) AS signatures FROM (SELECT s, count(*) AS n_pages FROM (SELECT url, string_agg(DISTINCT concat(category_id, '|', matched_name, '|', sentence), chr(10) ORDER BY concat(category_id, '|', matched_name, '|', sentence)) AS s FROM ({_TWICE}) GROUP BY url) GROUP BY s) GROUP BY 1")
 def match_signature(spark, sf_dir):
-    return articles.signatures(_found(spark, sf_dir)).groupBy("signature").agg(F.count("*").alias("n_pages")).groupBy("n_pages").agg(F.count("*").alias("signatures"))
+    """Every second site's pages are there twice, under another address with the same matches."""
+    found = _found(spark, sf_dir)
+    again = found.filter(~F.col("url").rlike("[13579][.]")).withColumn("url", F.concat("url", F.lit("/again")))
+    return articles.signatures(found.union(again)).groupBy("signature").agg(F.count("*").alias("n_pages")).groupBy("n_pages").agg(F.count("*").alias("signatures"))
 
 
 @query(f"SELECT row_no, article_id FROM ({_JUDGED}) WHERE reason IS NULL")
@@ -316,7 +344,8 @@ def url_normalize(spark, sf_dir):
 
 _USAGE = sql("feed_usage")
 _FORMS = f"SELECT pattern_id, base_form, raw FROM (SELECT pattern_id, base_form, base_form AS raw FROM {_USAGE} UNION ALL SELECT pattern_id, base_form, trans_form FROM {_USAGE}) WHERE coalesce(raw, '') <> ''"
-_PHRASES = rf"""SELECT DISTINCT pattern_id, base_form, lower(trim(phrase)) AS phrase FROM (SELECT pattern_id, base_form, raw AS phrase FROM ({_FORMS}) UNION ALL
+_of_parts = lambda text: text.replace(_USAGE, sql("feed_forms"))  # noqa: E731  the same over the forms made of part names
+_PHRASES = rf"""SELECT DISTINCT pattern_id, base_form, lower(trim(regexp_replace(phrase, '\s+', ' ', 'g'))) AS phrase FROM (SELECT pattern_id, base_form, raw AS phrase FROM ({_FORMS}) UNION ALL
     SELECT pattern_id, base_form, unnest(string_split_regex(trim(regexp_replace(raw, '\([^)]*\)', '', 'g')), '\s+/\s+')) FROM ({_FORMS})) WHERE trim(phrase) <> ''"""
 _QUOTED = lambda xs: ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
 _ANY = lambda xs, tail="": r"\b(?:" + "|".join(x.replace("'", "''") for x in xs) + ")" + tail + r"\b"
@@ -356,15 +385,14 @@ def _decided(spark, sf_dir):
     return rules.decide(_numbered(spark, sf_dir), _usage(spark, sf_dir))
 
 
-@query(f"SELECT pattern_id, phrase FROM ({_PHRASES})")
+@query(_of_parts(f"SELECT DISTINCT pattern_id, phrase FROM ({_PHRASES})"))
 def pattern_expand(spark, sf_dir):
-    usage = frame(spark, sf_dir, "feed_usage").select("pattern_id", F.explode(F.array("base_form", "trans_form")).alias("raw")).filter("coalesce(raw, '') <> ''")
-    return usage.select("pattern_id", F.explode(phrases(F.col("raw"))).alias("phrase")).select("pattern_id", norm_ascii(F.col("phrase")).alias("phrase")).distinct()
+    return rules.patterns(frame(spark, sf_dir, "feed_forms")).select("pattern_id", "phrase").distinct()
 
 
-@query(f"SELECT pattern_id, phrase, max(code) AS code FROM ({_LABELS}) GROUP BY 1, 2")
+@query(_of_parts(f"SELECT pattern_id, phrase, max(code) AS code FROM ({_LABELS}) GROUP BY 1, 2"))
 def pattern_label(spark, sf_dir):
-    return _usage(spark, sf_dir).groupBy("pattern_id", "phrase").agg(F.max("code").alias("code"))
+    return rules.patterns(frame(spark, sf_dir, "feed_forms")).groupBy("pattern_id", "phrase").agg(F.max("code").alias("code"))
 
 
 @query(_CLAUSES)

@@ -66,6 +66,12 @@ STAND_INS = {
                       CASE event_id % 4 WHEN 0 THEN ' missile system.' WHEN 1 THEN '; but the helicopter used it' WHEN 2 THEN ' aircraft while ships waited' ELSE ' yesterday.' END) AS sentence
         FROM events""",
     "feed_terms": " UNION ALL ".join(f"SELECT '{x.lower()}' AS term, '{x}' AS name, '{'T01' if i == 5 else f'W0{2 + i % 6}'}' AS category_id" for i, x in enumerate(_NAMES)),
+    # usage forms as a dictionary has them, from the names of parts: alternatives, remarks, none
+    "feed_forms": f"""
+        SELECT concat('P', cast(p_partkey AS varchar(19))) AS pattern_id,
+               CASE p_partkey % 6 {" ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(("can be used", "crashed", "(military) exercise / drill", "claimed")))} ELSE concat(p_name, ' may ', lower(p_type)) END AS base_form,
+               CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 7 = 1 THEN '' ELSE concat(p_name, ' (', p_brand, ') / ', p_type, ' /  ', p_brand) END AS trans_form
+        FROM part""",
     "feed_usage": " UNION ALL ".join(f"SELECT '{p}' AS pattern_id, '{b}' AS base_form, {t} AS trans_form" for p, b, t in (("P1", "used", "'use / employs'"), ("P2", "launched", "''"), ("P3", "can be used", "NULL"), ("P4", "crashed", "'crash (into)'"), ("P5", "fired", "'may fire'"), ("P6", "(military) exercise / drill", "'training exercise'"))),
 }
 

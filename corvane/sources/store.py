@@ -8,6 +8,7 @@ version before stays, for plans that still read it.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,3 +136,19 @@ class Store:
         if not any("=" in x for x in self.names(f"open/{table}")):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.open_part(table))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that goes when the JVM ends, in ``spark.checkpoint.dir``, which all machines share.
+
+    Where the session names none, it is a local one, which only a local master may use.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.gettempdir()
+    store = Store(spark, f"{shared}/corvane-{uuid.uuid4().hex}")
+    store.make()
+    store._fs.deleteOnExit(store._root)
+    return store.folder
