@@ -186,7 +186,8 @@ def log_likelihood(block: t.Block, net: Network, of: np.ndarray, share: np.ndarr
         at = np.arange(a, min(a + (1 << 15), len(ids)))
         own = ids[at]
         scores[at] = net.log_probabilities(net.hidden(_context(words, ids, at)))[np.arange(len(at)), of[own]] + share[own]
-    return np.diff(words.at), np.bincount(words.doc, weights=scores, minlength=block.rows)
+    # of no words at all, bincount gives integers
+    return np.diff(words.at), np.bincount(words.doc, weights=scores, minlength=block.rows).astype(np.float64)
 
 
 @tidy

@@ -46,14 +46,11 @@ def _odd_rows(spark, texts, parts=4):
     return spark.createDataFrame(rows, CLASHING).repartition(parts)
 
 
-@pytest.mark.parametrize(("parts", "bucket", "chunk"), [(1, 4 << 20, 4 << 20), (5, 2_000, 3_000)])
-def test_substrings_equal_brute_force(spark, monkeypatch, parts, bucket, chunk):
-    """In one bucket, and in many buckets from many chunks with frequent runs."""
+@pytest.mark.parametrize(("parts", "bucket", "common"), [(1, 4 << 20, 64), (1, 2_000, 4), (5, 2_000, 64)])
+def test_substrings_equal_brute_force(spark, monkeypatch, parts, bucket, common):
+    """In one bucket, and in many buckets, with frequent runs and from many tasks."""
     monkeypatch.setattr(substrings, "BUCKET", bucket)
-    monkeypatch.setattr(substrings, "CHUNK", chunk)
-    if parts > 1:
-        monkeypatch.setattr(substrings, "OFTEN", 2)
-        monkeypatch.setattr(substrings, "COMMON", 4)
+    monkeypatch.setattr(substrings, "COMMON", common)
     texts = _passages()
     got = {r["doc_id"]: r for r in substrings.without_repeats(_odd_rows(spark, texts, parts)).collect()}
     assert len(got) == len(texts)
@@ -385,3 +382,135 @@ def test_ids_that_two_bytes_cannot_hold(spark):
     docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     with pytest.raises(Exception, match="over 65535"):
         order.in_training_order(docs, end=1 << 16).count()
+
+
+def _plain_matches(template, text):
+    """Words matched by the best local alignment without a band, most of them among equal scores."""
+    from corvane.llm.licenses import GAP, MATCH, MISMATCH
+
+    above, best = [(0, 0)] * (len(text) + 1), (0, 0)
+    for a in template:
+        row = [(0, 0)]
+        for j, b in enumerate(text):
+            both = above[j][0] + (MATCH if a == b else MISMATCH), above[j][1] + (a == b)
+            row.append(max((0, 0), both, (above[j + 1][0] + GAP, above[j + 1][1]), (row[-1][0] + GAP, row[-1][1])))
+        above, best = row, max(best, max(row))
+    return best[1]
+
+
+def test_license_scan_equals_aligning_every_template(spark):
+    from corvane.llm import licenses
+
+    rng = random.Random(21)
+    clean = lambda text: [w.strip("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())).lower() or w for w in WORD.findall(text)]
+    templates = [(name, clean(x)) for name, texts in licenses.TEMPLATES.items() for x in texts]
+    rows = []
+    for i in range(40):
+        _, own = templates[i % len(templates)]
+        words = list(own)
+        for _ in range(rng.choice([0, 0, 1, len(words) // 12, len(words) // 3])):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randint(0, 1)] = [f"x{rng.randrange(99)}"] * rng.randint(0, 1)
+        rows.append((i, " ".join([f"y{rng.randrange(999)}" for _ in range(rng.randint(0, 30))] + words + [f"z{rng.randrange(999)}" for _ in range(rng.randint(0, 9))])))
+    rows += [rows[0], (None, rows[2][1])]
+    docs = spark.createDataFrame([(*r, "MIT", 1, 0.5) for r in rows], "doc_id long, text string, license string, start long, coverage double")
+    got = {}
+    for r in licenses.scan(docs).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], r["matched_words"]))
+    assert len(got[0]) == 2 and got[None] == got[2]
+    got[0] = got[0][:1]
+    for i, text in rows[:40]:
+        words = clean(text)
+        found = [(m, -len(x), name) for name, x in templates if (m := _plain_matches(x, words)) >= licenses.COVERAGE * len(x)]
+        top = max(found, default=None)
+        if top is None:
+            assert i not in got
+        else:  # one notice a text: the template with most words matched is the one reported
+            assert (top[2], top[0]) in got[i], (i, found, got.get(i))
+
+
+def test_scores_of_long_repeated_and_clashing_rows(spark):
+    from corvane.llm import scoring
+
+    rng = np.random.default_rng(9)
+    net = scoring.Network(rng.normal(0, 0.3, scoring.Network().values.size))
+    of, share = scoring.classes(rng.integers(0, 50, scoring.BUCKETS))
+    long = " ".join(f"w{k}" for k in rng.integers(0, 5_000, 40_000).tolist())  # more words than are scored together
+    rows = [(1, long, 1.0, 2), (2, "a b", 1.0, 2), (2, "a b", 1.0, 2), (None, None, 1.0, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, log_likelihood double, n_words long")
+    got = [tuple(r) for r in scoring.score(docs, (net, of, share)).collect()]
+    block = next(t.blocks(__import__("pyarrow").array([long]), 1 << 30))
+    words, ids = scoring._bucketed(block)
+    whole = net.log_probabilities(net.hidden(scoring._context(words, ids, np.arange(len(ids)))))[np.arange(len(ids)), of[ids]] + share[ids]
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r[0], []).append(r[1:])
+    assert by_id[1][0][:2] == (40_000, pytest.approx(whole.sum()))
+    assert len(by_id[2]) == 2 and by_id[2][0] == by_id[2][1] and by_id[2][0][0] == 2
+    assert by_id[None] == [(0, 0.0, None)]
+
+
+def test_boundary_is_the_cheapest():
+    from math import comb
+
+    from corvane.llm.near_duplicates import LIGHT_MOST, boundary
+
+    rng = random.Random(5)
+    for _ in range(30):
+        lengths = {n: (rng.randint(1, 500), rng.randint(1, 10 ** rng.randint(1, 7))) for n in rng.sample(range(1, 49), rng.randint(1, 20))}
+
+        def cost(x):
+            total = 0
+            for n, (k, long) in lengths.items():
+                least = -(-4 * n // 5)  # a partner shares as many
+                if n <= x:
+                    total += k * sum(comb(n, r) for r in range(n - least + 1))
+                if 5 * n >= 4 * (x + 1):  # may have a heavy partner
+                    total += k * (n - least + 1) + long
+            return total
+
+        assert cost(boundary(lengths)) == min(map(cost, range(LIGHT_MOST + 1)))
+    assert boundary({}) == 0
+
+
+def test_jaccard_with_a_sketch_that_tells_nothing(spark, monkeypatch):
+    """All counters full, as on a corpus far beyond them: the order of shingles is then no more than some
+    order, lists aren't split by it, and the components stay the same."""
+    from corvane.llm import near_duplicates
+
+    rng = random.Random(13)
+    word = lambda: f"v{rng.randrange(400)}"
+    common = [word() for _ in range(40)]
+    texts = []
+    for _ in range(60):
+        own = [word() for _ in range(rng.randint(3, 120))]
+        own[len(own) // 2 : len(own) // 2] = common if rng.random() < 0.5 else []
+        texts.append(own)
+        for _ in range(rng.randint(0, 3)):
+            near = list(own)
+            for _ in range(max(1, len(near) // 40)):
+                near[rng.randrange(len(near))] = word()
+            texts.append(near)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string").repartition(3)
+    plain = sorted(map(tuple, near_duplicates.near_duplicates(docs).collect()))
+    monkeypatch.setattr(near_duplicates, "_sketch", lambda signed: np.full(1 << near_duplicates.SKETCH_BITS, 10_000_000, "<u4"))
+    assert sorted(map(tuple, near_duplicates.near_duplicates(docs).collect())) == plain
+    assert len({c for _, _, c in plain}) < len(plain)
+
+
+def test_neighbours_of_repeated_ids_and_clashing_columns(spark):
+    from corvane.llm import neighbours
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 6))
+    rows = [(i, v.tolist(), 7, 1.5, 3) for i, v in enumerate(x)] + [(20, x[20].tolist(), 7, 1.5, 3), (31, x[31].tolist(), 7, 1.5, 3)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, leaf long, score double, rank int")
+    got = {}
+    for r in neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"), leaf=20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == [0, 20, 40, 60, 80, 100]
+    for q, found in got.items():
+        assert sorted(r for r, _, _ in found) == list(range(1, 21))
+        assert all(v != q and s == (x[v] * x[q]).sum() for _, v, s in found)
+        if any(v == 31 for _, v, _ in found):  # both rows of a repeated id are candidates
+            assert sum(v == 31 for _, v, _ in found) == 2 or max(found)[1] == 31
