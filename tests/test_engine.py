@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from corvane.functions.fingerprint import fingerprint64
-from corvane.functions.text import normal_form, split_sentences
+from corvane.functions.segment import sentences as split_sentences
+from corvane.functions.text import normal_form
 from corvane.operators import acquire, candidates, ingest, matching, rules
 from corvane.operators.ingest import InputError
 from corvane.plans import registry
@@ -472,3 +473,117 @@ def test_scan_equals_a_search_at_every_place(spark):
     assert len(got) == len(set(got)) and set(got) == want
     pairs = a.join(b, F.col("text").contains(F.col("term")))
     assert {tuple(r) for r in pairs.filter(bounded(F.col("text"), F.col("term"))).select("i", "term").collect()} == {x[:2] for x in want}
+
+
+# ---- each peculiarity of the rules by itself
+
+
+def _decide(spark, cases, usage=None):
+    """usage_code and reason of (sentence, name, category) each."""
+    usage = rules.patterns(spark.createDataFrame(usage or [("P1", "used", None)], "pattern_id string, base_form string, trans_form string"))
+    rows = []
+    for k, (sentence, name, category) in enumerate(cases):
+        at = normal_form(sentence).find(normal_form(name))
+        rows.append((k, "u", k, sentence, name, category, at, at + len(name)))
+    matches = spark.createDataFrame(rows, "match_id long, url string, sentence_no int, sentence string, matched_name string, category_id string, start_pos int, end_pos int")
+    got = {r["match_id"]: r for r in rules.decide(matches, usage).collect()}
+    return [(got[k]["usage_code"], got[k]["reason"]) for k in range(len(cases))]
+
+
+def _filler(n):
+    return ("zzzzzzzzz " * 20)[: n - 2] + "z "
+
+
+def test_window_before_a_hit_starts_a_blank_early_after_a_split(spark):
+    behind = "used the F-16 aircraft"
+    cases = [(f"x; not {_filler(82)}{behind}", "F-16", "W05"), (f"x; not {_filler(83)}{behind}", "F-16", "W05"), (f"not {_filler(82)}{behind}", "F-16", "W05"), (f"not {_filler(81)}{behind}", "F-16", "W05")]
+    assert [c for c, _ in _decide(spark, cases)] == [1, 0, 0, 1]
+
+
+def test_window_that_cuts_a_word_changes_it(spark):
+    behind = "used the F-16 aircraft"
+    cases = [(f"unlikely {_filler(n)}{behind}", "F-16", "W05") for n in (77, 78, 79)]
+    assert [c for c, _ in _decide(spark, cases)] == [0, 2, 0]
+
+
+def test_equal_spans_of_several_rules_all_count(spark):
+    usage = [("P1", "can carry", "used"), ("P2", "used", None), ("P3", "claimed", "used")]
+    sentence = ("They used the F-16 aircraft.", "F-16", "W05")
+    assert [_decide(spark, [sentence], some)[0][0] for some in (usage, usage[:1], usage[2:])] == [0, 1, 2]
+
+
+def test_longer_hits_hide_those_inside(spark):
+    usage = [("P1", "used", None), ("P2", "can be used", None)]
+    assert _decide(spark, [("The F-16 aircraft can be used.", "F-16", "W05"), ("The F-16 aircraft used can be used.", "F-16", "W05")], usage) == [(1, "rule_classification"), (0, "rule_classification")]
+
+
+def test_the_word_no_is_a_pattern(spark):
+    cases = [("There was no F-16 aircraft.", "F-16", "W05"), ("Nobody saw the F-16 aircraft.", "F-16", "W05")]
+    assert _decide(spark, cases, [("P1", "no", None)]) == [(2, "rule_classification"), (None, "no_usage_pattern")]
+
+
+def test_a_target_anywhere_in_the_sentence(spark):
+    cases = [("They used the F-16 aircraft and a truck was destroyed.", "F-16", "W05"), ("They used the F-16 aircraft; a truck was destroyed.", "F-16", "W05")]
+    assert _decide(spark, cases) == [(2, "weapon_as_target_does_not_establish_its_use")] * 2
+
+
+def test_forms_that_are_no_use_skip_the_checks(spark):
+    cases = [("Possibly the F-16 aircraft can be used.", "F-16", "W05"), ("They will not say it crashed, the F-16 aircraft.", "F-16", "W05")]
+    assert [c for c, _ in _decide(spark, cases, [("P1", "can be used", None), ("P2", "crashed", None)])] == [1, 2]
+
+
+def test_hyphenated_names_are_single_words(spark):
+    cases = [("The Ti-reon radar was used.", "Ti-reon", "W02"), ("The TI-REON radar was used.", "TI-REON", "W02")]
+    assert [r for _, r in _decide(spark, cases)] == ["single_word_weapon_name_requires_review", "rule_classification"]
+
+
+def test_a_sentence_of_title_and_body_is_of_the_title(spark):
+    pages = spark.createDataFrame([("u", "An F-16 flew.", "One more. An F-16 flew.\n\nOne more. Last.")], "url string, title string, body string")
+    got = sorted((r["sentence_no"], r["section"], r["sentence"]) for r in matching.sentences(pages).collect())
+    assert got == [(0, "title", "An F-16 flew."), (1, "body", "One more."), (4, "body", "Last.")]
+
+
+def test_duplicates_whatever_their_dates(spark):
+    from corvane.operators import articles
+
+    url = "https://a.example/x"
+    inputs = [(1, "a1", "c1", "2024-01-01", url, "t"), (2, "a2", "c1", "2024-05-01", url + "#part", "t"), (3, "a3", "c2", "2024-01-01", url, "t"), (4, "a4", "c1", "2024-01-01", url, "other"), (5, "a5", "c1", "2024-01-01", "https://a.example/y", "t")]
+    rows = spark.createDataFrame(inputs, "row_no long, article_id string, conflict_id string, published_date string, url string, title string")
+    pages = spark.createDataFrame([(u, None, "extracted") for u in {x[4] for x in inputs}], "url string, title string, status string")
+    matches = spark.createDataFrame([(u, "W05", "F-16", "s") for u in {x[4] for x in inputs}], "url string, category_id string, matched_name string, sentence string")
+    judged = articles.judged(rows, pages, matches)
+    assert [tuple(r) for r in articles.exclusions(judged).collect()] == [(2, "a2", "same_normalized_url_conflict_title_matching_content", "a1")]
+    other = matches.withColumn("sentence", matches["url"])  # other content: both stay
+    assert articles.exclusions(articles.judged(rows, pages, other)).isEmpty()
+
+
+def test_articles_of_one_address_and_articles_without_results(spark):
+    from corvane.operators import results
+
+    matches = spark.createDataFrame([(1, "u", "W05", "s", 0), (2, "v", "W05", "s", 0)], "match_id long, url string, category_id string, sentence string, sentence_no int")
+    decisions = spark.createDataFrame([(1, 0), (2, None)], "match_id long, usage_code int")
+    selected = spark.createDataFrame([(1, "a1", "u"), (2, "a2", "u"), (3, "a3", "v")], "row_no long, article_id string, url string")
+    got = results.in_result_order(results.results(selected, results.grouped(matches, decisions)))
+    assert [tuple(r) for r in got.collect()] == [("a1", "W05", 0, "s"), ("a2", "W05", 0, "s")]
+
+
+def test_candidates_in_one_pass_equal_the_two_rollups(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice("cd"), rng.choice("uvw"), rng.choice("st"), rng.randint(0, 9), 20200101 + rng.randint(0, 3), rng.choice(["18", "19", "20"]), rng.randint(0, 9), rng.choice(["", None, "x"]), rng.choice([None, "G1", "G2"]), "p", 1, rng.choice([None, 1.0, 2.0]), 0.5, 20200101000000 + rng.randint(0, 9)) for _ in range(300)]
+    raw = spark.createDataFrame(rows, "candidate_conflict_id string, source_url string, source_name string, GLOBALEVENTID long, SQLDATE int, EventRootCode string, extraction_confidence int, translation_info string, ActionGeo_CountryCode string, ActionGeo_FullName string, ActionGeo_Type int, ActionGeo_Lat double, ActionGeo_Long double, gdelt_mention_time long")
+    want = candidates.url_summary(raw).join(candidates.top_locations(candidates.location_counts(raw)), candidates.KEY)
+    got = candidates.candidate_urls(raw)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 0 and plan.count("Join") == 0
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.binary(max_size=300), max_size=40))
+def test_fingerprints_of_many_equal_those_of_each(strings):
+    from corvane.functions.fingerprint import fingerprints64
+
+    assert fingerprints64(strings).tolist() == [fingerprint64(x) for x in strings]
