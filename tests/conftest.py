@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-    builder = builder.config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    builder = builder.config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

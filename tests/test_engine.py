@@ -173,6 +173,19 @@ def test_feed_to_export(spark, tmp_path):
         report = feed.candidate_articles(spark, feed.FeedConfig.load(str(tmp_path / "config.json")))
         assert (report["candidates_raw"], report["candidate_urls"], report["file"]["rows"]) == (2, 2, 2)
     rows = files.read_candidates(spark, str(tmp_path / "in.csv")).collect()
+    feed.bucketed(spark, f"file://{tmp_path}/feed", "study", 4)
+    config = json.loads((tmp_path / "config.json").read_text()) | {"bucketed_tables": "study", "input_csv": "again.csv"}
+    (tmp_path / "again.json").write_text(json.dumps(config))
+    assert feed.candidate_articles(spark, feed.FeedConfig.load(str(tmp_path / "again.json")))["candidate_urls"] == 2
+    assert (tmp_path / "again.csv").read_bytes() == (tmp_path / "in.csv").read_bytes()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("study_events").join(spark.table("study_mentions"), "GLOBALEVENTID")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("events", "mentions"):
+            spark.sql(f"DROP TABLE study_{name}")
     assert sorted((r["conflict_id"], r["published_date"], r["url"]) for r in rows) == [("ucdp_13243", "2020-05-02", "https://a.example/1"), ("ucdp_16099", "2020-05-02", "https://a.example/1")]
 
 
