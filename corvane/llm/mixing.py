@@ -11,7 +11,8 @@ side by side on the ring from a seeded start, so a source that gives more words
 its ring, and no block but a source's first and last cuts a document.  Shard after shard takes its
 quota of them: a document's shard is the one whose blocks hold its first word in the mix.
 
-Null and empty texts have no words and give none.  A null source is a source, ordered last.
+Null and empty texts have no words and give none.  A very long text may hold several blocks; its words count as those
+of many short ones would.  A null source is a source, ordered last.
 Repeated rows are rows of their own; rows that are equal in doc_id, source and size may swap.  An
 empty table gives an empty result.  Everything runs as DataFrame operations.
 """

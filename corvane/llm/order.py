@@ -11,7 +11,7 @@ Range partitions of slots then hold fixed-stride shards: sequence s lies at
 anywhere by arithmetic.  Shard files are written under a temporary name and renamed, so a task that
 runs again replaces its own files.
 
-Null and empty texts are the end id alone.  Repeated rows are documents of their own.  An empty
+A very long text goes on from sequence to sequence.  Null and empty texts are the end id alone.  Ids beyond two bytes are refused.  Repeated rows are documents of their own.  An empty
 table gives no sequence.  Only doc_id and text are read.
 """
 

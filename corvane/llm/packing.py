@@ -11,7 +11,7 @@ as the pieces allow, and goes on; a branch ends when its waste rules out fewer s
 incumbent has.  The first incumbent is the best-fit solution.  Piece number i of a length then
 goes where the solution places it; numbers come from prefix sums over hash buckets.
 
-A null or empty text is the closing id alone.  Repeated rows are packed as rows of their own (rows
+A very long text is encoded whole and cut into as many pieces as it needs.  A null or empty text is the closing id alone.  Repeated rows are packed as rows of their own (rows
 equal in doc_id and ids may swap).  An empty table gives an empty result.  Only doc_id and text
 are read.
 """

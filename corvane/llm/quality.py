@@ -7,7 +7,7 @@ A text fails when it has too few words, when most of its words lie in repeated 3
 (the first occurrence included), when a share exceeds its threshold, or when symbols outnumber
 its words.  One repeated sentence in a short text stays below every threshold.
 
-Null and empty texts have no words and so fail.  Rows are judged one by one: repeated rows give
+A text of any length is measured whole.  Null and empty texts have no words and so fail.  Rows are judged one by one: repeated rows give
 repeated results, and an empty table an empty one.  Other columns are left out of the result,
 whatever their names.
 """

@@ -10,7 +10,7 @@ first parameters, and the tasks' parameters are averaged by the words they train
 parameter mixing.  A document's score is the
 sum over all its words of the logarithm of the probability from both sides.
 
-Null and empty texts have no words, score 0 and no mean.  Repeated rows score the same.  An empty
+A very long text is trained on and scored whole, some thousand words at a time.  Null and empty texts have no words, score 0 and no mean.  Repeated rows score the same.  An empty
 table gives an empty result.  Only doc_id and text are read.
 """
 

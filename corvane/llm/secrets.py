@@ -10,7 +10,7 @@ the text is cut there without changing the result.
 Spans are kind:start:end in code points, end exclusive, sorted by start and then by kind.  The
 spans of the patterns always stay; one of the field is added unless it lies wholly inside one of
 them, so spans may overlap, and ``redact`` masks what any of them covers.
-Null and empty texts have no spans.  Rows are independent: repeated rows give repeated results, an
+Null and empty texts have no spans.  A text of any length is tagged whole, in memory of some 200 bytes a word.  Rows are independent: repeated rows give repeated results, an
 empty table an empty one.  Only doc_id and text are read; ``redact`` keeps all columns.
 """
 

@@ -6,7 +6,7 @@ the byte and the row at which it starts in the whole corpus.  Shard k takes the
 middle byte lies in the k-th of equal parts, so a shard's bytes miss their target by one document
 at most.
 
-A null or empty text has no bytes of its own but still costs ``OVERHEAD``.  Repeated rows are
+A text longer than a shard's target has its middle byte in one shard and goes there whole.  A null or empty text has no bytes of its own but still costs ``OVERHEAD``.  Repeated rows are
 rows of their own.  An empty table gives an empty result.  Only doc_id and text are read, so
 other columns may have any name.
 """
