@@ -2,8 +2,9 @@
 
 Every stage works on all that the one before it kept.  All but the last return the columns of
 ``documents``; the last returns the pieces of the packed sequences.  Null and empty texts go with
-the quality rules; an empty table passes through all stages.  Columns beyond those of
-``documents`` go along, whatever their names.
+the quality rules; of rows that repeat, one passes the join; very long texts pass whole and end
+as many pieces; an empty table passes through all stages.  Columns beyond those of ``documents``
+go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,11 +48,12 @@ ORACLE_SQL = None
 
 @_session.tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder, and
-    removed when the last one is done."""
+    """All stages over ``documents``.  What a stage returns is written to the shared folder and removed
+    when the last one is done; what it wrote on the way is removed before the next one starts."""
     docs = _session.table(spark, sf_dir, "documents")
     folder = _session.folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with _session.scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)
