@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._session import cut, share, table, tidy
+from ._session import cut, share, shuffle_width, table, tidy
 
 K = 20
 #: Vectors the tree is fitted on, children of a node, vectors a leaf is meant to hold, most leaves.
@@ -205,7 +205,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF,
             yield pa.RecordBatch.from_arrays([b.column("vec_id").take(row), b.column("embedding").take(row), pa.array(floors).take(row), pa.array(to, pa.int64())], ["query_id", "query", "floor", "leaf"])
 
     ask, _ = usable(queries) if queries is not vectors else (rows, d)
-    ask = ask.filter(F.size("embedding") == d).dropDuplicates(["vec_id"])
+    # by number, so that the walks through the tree aren't put together in a few tasks
+    ask = ask.filter(F.size("embedding") == d).dropDuplicates(["vec_id"]).repartition(shuffle_width(spark), "vec_id")
     ask = cut(ask.mapInArrow(asked, "query_id long, query array<double>, floor double, leaf long"))
     loads = ask.groupBy("leaf").agg(F.count("*").alias("asked")).join(placed.groupBy("leaf").agg(F.count("*").alias("held")), "leaf")
     loads = F.broadcast(loads.select("leaf", F.ceil(F.col("held") / BLOCK).alias("blocks"), F.ceil(F.col("asked") / BLOCK).alias("parts")))  # LEAVES rows at most
