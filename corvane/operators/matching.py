@@ -64,7 +64,8 @@ def locate(texts: DataFrame, terms: DataFrame, text: str = "text", term: str = "
     rows = texts.withColumn("_pieces", cut_up(F.col(text)))
     kept = [*texts.columns, *terms.columns]
 
-    at = rows.select("*", F.posexplode("_pieces").alias("_at", "_piece"))
+    # outer, as for the other kind the planner adds a filter that cuts up every text once more
+    at = rows.select("*", F.posexplode_outer("_pieces").alias("_at", "_piece"))
     worded = at.join(listed.filter("_n > 0"), F.col("_piece") == F.col("_first"))
     gap = lambda place, end: F.struct(F.get("_pieces", place).alias("gap"), end.alias("open"))
     before, after = gap(F.col("_at") - 1, F.col("_at") == 1), gap(F.col("_at") + F.col("_n"), F.col("_at") + F.col("_n") + 1 == F.size("_pieces"))

@@ -139,7 +139,7 @@ def decide(matches: DataFrame, usage: DataFrame) -> DataFrame:
     texts = matches.select("sentence").distinct().withColumn("text", norm("sentence"))
     own = F.transform(clauses(F.col("text")), lambda c, i: F.struct(i.alias("part"), c.alias("clause"), F.trim(c).alias("bare")))
     whole = F.struct(F.lit(-1).alias("part"), F.col("text").alias("clause"), F.col("text").alias("bare"))
-    parts = texts.select("sentence", F.explode(F.concat(F.array(whole), own)).alias("p")).select("sentence", "p.*")
+    parts = texts.select("sentence", F.explode_outer(F.concat(F.array(whole), own)).alias("p")).select("sentence", "p.*")
     hits = locate(parts, usage, text="bare", term="phrase").withColumn("now", F.when(F.col("part") >= 0, adjusted(F.col("code"), F.col("clause"), F.col("start"))))
     hit = F.when(F.col("part") >= 0, F.struct("part", "bare", "start", "end", "now"))
     found = hits.groupBy("sentence").agg(F.array_sort(F.collect_set(F.when(F.col("part") < 0, F.col("pattern_id")))).alias("pattern_ids"), F.collect_set(hit).alias("hits"))

@@ -600,3 +600,21 @@ def test_fingerprints_of_many_equal_those_of_each(strings):
     from corvane.functions.fingerprint import fingerprints64
 
     assert fingerprints64(strings).tolist() == [fingerprint64(x) for x in strings]
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    """The stages that need no network, on a work folder given as an address of a file system."""
+    from corvane import __main__
+
+    _work(tmp_path, spark)
+    config = json.loads((tmp_path / "config.json").read_text()) | {"work_dir": f"file://{tmp_path}/elsewhere", "buckets": 2}
+    (tmp_path / "config.json").write_text(json.dumps(config))
+    run = lambda *args: __main__.main([*args, "--config", str(tmp_path / "config.json")])
+    with pytest.raises(InputError, match="match needs prepare"):
+        run("match")
+    run("prepare")
+    assert json.loads(capsys.readouterr().out)["rows"] == 7
+    with pytest.raises(SystemExit):
+        run("collect")
+    run("status")
+    assert json.loads(capsys.readouterr().out) == {"done": ["prepare"], "pages": {"pending": 4, "invalid_url": 1}}
