@@ -104,13 +104,13 @@ def least_of(values: np.ndarray, n: int) -> np.ndarray:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs that are frequent in a part of a task, and, as run -1, the bytes of words."""
-    held, total = [], 0
+    held, total = [np.zeros(0, t.U64)], 0
 
-    def frequent() -> tuple[np.ndarray, np.ndarray]:
+    def frequent() -> pa.RecordBatch:
         own, n = np.unique(np.concatenate(held), return_counts=True)
-        return own[n >= OFTEN], n[n >= OFTEN]
+        del held[1:]
+        return pa.RecordBatch.from_arrays([pa.array(own[n >= OFTEN].view(np.int64)), pa.array(n[n >= OFTEN])], ["run", "n"])
 
-    names = ["run", "n"]
     for batch in batches:
         for block in t.blocks(batch.column("text")):
             words = t.words(block)
@@ -118,12 +118,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(runs[t.whole(words.at, RUN, len(runs))])
             total += int((words.end - words.start).sum()) + len(words.start)
             if sum(map(len, held)) >= COUNTED:
-                own, n = frequent()
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names)
-                held.clear()
-    if held:
-        own, n = frequent()
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(own.view(np.int64), -1)), pa.array(np.append(n, total))], names)
+                yield frequent()
+    yield frequent()
+    yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([total], pa.int64())], ["run", "n"])
 
 
 def _super_kmers(block: t.Block, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
