@@ -9,8 +9,11 @@ the distance of their centres and so visits leaves in order of promise.
 How many leaves it visits is calibrated: ``CALIBRATION`` queries are compared with all vectors,
 and visits are widened until the leaves visited hold ``RECALL`` of the true neighbours.
 
-Leaves with many vectors or queries are split into blocks, which are compared by matrix product;
-each block sends on the k best of each query that reach the query's floor, which is its k-th best
+Leaves in a row are put together to blocks of vectors, and a leaf beyond a block's size is split.  A
+query travels once to each block it visits a leaf of, with the leaves it visits as bits, so neither it nor
+a task's memory grows with the number of leaves; blocks of vectors and of queries hold ``BLOCK_BYTES`` of
+components at most.  Inside, leaf by leaf, vectors and the queries that visit them are compared by matrix
+product; each block sends on the k best of each query that reach the query's floor, which is its k-th best
 score among the sample's vectors in the leaves it visits: what lies below can't be among the k
 best it finds.  Scores are sums of products in double precision in
 one fixed order, so equal vectors tie, and ties go to the smaller id.
@@ -39,8 +42,10 @@ K = 20
 SAMPLE, BRANCH, LEAF, LEAVES = 16_384, 16, 200, 4096
 #: Queries compared with all vectors to calibrate visits, and the recall visits are widened to.
 CALIBRATION, RECALL = 64, 0.97
-#: Vectors and queries of one block.
-BLOCK = 4096
+#: Bytes of the vectors, and of the queries, of one block at most; vectors that are worth a block of their own.
+BLOCK_BYTES, LEAST_BLOCK = 1 << 24, 512
+#: Queries that are walked or compared together, products held at once, and components.
+CHUNK, PRODUCTS, COMPONENTS = 256, 1 << 19, 1 << 22
 ROUNDS, SEED = 8, 5
 
 
@@ -139,11 +144,47 @@ def _best(ids: np.ndarray, x: np.ndarray, own: np.ndarray, q: np.ndarray, floor:
     """Queries, vectors and scores of the k best of x for each query that reach its floor; scores
     are summed in a fixed order."""
     row, column = np.nonzero((q @ x.T >= floor[:, None]) & (own[:, None] != ids[None]))
-    exact = (q[row] * x[column]).sum(axis=1)
-    order = np.lexsort((ids[column], -exact, row))
-    row, column, exact = row[order], column[order], exact[order]
-    nth = np.arange(len(row)) - np.searchsorted(row, row)
-    return own[row[nth < k]], ids[column[nth < k]], exact[nth < k]
+    step = max(1, COMPONENTS // x.shape[1])
+    exact = np.concatenate([(q[row[i : i + step]] * x[column[i : i + step]]).sum(axis=1) for i in range(0, len(row), step)] or [np.zeros(0)])
+    return _kept(own[row], ids[column], exact, k)
+
+
+def _kept(own: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each query, ties to the smaller id."""
+    order = np.lexsort((ids, -scores, own))
+    own, ids, scores = own[order], ids[order], scores[order]
+    nth = np.arange(len(own)) - np.searchsorted(own, own)
+    return own[nth < k], ids[nth < k], scores[nth < k]
+
+
+def _compared(ids: np.ndarray, x: np.ndarray, leaf: np.ndarray, own: np.ndarray, q: np.ndarray, floor: np.ndarray, visited: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, vectors and scores of the k best of a block's vectors in the leaves that each query visits (bits)."""
+    order = np.argsort(leaf, kind="stable")
+    numbers, starts = np.unique(leaf[order], return_index=True)
+    parts = list(zip(numbers, np.split(order, starts[1:]), strict=True))
+    found = []
+    for at in range(0, len(own), CHUNK):
+        seen, near = np.unpackbits(visited[at : at + CHUNK], axis=1), []
+        for number, rows in parts:
+            asking = at + np.flatnonzero(seen[:, number])
+            step = max(1, PRODUCTS // len(rows))
+            near += [_best(ids[rows], x[rows], own[a], q[a], floor[a], k) for a in (asking[i : i + step] for i in range(0, len(asking), step))]
+        if near:
+            found.append(_kept(*map(np.concatenate, zip(*near, strict=True)), k))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _blocks(held: dict[int, int], size: int) -> list[tuple[int, int, int]]:
+    """leaf, its first block and how many it has: leaves in a row share a block of ``size`` vectors, a
+    larger one is split."""
+    out, block, load = [], 0, 0
+    for number in sorted(held):
+        if load and load + held[number] > size:
+            block, load = block + 1, 0
+        pieces = -(-held[number] // size)
+        out.append((number, block, pieces))
+        block, load = (block + pieces, 0) if pieces > 1 else (block, load + held[number])
+    return out
 
 
 def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
@@ -157,7 +198,7 @@ def usable(vectors: DataFrame) -> tuple[DataFrame, int]:
 
 
 @tidy
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF, recall: float = RECALL) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF, recall: float = RECALL, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank, vec_id and score: the k best vectors found for each of ``queries``
     (vec_id, embedding)."""
     spark = vectors.sparkSession
@@ -185,43 +226,46 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, leaf: int = LEAF,
     held = {x["leaf"]: x["count"] for x in placed.groupBy("leaf").count().collect()}  # LEAVES rows at most
     visits = _calibrated(placed, [(x["vec_id"], np.array(x["embedding"])) for x in pick(SEED + 1, CALIBRATION)], shared.value, held, d, k, recall) if n > k + 1 else shared.value.leaves
 
+    most = max(1, block_bytes // (8 * d))
+    layout = _blocks(held, min(most, max(LEAST_BLOCK, -(-n // (2 * shuffle_width(spark))))))
+    ends = np.array(sorted((first + i, number) for number, first, pieces in layout for i in range(pieces)), np.int64).reshape(-1, 2)  # block, leaf
+    blocks, starts = np.unique(ends[:, 0], return_index=True)
+
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            row, to = [], []
+        for b in (whole.slice(a, CHUNK) for whole in batches for a in range(0, whole.num_rows, CHUNK)):
             asking, own = _matrix(b.column("embedding"), d), np.array(b.column("vec_id"), np.int64)
-            visited = np.zeros((len(own), shared.value.leaves), bool)
-            for i, q in enumerate(asking):
+            visited = np.full((len(own), shared.value.leaves), visits >= shared.value.leaves)
+            for i, q in enumerate(asking if visits < shared.value.leaves else []):
                 seen = 0
                 for nth, number in enumerate(shared.value.visits(np.append(q, 0.0))):
                     if nth >= visits and seen > k:
                         break
                     seen += held.get(number, 0)
                     visited[i, number] = True
-                    if number in held:
-                        row.append(i)
-                        to.append(number)
-            floors = np.concatenate([_floors(asking[a : a + 256], own[a : a + 256], visited[a : a + 256], *known.value, k) for a in range(0, len(own), 256)] or [np.zeros(0)])
-            row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(row), b.column("embedding").take(row), pa.array(floors).take(row), pa.array(to, pa.int64())], ["query_id", "query", "floor", "leaf"])
+            reached = np.logical_or.reduceat(visited[:, ends[:, 1]], starts, axis=1) if len(blocks) else np.zeros((len(own), 0), bool)
+            to = pa.ListArray.from_arrays(pa.array(np.append(0, reached.sum(axis=1).cumsum()), pa.int32()), pa.array(blocks[np.nonzero(reached)[1]], pa.int64()))
+            bits = pa.array([x.tobytes() for x in np.packbits(visited, axis=1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("embedding"), pa.array(_floors(asking, own, visited, *known.value, k)), bits, to], ["query_id", "query", "floor", "visited", "blocks"])
 
     ask, _ = usable(queries) if queries is not vectors else (rows, d)
     # by number, so that the walks through the tree aren't put together in a few tasks
     ask = ask.filter(F.size("embedding") == d).dropDuplicates(["vec_id"]).repartition(shuffle_width(spark), "vec_id")
-    ask = cut(ask.mapInArrow(asked, "query_id long, query array<double>, floor double, leaf long"))
-    loads = ask.groupBy("leaf").agg(F.count("*").alias("asked")).join(placed.groupBy("leaf").agg(F.count("*").alias("held")), "leaf")
-    loads = F.broadcast(loads.select("leaf", F.ceil(F.col("held") / BLOCK).alias("blocks"), F.ceil(F.col("asked") / BLOCK).alias("parts")))  # LEAVES rows at most
-    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.col(m) - 1))
-    left = placed.join(loads, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), every("parts").alias("part"), "vec_id", "embedding")
-    right = ask.join(loads, "leaf").select("leaf", every("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), F.col("parts")).alias("part"), "query_id", "query", "floor")
+    ask = cut(ask.mapInArrow(asked, "query_id long, query array<double>, floor double, visited binary, blocks array<long>"))
+    loads = ask.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.ceil(F.count("*") / most).alias("parts"))
+    loads = F.broadcast(loads)  # a row for each block
+    places = F.broadcast(spark.createDataFrame(layout, "leaf long, first long, pieces long"))  # LEAVES rows at most
+    left = placed.join(places, "leaf").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("pieces"))).alias("block"), "leaf", "vec_id", "embedding")
+    left = left.join(loads, "block").select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "leaf", "vec_id", "embedding")
+    right = ask.select("query_id", "query", "floor", "visited", F.explode("blocks").alias("block")).join(loads, "block")
+    right = right.select("block", F.pmod(F.xxhash64("query_id"), F.col("parts")).alias("part"), "query_id", "query", "floor", "visited")
 
     def compared(key, a: pa.Table, b: pa.Table) -> pa.Table:
-        ids, x = a.column("vec_id").to_numpy(), _matrix(a.column("embedding"), d)
-        own, q, floor = b.column("query_id").to_numpy(), _matrix(b.column("query"), d), b.column("floor").to_numpy()
-        found = [_best(ids, x, own[i : i + 256], q[i : i + 256], floor[i : i + 256], k) for i in range(0, len(own), 256)] if len(ids) else []
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+        bits = np.frombuffer(b"".join(b.column("visited").to_pylist()), np.uint8).reshape(b.num_rows, -(-shared.value.leaves // 8))
+        of = lambda t, name: t.column(name).to_numpy()
+        found = _compared(of(a, "vec_id"), _matrix(a.column("embedding"), d), of(a, "leaf"), of(b, "query_id"), _matrix(b.column("query"), d), of(b, "floor"), bits, k)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
-    keys = ["leaf", "block", "part"]
+    keys = ["block", "part"]
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compared, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -514,3 +514,43 @@ def test_neighbours_of_repeated_ids_and_clashing_columns(spark):
         assert all(v != q and s == (x[v] * x[q]).sum() for _, v, s in found)
         if any(v == 31 for _, v, _ in found):  # both rows of a repeated id are candidates
             assert sum(v == 31 for _, v, _ in found) == 2 or max(found)[1] == 31
+
+
+def test_neighbours_send_a_query_once_to_a_block(spark, monkeypatch):
+    from corvane.llm import neighbours
+
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1200, 8))
+    x[300:700] = x[300]  # a leaf larger than a block
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    written, real = [], neighbours.cut
+
+    def cut(df):
+        out = real(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "cut", cut)
+    monkeypatch.setattr(neighbours, "LEAST_BLOCK", 1)
+    monkeypatch.setattr(neighbours, "CHUNK", 7)
+    monkeypatch.setattr(neighbours, "PRODUCTS", 500)
+    got = {}
+    for r in neighbours.search(vectors, vectors.filter("vec_id % 20 = 0"), leaf=30, recall=1.0, block_bytes=100 * 64).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert written == [1200, 60]  # no row for each query and leaf
+    hits = 0
+    for i in range(0, 1200, 20):
+        score = (x * x[i]).sum(axis=1)
+        score[i] = -np.inf
+        found = sorted(got[i])
+        assert [r for r, _, _ in found] == list(range(1, 21)) and [s for _, _, s in found] == [score[v] for _, v, _ in found]
+        assert found == sorted(found, key=lambda f: (-f[2], f[1]))
+        hits += len(set(np.lexsort((np.arange(1200), -score))[:20]) & {v for _, v, _ in found})
+    assert hits >= 0.95 * 1200
+
+
+def test_blocks_of_leaves():
+    from corvane.llm import neighbours
+
+    assert neighbours._blocks({0: 3, 1: 4, 2: 4, 3: 25, 5: 1}, 10) == [(0, 0, 1), (1, 0, 1), (2, 1, 1), (3, 2, 3), (5, 5, 1)]
+    assert neighbours._blocks({}, 10) == []
