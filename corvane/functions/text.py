@@ -65,6 +65,15 @@ def complete(*columns: Column) -> Column:
     return out
 
 
+def page_title(html: Column) -> Column:
+    """What the first title element of a page says as it is written, with just its signs ``<``, ``>`` and ``&``
+    put in for their full references; empty without one.  ``maintext`` reads every reference, as a browser does."""
+    out = F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)</title>", 1)
+    for reference, sign in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(reference), F.lit(sign))
+    return F.regexp_replace(out, r"^\p{Zs}+|\p{Zs}+\z", "")
+
+
 def phrases(form: Column) -> Column:
     """Normal forms of a dictionary form: as it is, and its alternatives without remarks in brackets."""
     bare = F.trim(F.regexp_replace(form, r"\([^)]*\)", ""))

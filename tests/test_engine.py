@@ -618,3 +618,17 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
         run("collect")
     run("status")
     assert json.loads(capsys.readouterr().out) == {"done": ["prepare"], "pages": {"pending": 5, "invalid_url": 1}}
+
+
+def test_titles_as_their_sql_has_them(spark, tmp_path):
+    import duckdb
+
+    pages = [
+        "<title>a &quot;b&amp</title><p>text</p>", "<TITLE lang='x'\n>\u3000\xa0&lt;x&gt; &amp;lt; &#65;\n b\t \u2003</TITLE>", "<title>only a title</title>", "no title", "",
+        "<title>cut <b>off</b></title> <title>second</title>", "<!-- <title>hidden</title> --><title>shown</title>", None, "<title>a  b &amp;amp; c $1 \\\\ </title>", "<title", "<title></title>",
+    ]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = {tuple(r) for r in registry.QUERIES["html_title_extract"](spark, str(tmp_path)).collect()}
+    assert got == set(con.execute(registry.ORACLES["html_title_extract"]).fetchall()) and len(got) == len(pages)
