@@ -169,4 +169,9 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds", "shard")
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds")
+
+
+def mixing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of each document of the mix, which the SQL of ``op6_mixing`` doesn't have."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "taken", "shard")

@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_licenses": licenses.op4_licenses,
         "op5_scoring": scoring.op5_scoring,
         "op6_mixing": mixing.op6_mixing,
+        "mixing_shards": mixing.mixing_shards,
         "op7_jaccard_join": near_duplicates.op7_jaccard_join,
         "op8_packing": packing.op8_packing,
         "op9_training_order": order.op9_training_order,

@@ -554,3 +554,23 @@ def test_blocks_of_leaves():
 
     assert neighbours._blocks({0: 3, 1: 4, 2: 4, 3: 25, 5: 1}, 10) == [(0, 0, 1), (1, 0, 1), (2, 1, 1), (3, 2, 3), (5, 5, 1)]
     assert neighbours._blocks({}, 10) == []
+
+
+def test_the_mix_has_the_columns_and_rows_of_its_sql(spark, tmp_path):
+    import duckdb
+
+    from corvane.llm import registry
+
+    rng = random.Random(8)
+    rows = [(i, " ".join("w" for _ in range(rng.randint(0, 300))) if i % 19 else None, rng.choice(["s1", "s2", None, "é"])) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    sql = con.execute(registry.oracles()["op6_mixing"])
+    names = sorted(c[0] for c in sql.description)
+    want = con.execute(f"SELECT {', '.join(names)} FROM ({registry.oracles()['op6_mixing']})").fetchall()
+    got = registry.queries()["op6_mixing"](spark, str(tmp_path))
+    assert sorted(got.columns) == names
+    assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(want) and len(want) == 300
+    shards = registry.queries()["mixing_shards"](spark, str(tmp_path)).collect()
+    assert len(shards) == 300 and len({r["shard"] for r in shards if r["taken"]}) > 1 and all((r["shard"] is None) == (r["taken"] == 0) for r in shards)
