@@ -132,3 +132,12 @@ def test_odd_pages(html):
 def test_short_pages_keep_their_text():
     assert extract("<title>t</title><nav><a>x</a></nav><article><h1>Hello</h1><p>Short.</article>")["text"] == "Hello\nShort."
     assert extract("<body><time datetime='2023-01-02'>x</time><div class='related box'>noise</div><p>Short text.</p>") == {"title": "", "date": "2023-01-02", "text": "x\nShort text."}
+
+
+def test_normal_forms_of_whole_texts_take_few_rows_at_a_time(spark):
+    from corvane.functions.text import norm
+
+    rows = spark.createDataFrame([("Ｔhe  ‘A’",), (None,), ("",)], "text string").select(norm("text").alias("plain"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [r["plain"] for r in rows.collect()] == ["the ‘a'", None, ""]
