@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,12 +89,12 @@ def sentences(pages: DataFrame, segmenter: Callable[[str], list[str]] | None = N
     ``segment`` hold, on every machine.
     """
 
-    @F.pandas_udf("array<string>")
-    def cut(lines: pd.Series) -> pd.Series:
+    def cut(lines: list[str]) -> list[str]:
         split = segmenter or segment.sentences
-        return lines.map(lambda own: [s for line in own if line.strip() for s in split(line)])
+        return [s for line in lines if line.strip() for s in split(line)]
 
-    body = cut(F.split(F.coalesce("body", F.lit("")), LINE_BREAK))
+    # not by Arrow: a worker holds 100 texts at once, not 10,000
+    body = F.udf(cut, "array<string>", useArrow=False)(F.split(F.coalesce("body", F.lit("")), LINE_BREAK))
     parts = pages.select("url", F.posexplode(F.concat(F.array(F.coalesce("title", F.lit(""))), body)).alias("sentence_no", "sentence"))
     first = parts.groupBy("url", "sentence").agg(F.min("sentence_no").alias("sentence_no"))
     return first.select("url", "sentence_no", F.when(F.col("sentence_no") == 0, "title").otherwise("body").alias("section"), "sentence")
