@@ -432,6 +432,38 @@ def test_encoder_equals_the_tokenizer():
     assert got == want
 
 
+def test_encoder_keeps_parts_that_come_again(monkeypatch):
+    """What fills the store is given up before what many blocks have; ids stay the tokenizer's."""
+    from corvane.llm import _tokens
+
+    monkeypatch.setattr(_tokens, "STORE", 400)
+    tokens = _tokens.Encoder(_tokens.default_path())
+    rng = random.Random(8)
+    common = [f" w{chr(97 + i)}é{i}" for i in range(25)]
+    parts = np.unique(np.concatenate([t.span_hash(b.data, b.at[:-1], b.at[1:]) for b in t.blocks(pa.array([" waé", " wbé", " wyé"]))]))
+    for k in range(60):
+        texts = ["".join(" " + "".join(rng.choice("abcdefgh漢") for _ in range(9)) for _ in range(50)) for _ in range(2)] if k % 2 else ["".join(common), ""]
+        if k > 4:
+            assert np.isin(parts, tokens.keys).all(), k
+        assert len(tokens.keys) <= 400
+        assert [x.tolist() for b in t.blocks(pa.array(texts)) for x in tokens.encode(b)] == _ids(texts)
+
+
+def test_encoder_of_another_pattern(tmp_path):
+    """A file that splits in its own way gets whole texts."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    from corvane.llm import _tokens
+
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Digits(individual_digits=True), pre_tokenizers.ByteLevel(add_prefix_space=False)])
+    other.save(str(tmp_path / "other.json"))
+    texts = ["a\n\n\n\n12 b", "in 1999,  2000", "", "don't"]
+    tokens = _tokens.Encoder(str(tmp_path / "other.json"))
+    assert [x.tolist() for b in t.blocks(pa.array(texts)) for x in tokens.encode(b)] == [x.ids for x in other.encode_batch(texts)]
+
+
 def test_packing(docs, texts, empty):
     ids = [[*x, 0] for x in _ids(texts)]
     rows = sorted(packing.pack(docs, capacity=256).collect(), key=lambda r: (r["sequence_id"], r["offset"]))
