@@ -6,7 +6,7 @@ by task and place (per-task counts, summed up), and a Feistel network keyed by a
 number to a slot: it permutes the next power of four, and walks on along its cycle until the slot
 is one of the sequences'.  So the order needs no shuffled list and any slot can be computed alone.
 
-Range partitions of slots then hold fixed-stride shards: sequence s lies at
+Range partitions of slots, as many whole shards in one as in any other or one less, then hold fixed-stride shards: sequence s lies at
 ``(s % shard) * stride`` of shard ``s // shard``, so readers go through shards in order and resume
 anywhere by arithmetic.  Shard files are written under a temporary name and renamed, so a task that
 runs again replaces its own files.
@@ -134,7 +134,9 @@ def in_training_order(docs: DataFrame, tokenizer: str | None = None, length: int
 
     stride = length * np.dtype(TYPE).itemsize
     placed = cut.withColumn("slot", slot("task", "nth")).withColumn("shard", F.expr(f"slot div {shard}")).drop("task", "nth")
-    placed = placed.repartitionByRange(shuffle_width(spark), "shard").sortWithinPartitions("slot")
+    shards = max(1, -(-total // shard))
+    ranges = min(shuffle_width(spark), shards)  # known beforehand, so nothing is read to sample them
+    placed = placed.repartitionById(ranges, F.expr(f"int(shard * {ranges} div {shards})")).sortWithinPartitions("slot")
     return placed.select("slot", "shard", (F.col("slot") % shard * stride).alias("byte_offset"), "doc_ids", "n_tokens", "ids_crc32", unpacked("packed").alias("tokens"))
 
 

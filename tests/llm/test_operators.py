@@ -621,6 +621,29 @@ def test_training_order(docs, texts, empty, tmp_path):
     assert order.in_training_order(empty).count() == 0
 
 
+def test_training_order_reads_its_sequences_once(spark, docs):
+    """Partitions are even ranges of whole shards in order, dealt without a pass to sample them."""
+    from pyspark.sql import functions as F
+
+    df = order.in_training_order(docs, length=64, shard=16)
+    context = spark.sparkContext
+    context.setJobGroup("order", "order")
+    try:
+        rows = df.withColumn("partition", F.spark_partition_id()).collect()
+        stages = {s for j in context.statusTracker().getJobIdsForGroup("order") for s in context.statusTracker().getJobInfo(j).stageIds}
+        run = [s for s in stages if (info := context.statusTracker().getStageInfo(s)) and info.numCompletedTasks]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(run) == 2
+    shards = {}
+    for r in rows:
+        shards.setdefault(r["partition"], []).append(r["slot"])
+    assert all(x == sorted(x) for x in shards.values())
+    assert [s for k in sorted(shards) for s in shards[k]] == list(range(len(rows)))
+    sizes = [len({s // 16 for s in shards[k]}) for k in sorted(shards)]
+    assert sum(sizes) == -(-len(rows) // 16) and max(sizes) - min(sizes) <= 1
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_training_order_holds_the_tokenizers_ids(spark, texts, parts):
     """Every task lays the tokenizer's ids of its rows end to end; numbers go on from task to task."""
